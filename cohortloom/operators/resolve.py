@@ -48,9 +48,10 @@ def fallback_pair(
     df: DataFrame, dim: DataFrame, dim_key: str, first: str, second: str, take: dict[str, str]
 ) -> DataFrame:
     """Resolve by ``first``, else by ``second``; all taken columns from one dim row."""
-    a = lookup(df, dim, first, dim_key, {dim_key: "__a_key", **{c: f"__a_{n}" for c, n in take.items()}})
+    flagged = dim.withColumn("__hit", F.lit(True))
+    a = lookup(df, flagged, first, dim_key, {"__hit": "__hit", **{c: f"__a_{n}" for c, n in take.items()}})
     b = lookup(a, dim, second, dim_key, {c: f"__b_{n}" for c, n in take.items()})
-    hit = F.col("__a_key").isNotNull()
+    hit = F.col("__hit").isNotNull()
     out = {n: F.when(hit, F.col(f"__a_{n}")).otherwise(F.col(f"__b_{n}")) for n in take.values()}
     return b.withColumns(out).select(*df.columns, *take.values())
 

@@ -61,3 +61,125 @@ def require(results: DataFrame) -> None:
     failed = [r["check"] for r in results.filter(~F.col("passed")).select("check").limit(100).collect()]
     if failed:
         raise ValueError(f"checks failed: {', '.join(failed)}")
+
+
+def rows_as_expected(
+    want: DataFrame, have: DataFrame, keys: list[str], columns: list[str], tolerance: float = 0.0
+) -> DataFrame:
+    """``(key, good)`` per key of either side: on both sides, all columns equal.
+
+    Null equals null only. Numbers may differ by ``tolerance``.
+    """
+    w = want.select(*[F.col(k).alias("w_" + k) for k in keys], F.lit(True).alias("w_in"), *[F.col(c).alias("w__" + c) for c in columns])
+    h = have.select(*[F.col(k).alias("h_" + k) for k in keys], F.lit(True).alias("h_in"), *[F.col(c).alias("h__" + c) for c in columns])
+    on = reduce(lambda a, b: a & b, [F.col("w_" + k) == F.col("h_" + k) for k in keys])
+    j = w.join(h, on, "full")
+    good = F.col("w_in").isNotNull() & F.col("h_in").isNotNull()
+    for c in columns:
+        a, b = F.col("w__" + c), F.col("h__" + c)
+        same = a.eqNullSafe(b)
+        if tolerance:
+            same = same | F.coalesce(F.abs(a - b) <= tolerance, F.lit(False))
+        good = good & same
+    label = F.concat_ws("/", *[F.coalesce(F.col("w_" + k), F.col("h_" + k)).cast("string") for k in keys])
+    return j.select(label.alias("key"), good.alias("good"))
+
+
+def same_rows(want, have, name: str, keys: list[str], columns: list[str], tolerance: float = 0.0) -> DataFrame:
+    return check_rows(rows_as_expected(want, have, keys, columns, tolerance), name, F.col("good"), "key")
+
+
+def same_sets(want: DataFrame, have: DataFrame, name: str, key: str) -> DataFrame:
+    """Both sides hold the same distinct keys."""
+    return same_rows(want.select(key).distinct(), have.select(key).distinct(), name, [key], [])
+
+
+def foreign_keys(tables: dict[str, DataFrame], column: str, dim: DataFrame, name: str) -> DataFrame:
+    """Every id of every table exists in the dimension; a table without the column is skipped."""
+    known = dim.select(F.col(column).alias("__k")).distinct()
+    parts = []
+    for table, df in tables.items():
+        if column not in df.columns:
+            continue
+        # Distinct ids with their row counts: the join sees each id once per table.
+        ids = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+        j = ids.join(known, F.col(column) == F.col("__k"), "left")
+        parts.append(
+            j.select(F.concat(F.lit(table + ":"), F.col(column).cast("string")).alias("key"), F.col("__k").isNotNull().alias("good"))
+        )
+    return check_rows(reduce(lambda a, b: a.unionByName(b), parts), name, F.col("good"), "key")
+
+
+def coverage(
+    files: DataFrame, reference: DataFrame, name: str, data_type: str, url: str, excluded: list[str]
+) -> DataFrame:
+    """File counts per type equal the reference's; excluded types are not published;
+    a file without type or link is reported under its type."""
+    have = files.groupBy(data_type).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(url).isNull() | F.col(data_type).isNull()).alias("holes")
+    )
+    want = reference.filter(~F.col(data_type).isin(*excluded)).groupBy(data_type).agg(F.count(F.lit(1)).alias("n")).withColumn("holes", F.lit(0).cast("bigint"))
+    return same_rows(want, have, name, [data_type], ["n", "holes"])
+
+
+def axis(df: DataFrame, index: str, name: str, width: Column | None = None, n_genes: int | None = None) -> DataFrame:
+    """Index values are 0..n-1 without gap or repeat; every list has the axis width."""
+    per = df.groupBy(index).agg(
+        F.count(F.lit(1)).alias("__m"),
+        F.max(F.coalesce(width != n_genes, F.lit(True)) if width is not None else F.lit(False)).alias("__w"),
+    )
+    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    good = (F.col("__m") == 1) & F.col(index).between(F.lit(0), n - 1) & ~F.col("__w")
+    return check_rows(per, name, good, index)
+
+
+def no_faults(df: DataFrame, name: str, key: str, faults: dict[str, Column]) -> DataFrame:
+    """Rows showing none of the named faults; examples read ``fault:key``."""
+    labels = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in faults.items()]))
+    rows = df.select(F.col(key).cast("string").alias("k"), labels.alias("f"))
+    label = F.concat_ws(":", F.array_join("f", "+"), "k")
+    return check_rows(rows, name, F.size("f") == 0, label)
+
+
+def unique(df: DataFrame, name: str, key: str) -> DataFrame:
+    return check_rows(df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")), name, F.col("__n") == 1, key)
+
+
+def one_value(df: DataFrame, name: str, group: str, value: str) -> DataFrame:
+    """All groups carry the same value (the smallest one is the yardstick)."""
+    first = df.agg(F.min(value).alias("v")).scalar()
+    return check_rows(df, name, F.col(value) == first, group)
+
+
+def share_at_most(df: DataFrame, name: str, hit: Column, limit: float) -> DataFrame:
+    """A condition may hold for at most a share of the rows."""
+    g = df.agg(F.count(F.lit(1)).alias("n_checked"), F.count_if(hit).alias("n_bad"))
+    return g.select(
+        F.lit(name).alias("check"),
+        (F.col("n_bad") < limit * F.col("n_checked")).alias("passed"),
+        "n_checked",
+        "n_bad",
+        F.array().cast("array<string>").alias("examples"),
+    )
+
+
+def rehash(content: DataFrame, manifest: DataFrame, name: str, key: str, md5: str) -> DataFrame:
+    """Bytes hash to the recorded checksum."""
+    m = manifest.select(F.col(key).alias("__k"), F.col(md5).alias("__md5"))
+    j = content.join(m, F.col(key) == F.col("__k"), "left")
+    return check_rows(j, name, F.md5("content") == F.col("__md5"), key)
+
+
+def pinned(content: DataFrame, name: str, file: str, hashes: dict[str, str]) -> DataFrame:
+    """Shipped files have the pinned sha256."""
+    want = F.create_map(*[F.lit(x) for kv in hashes.items() for x in kv])
+    return check_rows(content, name, F.sha2("content", 256) == want[F.col(file)], file)
+
+
+def schema_contract(df: DataFrame, declared) -> None:
+    """Refuse unknown, missing or differently typed columns, at every level."""
+    from cohortloom.sources.typed import schema_differences
+
+    found = schema_differences(df.schema, declared)
+    if found:
+        raise ValueError("; ".join(found))

@@ -13,8 +13,8 @@ DAYS_PER_MONTH = 30.44
 def km_curve(df: DataFrame, group: str, time: str, event: str) -> DataFrame:
     """One row per distinct time: deaths ``d``, at-risk ``n`` and survival ``surv``.
 
-    Rows collapse to (group, time) before any ordering, so the ordered steps see
-    distinct follow-up days only.
+    Rows collapse to (group, time) before any ordering. Times are whole days of one
+    human life, so a group keeps some ten thousand rows at most, whatever the cohort.
     """
     steps = (
         df.filter(F.col(time).isNotNull() & F.col(event).isNotNull())
@@ -24,13 +24,14 @@ def km_curve(df: DataFrame, group: str, time: str, event: str) -> DataFrame:
             F.count(F.lit(1)).alias("c"),
         )
     )
-    at_risk = running(steps, [group], [-F.col(time)], {"n": F.col("c")})
+    at_risk = running(steps, [group], [-F.col(time)], {"n": F.col("c")}, slice_rows=None)
     factor = F.when(F.col("d") < F.col("n"), F.log1p(-F.col("d") / F.col("n"))).otherwise(0.0)
     logs = running(
         at_risk,
         [group],
         [F.col(time)],
         {"ls": factor, "z": (F.col("d") == F.col("n")).cast("int")},
+        slice_rows=None,
     )
     surv = F.when(F.col("z") > 0, 0.0).otherwise(F.exp("ls"))
     return logs.select(group, time, "d", "c", "n", surv.alias("surv"))
@@ -69,5 +70,5 @@ def follow_up_medians(df: DataFrame, group: str, time: str, event: str) -> DataF
             )
         ),
     )
-    med = percentiles(labelled, [group, "kind"], time, {"median": 0.5})
+    med = percentiles(labelled, [group, "kind"], time, {"median": 0.5}, slice_rows=None)
     return med.select(group, "kind", F.round(F.col("median") / DAYS_PER_MONTH, 1).alias("months"))

@@ -34,10 +34,13 @@ def expr_matrix_long(
 
 
 def average_rank(
-    df: DataFrame, sample: str, value: str, name: str = "avg_rank", slice_rows: int = SLICE_ROWS
+    df: DataFrame, sample: str, value: str, name: str = "avg_rank", slice_rows: int = SLICE_ROWS,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Ascending rank per sample, equal values sharing their mean rank."""
-    if not hot_keys(df, [sample], slice_rows):
+    if hot is None:
+        hot = hot_keys(df, [sample], slice_rows)
+    if not hot:
         low = F.rank().over(Window.partitionBy(sample).orderBy(value))
         ties = F.count(F.lit(1)).over(Window.partitionBy(sample, value))
         return df.withColumn(name, low + (ties - 1) / 2.0)
@@ -66,8 +69,9 @@ def ssgsea_scores(
     ``w = trunc(rank) ** 0.25``, a set of ``k`` out of ``n`` genes scores
     ``sum(w q)/sum(w) - (n(n+1)/2 - sum(q)) / (n - k)``.
     """
-    r = average_rank(expr, sample, value, "__r", slice_rows).withColumn("__r", F.floor("__r"))
-    pos = ranked(r, [sample], [F.col("__r"), -F.col(gene_order)], "__q", slice_rows)
+    hot = hot_keys(expr, [sample], slice_rows)
+    r = average_rank(expr, sample, value, "__r", slice_rows, hot).withColumn("__r", F.floor("__r"))
+    pos = ranked(r, [sample], [F.col("__r"), -F.col(gene_order)], "__q", slice_rows, hot)
     size = expr.groupBy(sample).agg(F.count(F.lit(1)).alias("__n"))
     w = F.pow(F.abs(F.col("__r")).cast("double"), F.lit(ALPHA))
     sums = (

@@ -5,7 +5,6 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
-import os
 import tarfile
 import uuid
 from collections.abc import Iterator
@@ -106,20 +105,33 @@ def members(files: DataFrame, case: str, data_type: str, file_id: str, file_name
 def write_shards(rows: DataFrame, out_dir: str, project: str, case: str, n_tasks: int | None = None) -> DataFrame:
     """Write one tar per (project, shard) and return a record per member.
 
-    ``rows`` holds project, shard, case, member, gzipped, content. A shard's rows
-    stream through one task in case order; the tar is written under a temporary name
-    and renamed when complete, so a retried task leaves no torn archive.
+    ``rows`` holds project, shard, case, member, gzipped and either ``content`` or
+    ``path``. With ``path`` only names are shuffled and the task that writes a shard
+    reads the files itself. A shard streams through one task in case order; the tar
+    gets its name when complete, so a retried task leaves no torn archive. Any file
+    system pyarrow knows can hold the shards.
     """
-    schema = f"`{project}` string, shard bigint, path string, member string, md5sum string, md5sum_member string, n_bytes bigint"
+    schema = f"`{project}` string, shard bigint, tar string, member string, md5sum string, md5sum_member string, n_bytes bigint"
+    source = "content" if "content" in rows.columns else "path"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tar = name = temp = None
-        open_key = None
+        from pyarrow import fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(out_dir)
+        tar = stream = name = temp = open_key = None
 
         def close() -> None:
             if tar is not None:
                 tar.close()
-                os.replace(temp, name)
+                stream.close()
+                fs.move(temp, name)
+
+        def load(item) -> bytes:
+            if source == "content":
+                return item
+            ifs, path = pafs.FileSystem.from_uri(item)
+            with ifs.open_input_stream(path) as f:
+                return f.read()
 
         for pdf in batches:
             out = []
@@ -127,20 +139,24 @@ def write_shards(rows: DataFrame, out_dir: str, project: str, case: str, n_tasks
                 if (r.project, r.shard) != open_key:
                     close()
                     open_key = (r.project, r.shard)
-                    folder = f"{out_dir}/{r.project}"
-                    os.makedirs(folder, exist_ok=True)
+                    folder = f"{root}/{r.project}"
+                    fs.create_dir(folder, recursive=True)
                     name = f"{folder}/{str(r.project).lower()}-{int(r.shard):06d}.tar"
                     temp = f"{name}.{uuid.uuid4().hex}.tmp"
-                    tar = tarfile.open(temp, "w", format=tarfile.GNU_FORMAT)
-                data = gzip.compress(r.content, 6, mtime=0) if r.gzipped else r.content
+                    stream = fs.open_output_stream(temp)
+                    tar = tarfile.open(fileobj=stream, mode="w|", format=tarfile.GNU_FORMAT)
+                raw = load(r.source)
+                data = gzip.compress(raw, 6, mtime=0) if r.gzipped else raw
                 info = tarfile.TarInfo(r.member)
                 info.size = len(data)
                 tar.addfile(info, io.BytesIO(data))
-                out.append((r.project, r.shard, name, r.member, hashlib.md5(r.content).hexdigest(), hashlib.md5(data).hexdigest(), len(data)))
-            yield pd.DataFrame(out, columns=[project, "shard", "path", "member", "md5sum", "md5sum_member", "n_bytes"])
+                out.append((r.project, r.shard, name, r.member, hashlib.md5(raw).hexdigest(), hashlib.md5(data).hexdigest(), len(data)))
+            yield pd.DataFrame(out, columns=[project, "shard", "tar", "member", "md5sum", "md5sum_member", "n_bytes"])
         close()
 
-    flat = rows.select(F.col(project).alias("project"), "shard", F.col(case).alias("case"), "member", "gzipped", "content")
+    flat = rows.select(
+        F.col(project).alias("project"), "shard", F.col(case).alias("case"), "member", "gzipped", F.col(source).alias("source")
+    )
     placed = flat.repartition(n_tasks, "project", "shard") if n_tasks else flat.repartition("project", "shard")
     return placed.sortWithinPartitions("project", "shard", "case", "member").mapInPandas(run, schema)
 

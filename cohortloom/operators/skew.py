@@ -32,8 +32,14 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], slice_rows: int) -> list[tuple]:
-    """Keys with more than ``slice_rows`` rows: ``[(key values..., n)]``, bounded."""
+def hot_keys(df: DataFrame, keys: Sequence[str], slice_rows: int | None) -> list[tuple]:
+    """Keys with more than ``slice_rows`` rows: ``[(key values..., n)]``, bounded.
+
+    ``slice_rows=None`` says that groups are small by construction (say, one row per
+    distinct follow-up day); then nothing is counted.
+    """
+    if slice_rows is None:
+        return []
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return [
         tuple(r)
@@ -74,14 +80,19 @@ def running(
     keys: Sequence[str],
     order: Sequence[Column],
     sums: dict[str, Column],
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = SLICE_ROWS,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
-    """Inclusive running sums per key in ``order`` (ascending, a total order)."""
+    """Inclusive running sums per key in ``order`` (ascending, a total order).
+
+    ``hot`` passes on an earlier :func:`hot_keys` answer for the same rows.
+    """
     keys, order = list(keys), list(order)
     if not keys:
         one = running(df.withColumn("__all", F.lit(0)), ["__all"], order, sums, slice_rows)
         return one.drop("__all")
-    hot = hot_keys(df, keys, slice_rows)
+    if hot is None:
+        hot = hot_keys(df, keys, slice_rows)
     if not hot:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
@@ -106,10 +117,11 @@ def ranked(
     keys: Sequence[str],
     order: Sequence[Column],
     name: str = "rn",
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = SLICE_ROWS,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """1-based row number per key."""
-    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, slice_rows)
+    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, slice_rows, hot)
 
 
 def percentiles(
@@ -117,7 +129,7 @@ def percentiles(
     keys: Sequence[str],
     value: str,
     quantiles: dict[str, float],
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = SLICE_ROWS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per key; nulls in ``value`` are ignored.
 
@@ -127,11 +139,12 @@ def percentiles(
     """
     keys = list(keys)
     hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
-    if not hot_keys(hist, keys, slice_rows):
+    hot = hot_keys(hist, keys, slice_rows)
+    if not hot:
         qs = F.array(*[F.lit(float(q)) for q in quantiles.values()])
         agg = hist.groupBy(*keys).agg(F.percentile(F.col(value), qs, F.col("__c")).alias("__q"))
         return agg.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(quantiles)])
-    cum = running(hist, keys, [F.col(value)], {"__cum": F.col("__c")}, slice_rows)
+    cum = running(hist, keys, [F.col(value)], {"__cum": F.col("__c")}, slice_rows, hot)
     total = hist.groupBy(*keys).agg(F.sum("__c").alias("__total"))
     renamed = total.select(*[F.col(k).alias("__k_" + k) for k in keys], "__total")
     both = cum.join(renamed, _same(cum, renamed, keys))

@@ -47,19 +47,17 @@ def explode_tree(
     ``pos`` is the leaf's place in the tree row; a parent without children gives
     one row of nulls below it.
     """
-    cur = tree.select(*keep, F.col(levels[0][0]).alias("__a"), F.array().cast("array<int>").alias("__p"))
+    cur = tree.select(*keep, F.col(levels[0][0]).alias("__a"))
     done: list[str] = []
+    places: list[str] = []
     for depth, (_, fields) in enumerate(levels):
         last = depth + 1 == len(levels)
-        cur = cur.select(*keep, *done, "__p", F.posexplode_outer("__a").alias("__i", "__x"))
+        cur = cur.select(*keep, *done, *places, F.posexplode_outer("__a").alias(f"__p{depth}", "__x"))
+        places.append(f"__p{depth}")
         nxt = [] if last else [F.col("__x")[levels[depth + 1][0]].alias("__a")]
-        cur = cur.select(
-            *keep, *done,
-            *[F.col("__x")[f].alias(f) for f in fields],
-            F.concat("__p", F.array("__i")).alias("__p"), *nxt,
-        )
+        cur = cur.select(*keep, *done, *places, *[F.col("__x")[f].alias(f) for f in fields], *nxt)
         done += fields
-    return cur.withColumnRenamed("__p", "pos")
+    return cur.select(*keep, *done, F.struct(*places).alias("pos"))
 
 
 def leaf_dim(rows: DataFrame, leaf: str, order: Sequence[str] = ("page", "pos")) -> DataFrame:

@@ -10,7 +10,11 @@ from cohortloom.plans.registry import query
 from cohortloom.plans.views import Tables, with_
 
 c = F.col
-EP = [c("c_e"), c("c_t"), c("d_e"), c("d_t")]
+
+
+def ep():
+    return [c("c_e"), c("c_t"), c("d_e"), c("d_t")]
+
 
 DEMO = """demo AS (SELECT case_id, project_id, submitter_id, -(20000 + case_id * 7 % 15000) AS days_to_birth,
   CASE WHEN case_id % 2 = 0 THEN 'male' ELSE 'female' END AS gender,
@@ -176,7 +180,7 @@ CLS = """, cls AS (SELECT *, CASE WHEN c_e IS NULL AND d_e IS NULL THEN 'both_na
 
 
 def classified(t: Tables):
-    return t.endpoints.withColumn("cls", cm.classify(*EP))
+    return t.endpoints.withColumn("cls", cm.classify(*ep()))
 
 
 @query("agreement_class", with_("endpoints", body=CLS + "SELECT sample_id, cls FROM cls"))
@@ -213,7 +217,7 @@ SELECT grp, count(*) AS total, count_if((c_e IS NULL AND d_e IS NULL) OR coalesc
 def _agreement_30d(t: Tables):
     return t.endpoints.groupBy("grp").agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(cm.within_days(*EP, 30.0)).alias("agree"),
+        F.count_if(cm.within_days(*ep(), 30.0)).alias("agree"),
         F.count_if(c("c_e").isNotNull() & c("d_e").isNotNull()).alias("both_populated"),
         F.count_if(c("c_e") == c("d_e")).alias("same_direction"),
     )

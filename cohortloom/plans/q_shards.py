@@ -41,8 +41,7 @@ def _members(t: Tables):
     )
     named = sh.members(files, "doc_id", "data_type", "doc_id", "file_name")
     rows = named.join(plan(t), "doc_id")
-    out_dir = shared_dir(t.spark, "shards").removeprefix("file://").removeprefix("file:")
-    out = sh.write_shards(rows, out_dir, "project_id", "doc_id")
+    out = sh.write_shards(rows, shared_dir(t.spark, "shards"), "project_id", "doc_id")
     # Compressed bytes depend on the zlib build; only plain members are compared.
     return out.select("project_id", "shard", "member", "md5sum", F.when(c("member").endswith("pdf"), c("md5sum_member")).alias("md5sum_member"))
 

@@ -42,7 +42,7 @@ def _scan_text_coerce(t: Tables):
     top = t.region.select(F.explode(F.array(F.concat(F.lit("#version "), "r_name"), F.lit("\t".join(header)))).alias("value"))
     path = shared_dir(t.spark, "variants")
     # Comment and header lines stand in files of their own and in every layout alike.
-    body.unionByName(top).write.text(path, compression="gzip")
+    body.unionByName(top).write.text(path)
     rows = tx.delimited(tx.read_lines(t.spark, path), header)
     out = tx.coerce(rows, [*KEYS, "depth"], ["score"])
     return out.withColumn("l_linenumber", c("l_linenumber").cast("int"))

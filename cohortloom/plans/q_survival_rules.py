@@ -110,11 +110,11 @@ res AS (SELECT case_id,
 """
 
 
-def _rule(name: str, sql_columns: str, *columns):
+def _rule(name: str, out: str, source: str | None = None):
     def fn(t: Tables):
-        return derived(t).select("case_id", *columns)
+        return derived(t).select("case_id", F.col(source or out).alias(out))
 
-    query(name, RULES + f"SELECT case_id, {sql_columns} FROM facts")(fn)
+    query(name, RULES + f"SELECT case_id, {out} FROM facts")(fn)
 
 
 def _endpoint(e: str):
@@ -126,14 +126,10 @@ def _endpoint(e: str):
     query(f"{e}_endpoint", RULES + f"SELECT case_id, {', '.join(cols)} FROM res")(fn)
 
 
-_rule("primary_dx", "primary_dx", F.col("primary.dx_id").alias("primary_dx"))
-_rule("last_contact", "last_contact", "last_contact")
-_rule("nte_days", "nte_day", "nte_day")
-_rule("nte_type", "nte_type", "nte_type")
-_rule("tumor_status", "tumor_status", "tumor_status")
-_rule("disease_free", "disease_free", "disease_free")
-_rule("stage_iv", "stage_iv", "stage_iv")
-_rule("first_outcome", "first_outcome", "first_outcome")
+_rule("primary_dx", "primary_dx", "primary.dx_id")
+_rule("nte_days", "nte_day")
+for _n in ("last_contact", "nte_type", "tumor_status", "disease_free", "stage_iv", "first_outcome"):
+    _rule(_n, _n)
 for _e in ("os", "dss", "pfi", "dfi"):
     _endpoint(_e)
 

@@ -119,5 +119,4 @@ def time_only_diff(df: DataFrame, by: str) -> DataFrame:
     """Equal events whose times differ by half a day or more: count and median gap."""
     gap = F.abs(F.col("c_t") - F.col("d_t"))
     rows = df.filter((F.col("c_e") == F.col("d_e")) & (gap >= 0.5)).select(by, gap.alias("gap"))
-    n = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    return n.join(percentiles(rows, [by], "gap", {"median_gap": 0.5}), by)
+    return percentiles(rows, [by], "gap", {"median_gap": 0.5}, also={"n": F.count(F.lit(1))})

@@ -52,6 +52,7 @@ def deal(
     key: str = "case_id",
     project: str = "project_id",
     slice_rows: int = SLICE_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """``fold_10`` and ``fold_5`` per patient; input order is irrelevant.
 
@@ -62,7 +63,7 @@ def deal(
         return F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col(c))
 
     order = [rank_of("pfi_status"), rank_of("os_status"), salted(F.col(key))]
-    pos = ranked(cohort, [project], order, "__pos", slice_rows)
+    pos = ranked(cohort, [project], order, "__pos", slice_rows, count_on=count_on)
     # The digest arithmetic runs once per project, not once per patient.
     offsets = cohort.select(project).distinct().select(
         F.col(project).alias("__p"), hex_mod(salted(F.col(project)), K).alias("__off")

@@ -72,7 +72,9 @@ def ssgsea_scores(
     hot = hot_keys(expr, [sample], slice_rows)
     r = average_rank(expr, sample, value, "__r", slice_rows, hot).withColumn("__r", F.floor("__r"))
     pos = ranked(r, [sample], [F.col("__r"), -F.col(gene_order)], "__q", slice_rows, hot)
-    size = expr.groupBy(sample).agg(F.count(F.lit(1)).alias("__n"))
+    if not hot:
+        # Same partitioning as the ranks: the gene count costs no further shuffle.
+        pos = pos.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(sample)))
     w = F.pow(F.abs(F.col("__r")).cast("double"), F.lit(ALPHA))
     sums = (
         pos.join(sets.select(gene, "pathway"), gene)
@@ -82,9 +84,11 @@ def ssgsea_scores(
             F.sum(w).alias("w"),
             F.sum("__q").alias("q"),
             F.count(F.lit(1)).alias("k"),
+            *([] if hot else [F.max("__n").alias("__n")]),
         )
-        .join(size, sample)
     )
+    if hot:
+        sums = sums.join(expr.groupBy(sample).agg(F.count(F.lit(1)).alias("__n")), sample)
     n = F.col("__n").cast("double")
     score = F.col("wq") / F.col("w") - F.try_divide(n * (n + 1) / 2 - F.col("q"), n - F.col("k"))
     return sums.select(sample, "pathway", F.col("k").alias("n_genes"), score.alias("score_raw"))
@@ -115,12 +119,10 @@ def score_stats(
         F.explode(F.array(F.col(project), F.lit(pan))).alias("population"),
         F.col(sample_type).alias("__t"), pathway, F.col(value).cast("double").alias("v"),
     ).select("population", F.explode(F.array("__t", F.lit(every))).alias("type"), pathway, "v")
-    moments = wide.groupBy(*cols).agg(
-        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-    )
-    q = percentiles(wide, cols, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75}, slice_rows)
-    return moments.join(q, cols)
+    moments = {
+        "n": F.count("v"), "mean": F.avg("v"), "sd": F.stddev_samp("v"), "min": F.min("v"), "max": F.max("v"),
+    }
+    return percentiles(wide, cols, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75}, slice_rows, moments)
 
 
 def normalize_global(scores: DataFrame, value: str, name: str = "score") -> DataFrame:

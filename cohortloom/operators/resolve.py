@@ -32,9 +32,10 @@ def attach_records(
     fields: Sequence[str],
     name: str,
     page_rows: int = PAGE_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Nest records under their case; a case without any gets an empty array."""
-    nested = prefixed(nest(records, [key], order, fields, name, page_rows), "__n_")
+    nested = prefixed(nest(records, [key], order, fields, name, page_rows, count_on=count_on), "__n_")
     j = cases.join(nested, F.col(key) == F.col(f"__n_{key}"), "left")
     empty = F.expr(f"CAST(array() AS {dict(nested.dtypes)['__n_' + name]})")
     return j.select(
@@ -208,10 +209,11 @@ def files_index(
 def nest_children(
     parents: DataFrame, children: DataFrame, parent_key: str, child_key: str,
     order: Sequence[Column], fields: Sequence[str], name: str, page_rows: int = PAGE_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Children as an ordered array column of their parent (see :func:`attach_records`)."""
     renamed = children.withColumn(parent_key, F.col(child_key)) if child_key != parent_key else children
-    return attach_records(parents, renamed, parent_key, order, fields, name, page_rows)
+    return attach_records(parents, renamed, parent_key, order, fields, name, page_rows, count_on)
 
 
 def orphans(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:

@@ -82,17 +82,20 @@ def running(
     sums: dict[str, Column],
     slice_rows: int | None = SLICE_ROWS,
     hot: list[tuple] | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Inclusive running sums per key in ``order`` (ascending, a total order).
 
-    ``hot`` passes on an earlier :func:`hot_keys` answer for the same rows.
+    ``hot`` passes on an earlier :func:`hot_keys` answer for the same rows;
+    ``count_on`` is a frame with at least as many rows per key that is cheaper to
+    count, such as ``df`` before its lookups.
     """
     keys, order = list(keys), list(order)
     if not keys:
         one = running(df.withColumn("__all", F.lit(0)), ["__all"], order, sums, slice_rows)
         return one.drop("__all")
     if hot is None:
-        hot = hot_keys(df, keys, slice_rows)
+        hot = hot_keys(df if count_on is None else count_on, keys, slice_rows)
     if not hot:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
@@ -119,9 +122,10 @@ def ranked(
     name: str = "rn",
     slice_rows: int | None = SLICE_ROWS,
     hot: list[tuple] | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """1-based row number per key."""
-    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, slice_rows, hot)
+    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, slice_rows, hot, count_on)
 
 
 def percentiles(
@@ -130,20 +134,39 @@ def percentiles(
     value: str,
     quantiles: dict[str, float],
     slice_rows: int | None = SLICE_ROWS,
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per key; nulls in ``value`` are ignored.
 
-    Values are first collapsed to (key, value, count). A group with few distinct
-    values is finished by the built-in weighted percentile; a group with many is
-    read off a distributed running count.
+    Groups under ``slice_rows`` rows are one built-in aggregation, together with the
+    plain aggregates of ``also``. Otherwise, or with ``slice_rows=None`` (few distinct
+    values by construction), rows first collapse to (key, value, count); groups with
+    many distinct values are then read off a distributed running count.
     """
     keys = list(keys)
+    also = also or {}
+    qs = F.array(*[F.lit(float(q)) for q in quantiles.values()])
+    picked = [F.col("__q")[i].alias(n) for i, n in enumerate(quantiles)]
+    if slice_rows is not None and not hot_keys(df, keys, slice_rows):
+        agg = df.groupBy(*keys).agg(F.percentile(F.col(value), qs).alias("__q"), *[c.alias(n) for n, c in also.items()])
+        return agg.select(*keys, *picked, *also)
     hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
     hot = hot_keys(hist, keys, slice_rows)
     if not hot:
-        qs = F.array(*[F.lit(float(q)) for q in quantiles.values()])
         agg = hist.groupBy(*keys).agg(F.percentile(F.col(value), qs, F.col("__c")).alias("__q"))
-        return agg.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(quantiles)])
+        out = agg.select(*keys, *picked)
+    else:
+        out = _sliced_percentiles(hist, keys, value, quantiles, slice_rows, hot)
+    if not also:
+        return out
+    plain = df.groupBy(*keys).agg(*[c.alias(n) for n, c in also.items()])
+    right = out.select(*[F.col(k).alias("__k_" + k) for k in keys], *quantiles)
+    return plain.join(right, _same(plain, right, keys), "left").select(*keys, *quantiles, *also)
+
+
+def _sliced_percentiles(
+    hist: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], slice_rows: int, hot: list[tuple]
+) -> DataFrame:
     cum = running(hist, keys, [F.col(value)], {"__cum": F.col("__c")}, slice_rows, hot)
     total = hist.groupBy(*keys).agg(F.sum("__c").alias("__total"))
     renamed = total.select(*[F.col(k).alias("__k_" + k) for k in keys], "__total")
@@ -182,10 +205,11 @@ def paged(
     order: Sequence[Column],
     page_rows: int = PAGE_ROWS,
     slice_rows: int = SLICE_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Number rows per key as ``rn`` and cut them into ``page``s of ``page_rows``."""
-    out = ranked(df, keys, order, "rn", slice_rows)
-    return out.withColumn("page", F.floor((F.col("rn") - 1) / page_rows).cast("bigint"))
+    out = ranked(df, keys, order, "rn", slice_rows, count_on=count_on)
+    return out.withColumn("page", F.expr(f"(rn - 1) div {int(page_rows)}"))
 
 
 def nest(
@@ -196,13 +220,14 @@ def nest(
     name: str,
     page_rows: int = PAGE_ROWS,
     slice_rows: int = SLICE_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Ordered array of structs per key.
 
     A key with more than ``page_rows`` children continues on further rows, told
     apart by ``page``; no array grows with the data.
     """
-    rows = paged(df, keys, order, page_rows, slice_rows)
+    rows = paged(df, keys, order, page_rows, slice_rows, count_on)
     packed = rows.groupBy(*keys, "page").agg(
         F.array_sort(F.collect_list(F.struct("rn", *fields))).alias("__a")
     )

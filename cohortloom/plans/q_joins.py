@@ -40,7 +40,7 @@ def attached(t: Tables, page_rows: int):
     m = rs.lookup(measures(t), aliquot_dim(t), "aliquot_id", "aliquot_id", {"sample_id": "sample_id"})
     return rs.attach_records(
         t.cases.select("case_id", "submitter_id"), m, "case_id", [F.col("aliquot_id")],
-        ["aliquot_id", "sample_id", "quantity"], "records", page_rows,
+        ["aliquot_id", "sample_id", "quantity"], "records", page_rows, count_on=measures(t).select("case_id"),
     )
 
 
@@ -64,9 +64,10 @@ def _attach_variants(t: Tables):
         (F.col("center_id") % 24 + 1).cast("string").alias("chromosome"), F.col("gene_id").alias("pos"), "aliquot_id",
     )
     s = t.samples
-    v = rs.lookup(v, s, "tumor", "sample_id", {"case_id": "case_id"})
-    v = rs.lookup(v, s, "normal", "sample_id", {"sample_id": "normal_sample"})
-    out = ranked(v, ["case_id"], [F.col("chromosome"), F.col("pos"), F.col("aliquot_id")])
+    owned = rs.lookup(v, s, "tumor", "sample_id", {"case_id": "case_id"})
+    v = rs.lookup(owned, s, "normal", "sample_id", {"sample_id": "normal_sample"})
+    order = [F.col("chromosome"), F.col("pos"), F.col("aliquot_id")]
+    out = ranked(v, ["case_id"], order, count_on=owned.select("case_id"))
     return out.select("case_id", "chromosome", "pos", "aliquot_id", "normal_sample", "rn")
 
 
@@ -282,7 +283,8 @@ def _patient_table(t: Tables):
         t.samples.select("sample_id", "case_id"), t.aliquots, "sample_id", "sample_id", [F.col("aliquot_id")], ["aliquot_id"], "aliquots"
     ).drop("page")
     whole = rs.nest_children(
-        t.cases.select("case_id"), inner, "case_id", "case_id", [F.col("sample_id")], ["sample_id", "aliquots"], "samples"
+        t.cases.select("case_id"), inner, "case_id", "case_id", [F.col("sample_id")], ["sample_id", "aliquots"], "samples",
+        count_on=t.samples.select("case_id"),
     ).drop("page")
     whole = rs.nest_children(
         whole, t.forms.filter("kind = 'view'"), "case_id", "case_id", [F.col("day"), F.col("row_no")], ["day", "row_no"], "timeline"

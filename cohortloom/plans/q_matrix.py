@@ -124,12 +124,11 @@ def libraries(t: Tables):
 SELECT count(*) AS libraries, count(b) AS stranded, round(quantile_cont(b, 0.5), 6) AS median, round(quantile_cont(b, 0.01), 6) AS p1, round(quantile_cont(b, 0.99), 6) AS p99, count_if(b < 0.4 OR b > 0.6)::BIGINT AS outside FROM b""")
 def _strand_summary(t: Tables):
     b = libraries(t).select(mx.strand_balance(c("fwd"), c("rev")).alias("b"), F.lit("all").alias("cohort"))
-    counts = b.groupBy("cohort").agg(
-        F.count(F.lit(1)).alias("libraries"), F.count("b").alias("stranded"),
-        F.count_if((c("b") < 0.4) | (c("b") > 0.6)).alias("outside"),
-    )
-    q = percentiles(b, ["cohort"], "b", {"median": 0.5, "p1": 0.01, "p99": 0.99})
-    j = counts.join(q, "cohort")
+    counts = {
+        "libraries": F.count(F.lit(1)), "stranded": F.count("b"),
+        "outside": F.count_if((c("b") < 0.4) | (c("b") > 0.6)),
+    }
+    j = percentiles(b, ["cohort"], "b", {"median": 0.5, "p1": 0.01, "p99": 0.99}, also=counts)
     return j.select("libraries", "stranded", *[r6(c(x)).alias(x) for x in ("median", "p1", "p99")], "outside")
 
 

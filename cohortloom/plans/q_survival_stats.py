@@ -79,7 +79,7 @@ def patients(t: Tables):
 
 
 def dealt(t: Tables):
-    return fo.deal(patients(t))
+    return fo.deal(patients(t), count_on=t.cohort.select(F.col("grp").alias("project_id")))
 
 
 @query("status_choice", with_("endpoints", body="," + STATUS + "SELECT * FROM patients"))
@@ -115,7 +115,9 @@ SELECT project_id, count(*) AS checked, 0::BIGINT AS moved FROM folds GROUP BY 1
 def _fold_reproduce(t: Tables):
     published = dealt(t)
     # A second deal that starts from differently arranged rows.
-    again = fo.deal(patients(t).repartition("os_status")).select(
+    again = fo.deal(
+        patients(t).repartition("os_status"), count_on=t.cohort.select(F.col("grp").alias("project_id"))
+    ).select(
         F.col("case_id").alias("again_id"), F.col("fold_10").alias("again")
     )
     j = published.join(again, F.col("case_id") == F.col("again_id"), "left")

@@ -28,10 +28,12 @@ def build_session(app: str = "cohortloom", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; a local
-    session that names none gets a temporary folder.
+    A cluster names its shared folder in ``spark.checkpoint.dir``. Only a local
+    session may name none; it gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

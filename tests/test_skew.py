@@ -38,13 +38,14 @@ def test_running_sum_and_global_rank(rows):
     assert index == {d[1]: d[1] for d in data}
 
 
-@pytest.mark.parametrize("slice_rows", [20, 1_000_000])
+@pytest.mark.parametrize("slice_rows", [20, 1_000_000, None])
 def test_percentiles_match_numpy(rows, slice_rows):
     df, data = rows
     q = {"q25": 0.25, "median": 0.5, "q99": 0.99}
-    got = {r.k: r for r in skew.percentiles(df, ["k"], "v", q, slice_rows).collect()}
+    got = {r.k: r for r in skew.percentiles(df, ["k"], "v", q, slice_rows, {"n": F.count("v")}).collect()}
     for k in {d[0] for d in data}:
         vals = [d[3] for d in data if d[0] == k]
+        assert got[k].n == len(vals)
         for name, x in q.items():
             assert got[k][name] == pytest.approx(np.quantile(vals, x), abs=1e-9)
 

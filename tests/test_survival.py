@@ -132,7 +132,8 @@ def test_scores_against_running_walk(spark):
         assert got[k] == pytest.approx(v, rel=1e-9), k
     # A monotone transform keeps every rank and so every score.
     same = {(r.sample_id, r.pathway): r.score_raw for r in pathway.ssgsea_scores(df.withColumn("value", F.exp("value") * 3), sd).collect()}
-    assert same == got
+    # Equal up to the order in which tasks add the same terms.
+    assert same.keys() == got.keys() and all(same[k] == pytest.approx(got[k], rel=1e-12) for k in got)
 
 
 def test_degenerate_range_is_refused(spark):

@@ -146,9 +146,10 @@ def unique(df: DataFrame, name: str, key: str) -> DataFrame:
 
 
 def one_value(df: DataFrame, name: str, group: str, value: str) -> DataFrame:
-    """All groups carry the same value (the smallest one is the yardstick)."""
-    first = df.agg(F.min(value).alias("v")).scalar()
-    return check_rows(df, name, F.col(value) == first, group)
+    """All groups carry the same value; the most common one is the yardstick."""
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("m"))
+    usual = counts.agg(F.min_by(value, F.struct(-F.col("m"), F.col(value))).alias("v")).scalar()
+    return check_rows(df, name, F.col(value) == usual, group)
 
 
 def share_at_most(df: DataFrame, name: str, hit: Column, limit: float) -> DataFrame:

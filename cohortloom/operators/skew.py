@@ -8,8 +8,9 @@ small table of slice totals is added back as an offset, so results are exact.
 
 Bounds: at most ``HOT_KEYS`` keys are sliced. A key beyond the first
 ``HOT_KEYS`` holds less than ``1/HOT_KEYS`` of all rows, so it is one ordinary
-group. Every heavy key yields about ``SPLITS`` cut points. Both broadcast tables
-are therefore of fixed size whatever the data volume.
+group. All heavy keys together get some ``CUTS`` cut points, shared by size. The
+broadcast tables (heavy keys, cut points, slice offsets) are therefore of fixed
+size whatever the data volume.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
-SPLITS = 128
+CUTS = 32_768
 SLICE_ROWS = 1_000_000
 PAGE_ROWS = 100_000
 
@@ -50,29 +51,47 @@ def hot_keys(df: DataFrame, keys: Sequence[str], slice_rows: int | None) -> list
     ]
 
 
-def _slice(df: DataFrame, keys: Sequence[str], order: Sequence[Column], hot: list[tuple]) -> DataFrame:
+def _cut_counts(hot: list[tuple], slice_rows: int) -> list[int]:
+    """Cut points per heavy key: about four per ``slice_rows`` rows, within the budget
+    ``CUTS`` that heavy keys share by size."""
+    total = sum(r[-1] for r in hot)
+    return [max(4, min(4 * r[-1] // slice_rows, CUTS * r[-1] // total)) for r in hot]
+
+
+def _slice(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], hot: list[tuple], slice_rows: int
+) -> DataFrame:
     """Add ``__slice``: position of the row's order key among its key's cut points.
 
-    Cut points are order keys picked by hash, so a recomputed task picks the
-    same ones.
+    Cut points are order keys picked by hash, so a recomputed task picks the same
+    ones. The lookup goes over every ``B``-th cut first, then over one block of ``B``.
     """
     spark = df.sparkSession
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join([f"`__k_{k}` {types[k]}" for k in keys] + ["__n bigint"])
-    hot_df = F.broadcast(spark.createDataFrame(hot, schema))
+    schema = ", ".join([f"`__k_{k}` {types[k]}" for k in keys] + ["__every bigint"])
+    every = [(*r[:-1], max(1, r[-1] // m)) for r, m in zip(hot, _cut_counts(hot, slice_rows))]
+    hot_df = F.broadcast(spark.createDataFrame(every, schema))
     okey = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     keyed = df.withColumn("__o", okey)
     sampled = keyed.join(hot_df, _same(keyed, hot_df, keys)).filter(
-        F.pmod(F.xxhash64("__o"), F.greatest(F.lit(1), (F.col("__n") / SPLITS).cast("bigint"))) == 0
+        F.pmod(F.xxhash64("__o"), F.col("__every")) == 0
     )
+    names = [f"__k_{k}" for k in keys]
+    block = F.ceil(F.sqrt(F.size("__cuts"))).cast("int")
     cuts = (
-        sampled.groupBy(*[f"__k_{k}" for k in keys])
+        sampled.groupBy(*names)
         .agg(F.array_sort(F.collect_set("__o")).alias("__cuts"))
+        .withColumn("__b", block)
+        .select(*names, "__cuts", "__b", F.filter("__cuts", lambda _, i: i % F.col("__b") == 0).alias("__coarse"))
     )
     joined = keyed.join(F.broadcast(cuts), _same(keyed, cuts, keys), "left")
-    cut = F.coalesce(F.size(F.filter("__cuts", lambda s: s <= F.col("__o"))), F.lit(0))
-    cut = F.when(F.col("__cuts").isNull(), 0).otherwise(cut)
-    return joined.withColumn("__slice", cut).drop("__o", "__cuts", *[f"__k_{k}" for k in keys])
+    at_most = lambda s: s <= F.col("__o")
+    blocks = F.size(F.filter("__coarse", at_most))
+    start = (F.col("__blocks") - 1) * F.col("__b")
+    fine = F.size(F.filter(F.slice("__cuts", start + 1, F.col("__b")), at_most))
+    cut = F.when(F.coalesce("__blocks", F.lit(0)) < 1, 0).otherwise(start + fine)
+    placed = joined.withColumn("__blocks", F.when(F.col("__cuts").isNotNull(), blocks)).withColumn("__slice", cut)
+    return placed.drop("__o", "__cuts", "__coarse", "__b", "__blocks", *names)
 
 
 def running(
@@ -100,7 +119,7 @@ def running(
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
     part = keys + ["__slice"]
-    sliced = _slice(df.withColumns({f"__v_{n}": c for n, c in sums.items()}), keys, order, hot)
+    sliced = _slice(df.withColumns({f"__v_{n}": c for n, c in sums.items()}), keys, order, hot, slice_rows)
     totals = sliced.groupBy(*part).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in sums])
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     # Only keys that really were cut have a slice above 0, so this is small.

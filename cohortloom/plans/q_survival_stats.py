@@ -116,7 +116,7 @@ def _fold_reproduce(t: Tables):
     published = dealt(t)
     # A second deal that starts from differently arranged rows.
     again = fo.deal(
-        patients(t).repartition("os_status"), count_on=t.cohort.select(F.col("grp").alias("project_id"))
+        patients(t).repartition("case_id"), count_on=t.cohort.select(F.col("grp").alias("project_id"))
     ).select(
         F.col("case_id").alias("again_id"), F.col("fold_10").alias("again")
     )

@@ -41,9 +41,10 @@ def average_rank(
     if hot is None:
         hot = hot_keys(df, [sample], slice_rows)
     if not hot:
-        low = F.rank().over(Window.partitionBy(sample).orderBy(value))
-        ties = F.count(F.lit(1)).over(Window.partitionBy(sample, value))
-        return df.withColumn(name, low + (ties - 1) / 2.0)
+        # Rank and tie count read one sort: ties are the current row's peers.
+        w = Window.partitionBy(sample).orderBy(value)
+        ties = F.count(F.lit(1)).over(w.rangeBetween(Window.currentRow, Window.currentRow))
+        return df.withColumn(name, F.rank().over(w) + (ties - 1) / 2.0)
     hist = df.groupBy(sample, value).agg(F.count(F.lit(1)).alias("__c"))
     cum = running(hist, [sample], [F.col(value)], {"__cum": F.col("__c")}, slice_rows)
     ranks = cum.select(
@@ -51,7 +52,7 @@ def average_rank(
         F.col(value).alias("__v"),
         (F.col("__cum") - F.col("__c") + (F.col("__c") + 1) / 2.0).alias(name),
     )
-    return df.join(ranks, (F.col(sample) == F.col("__s")) & (F.col(value) == F.col("__v"))).drop("__s", "__v")
+    return df.join(ranks, (F.col(sample) == F.col("__s")) & F.col(value).eqNullSafe(F.col("__v"))).drop("__s", "__v")
 
 
 def ssgsea_scores(
@@ -70,10 +71,12 @@ def ssgsea_scores(
     ``sum(w q)/sum(w) - (n(n+1)/2 - sum(q)) / (n - k)``.
     """
     hot = hot_keys(expr, [sample], slice_rows)
-    r = average_rank(expr, sample, value, "__r", slice_rows, hot).withColumn("__r", F.floor("__r"))
-    pos = ranked(r, [sample], [F.col("__r"), -F.col(gene_order)], "__q", slice_rows, hot)
+    # Mean ranks of different values are at least 1 apart, so truncation keeps the
+    # order: positions by rank are positions by value. Placing the genes first lets
+    # ranks and the gene count reuse that sort and its partitioning.
+    pos = ranked(expr, [sample], [F.col(value), -F.col(gene_order)], "__q", slice_rows, hot)
+    pos = average_rank(pos, sample, value, "__r", slice_rows, hot).withColumn("__r", F.floor("__r"))
     if not hot:
-        # Same partitioning as the ranks: the gene count costs no further shuffle.
         pos = pos.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(sample)))
     w = F.pow(F.abs(F.col("__r")).cast("double"), F.lit(ALPHA))
     sums = (

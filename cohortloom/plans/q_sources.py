@@ -243,8 +243,8 @@ def study_lines(t: Tables):
         "#Patient\tGender\tBalance\tScore\tNote", "#Patient id\tSex\tBalance left\tGleason score\tFree text",
         "#STRING\tSTRING\tNUMBER\tSTRING\tNUMBER", "#1\t1\t1\t1\t1", "PATIENT_ID\tGENDER\tBALANCE\tGLEASON\tN",
     ]
-    top = t.region.filter("r_regionkey = 0").select(
-        F.lit(-1).cast("bigint").alias("no"), F.posexplode(F.array(*[F.lit(h) for h in head])).alias("sub", "line")
+    top = t.customer.agg((F.min("c_custkey") - 1).alias("no")).select(
+        "no", F.posexplode(F.array(*[F.lit(h) for h in head])).alias("sub", "line")
     )
     k = c("c_custkey")
     body = t.customer.select(

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from cohortloom.functions import scalars as sc
 from cohortloom.operators import resolve, shards, tree
 from cohortloom.sinks import writer
+from cohortloom.sources import catalog
 from cohortloom.sources import text as tx
 from cohortloom.sources import typed as ty
 from cohortloom.sources.trees import read_case_tree
@@ -224,3 +225,17 @@ def test_scalars(spark):
     df = spark.createDataFrame([("data_cna_hg19.seg", "A.B.GZ", " ab "), ("data_x.txt", "plain", "")], "m string, f string, v string")
     r = df.select(sc.config_name(F.col("m")).alias("c"), sc.file_suffix(F.col("f")).alias("s"), sc.is_populated(F.col("v")).alias("p")).collect()
     assert [tuple(x) for x in r] == [("cna_hg19_seg", "b.gz", True), ("x", "dat", False)]
+
+
+def test_catalog(spark, tmp_path):
+    meta = {"display_name": "Id", "description": "d", "datatype": "STRING", "priority": "1"}
+    df = spark.range(5).select(F.col("id").alias("PATIENT_ID", metadata=meta), (-F.col("id")).alias("x.y"))
+    root = str(tmp_path / "study")
+    writer.write_bundle({"clinical_patient": df, "timeline_labs": df, "timeline_surgery": df}, root)
+    assert catalog.configs(spark, root) == ["clinical_patient", "timeline_labs", "timeline_surgery"]
+    assert catalog.timelines(spark, root) == ["timeline_labs", "timeline_surgery"]
+    back = catalog.table(spark, root, "clinical_patient", ["PATIENT_ID"])
+    assert back.columns == ["PATIENT_ID"] and ty.dictionary(back)[0][2:] == ("Id", "d", "STRING", "1")
+    assert [r["x.y"] for r in catalog.patients(catalog.table(spark, root, "timeline_labs"), "PATIENT_ID")] == [0, -1, -2, -3, -4]
+    files = [r.file for r in catalog.listing(spark, root).collect()]
+    assert files and all(f.split("/")[0] in ("clinical_patient", "timeline_labs", "timeline_surgery") for f in files)

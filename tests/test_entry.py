@@ -4,8 +4,8 @@ import __spark_entry__ as entry
 
 
 def test_every_query_has_a_twin():
-    q, o = entry.queries(), entry.oracle_sql()
-    assert len(q) > 180 and q.keys() == o.keys()
+    assert entry.queries() and entry.oracle_sql()
+    assert len(entry.QUERIES) > 180 and entry.QUERIES.keys() == entry.ORACLES.keys()
 
 
 def test_entry(spark):

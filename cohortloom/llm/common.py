@@ -86,6 +86,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def span_hashes(data: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans that lie end to end in ``data``, none of them empty."""
+    if not len(length):
+        return np.zeros(0, U)
+    opens = np.cumsum(length) - length
+    rank = np.arange(len(data)) - np.repeat(opens, length)
+    term = _RANDOM[data] * _powers(int(length.max()))[rank]
+    return mix(np.add.reduceat(term, opens) + length.astype(U))
+
+
 class Words:
     """The words of a run of documents: byte spans, owning document, 64-bit hashes.
 
@@ -108,15 +118,7 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
-        length = self.end - self.start
-        if len(length):
-            at = np.flatnonzero(inside)
-            opens = np.cumsum(length) - length
-            rank = np.arange(len(at)) - np.repeat(opens, length)
-            term = _RANDOM[data[at]] * _powers(int(length.max()))[rank]
-            self.hash = mix(np.add.reduceat(term, opens) + length.astype(U))
-        else:
-            self.hash = np.zeros(0, U)
+        self.hash = span_hashes(data[inside], self.end - self.start)
 
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the ``n`` words from each word on, and whether they lie in one document."""
@@ -155,11 +157,11 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return doc, h
 
 
-def blocks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs ``lo:hi`` of documents of about ``BLOCK_BYTES``."""
+def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs ``lo:hi`` of documents of about ``size`` bytes."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BLOCK_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
         yield lo, min(hi, n)
         lo = hi
 

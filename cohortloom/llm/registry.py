@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 MODULES = (
-    "decontaminate", "fingerprint", "substring_dedup", "line_dedup", "secrets",
+    "decontaminate", "fingerprint", "substring_dedup", "line_dedup", "packing",
+    "secrets",
 )
 
 

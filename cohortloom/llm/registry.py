@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 MODULES = (
-    "decontaminate", "fingerprint", "substring_dedup", "line_dedup", "packing",
+    "language_id", "decontaminate", "fingerprint", "licenses", "substring_dedup", "line_dedup", "packing",
     "secrets",
 )
 

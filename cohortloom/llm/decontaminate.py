@@ -85,13 +85,15 @@ def _scanner(sets, schema: pa.Schema, id_col: str, keep_text: bool):
                     cover[i] += 1
                     cover[i + one.length] -= 1
                     touched.setdefault(int(words.doc[i]), set()).update(names)
+            for d in touched:
+                for s in spans[d]:
+                    cover[words.first[d] + s["start"]] += 1
+                    cover[words.first[d] + s["end"]] -= 1
+            hit = np.cumsum(cover)[:-1] > 0
             for d, names in touched.items():
                 lo, hi = int(words.first[d]), int(words.first[d + 1])
-                for s in spans[d]:
-                    cover[lo + s["start"]] += 1
-                    cover[lo + s["end"]] -= 1
                 inside = np.zeros(hi - lo + 2, np.int8)
-                inside[1:-1] = np.cumsum(cover[lo:hi]) > 0
+                inside[1:-1] = hit[lo:hi]
                 step = np.diff(inside)
                 starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
                 spans[d] = [{"start": int(a), "end": int(b)} for a, b in zip(starts, ends, strict=True)]

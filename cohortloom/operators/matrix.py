@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.operators.skew import PAGE_ROWS, SLICE_ROWS, nest, ranked
+from cohortloom.operators.skew import SLICE_ROWS, nest, ranked
 
 
 def value_at(names: Column, values: Column, name: str) -> Column:
@@ -22,18 +22,19 @@ def axis_index(df: DataFrame, order: Sequence[Column], name: str = "i", slice_ro
 
 
 def pack(
-    df: DataFrame, sample: str, index: str, value: str, n_genes: int | None = None, page_rows: int = PAGE_ROWS
+    df: DataFrame, sample: str, index: str, value: str, n_genes: int | None = None, page_rows: int | None = None
 ) -> DataFrame:
     """Long to one list per sample in gene-axis order.
 
-    A sample wider than ``page_rows`` goes on in rows with a higher ``page``.
-    With ``n_genes`` an incomplete sample is refused.
+    With ``page_rows`` a sample comes in pages, told apart by ``page`` and ``offset``.
+    With ``n_genes`` an incomplete sample is refused, its pages counted together.
     """
     packed = nest(df, [sample], [F.col(index)], [value], "__v", page_rows)
     values = F.transform("__v", lambda x: x[value])
-    out = packed.select(sample, "page", values.alias("values"))
+    out = packed.select(sample, *([] if page_rows is None else ["page", "offset"]), values.alias("values"))
     if n_genes is not None:
-        size = F.when(F.size("values") == n_genes, F.col("values")).otherwise(
+        width = F.size("values") if page_rows is None else F.sum(F.size("values")).over(Window.partitionBy(sample))
+        size = F.when(width == n_genes, F.col("values")).otherwise(
             F.raise_error(F.concat(F.lit("incomplete sample "), F.col(sample).cast("string"))).cast(
                 dict(out.dtypes)["values"]
             )
@@ -42,9 +43,11 @@ def pack(
     return out
 
 
-def unpack(df: DataFrame, sample: str, values: str, genes: DataFrame, index: str) -> DataFrame:
-    """List to long rows, joined to the gene axis by position."""
-    long = df.select(sample, F.posexplode(values).alias("__i", "value"))
+def unpack(df: DataFrame, sample: str, values: str, genes: DataFrame, index: str, offset: str | None = None) -> DataFrame:
+    """List to long rows, joined to the gene axis by position; ``offset`` names the column
+    that says where a page begins."""
+    long = df.select(sample, F.lit(0).alias("__from") if offset is None else F.col(offset).alias("__from"), F.posexplode(values).alias("__i", "value"))
+    long = long.withColumn("__i", F.col("__i") + F.col("__from")).drop("__from")
     g = genes.withColumnRenamed(index, "__gi")
     return long.join(g, F.col("__i") == F.col("__gi")).drop("__i").withColumnRenamed("__gi", index)
 

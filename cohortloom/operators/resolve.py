@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators.skew import PAGE_ROWS, nest, pick_by, ranked
+from cohortloom.operators.skew import nest, pick_by, ranked
 
 
 def prefixed(df: DataFrame, prefix: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -31,16 +31,20 @@ def attach_records(
     order: Sequence[Column],
     fields: Sequence[str],
     name: str,
-    page_rows: int = PAGE_ROWS,
+    page_rows: int | None = None,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Nest records under their case; a case without any gets an empty array."""
+    """Nest records under their case; a case without any gets an empty array.
+
+    With ``page_rows`` a case comes in pages, told apart by ``page`` and ``offset``.
+    """
     nested = prefixed(nest(records, [key], order, fields, name, page_rows, count_on=count_on), "__n_")
     j = cases.join(nested, F.col(key) == F.col(f"__n_{key}"), "left")
     empty = F.expr(f"CAST(array() AS {dict(nested.dtypes)['__n_' + name]})")
+    places = [] if page_rows is None else ["page", "offset"]
     return j.select(
         *cases.columns,
-        F.coalesce("__n_page", F.lit(0).cast("bigint")).alias("page"),
+        *[F.coalesce(f"__n_{p}", F.lit(0).cast("bigint")).alias(p) for p in places],
         F.coalesce(F.col("__n_" + name), empty).alias(name),
     )
 
@@ -208,12 +212,25 @@ def files_index(
 
 def nest_children(
     parents: DataFrame, children: DataFrame, parent_key: str, child_key: str,
-    order: Sequence[Column], fields: Sequence[str], name: str, page_rows: int = PAGE_ROWS,
+    order: Sequence[Column], fields: Sequence[str], name: str, page_rows: int | None = None,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Children as an ordered array column of their parent (see :func:`attach_records`)."""
+    """Children as an ordered array column of their parent (see :func:`attach_records`).
+
+    A child whose parent does not exist is an error when its row is reached.
+    """
     renamed = children.withColumn(parent_key, F.col(child_key)) if child_key != parent_key else children
-    return attach_records(parents, renamed, parent_key, order, fields, name, page_rows, count_on)
+    nested = prefixed(nest(renamed, [parent_key], order, fields, name, page_rows, count_on=count_on), "__n_")
+    known = parents.withColumn("__known", F.lit(True))
+    j = known.join(nested, F.col(parent_key) == F.col(f"__n_{parent_key}"), "full")
+    lost = F.concat(F.lit(f"{child_key} refers to a {parent_key} that does not exist: "), F.col(f"__n_{parent_key}").cast("string"))
+    checked = lambda c, kind: F.when(F.col("__known").isNull(), F.raise_error(lost).cast(kind)).otherwise(c)
+    kinds = dict(nested.dtypes)
+    values = {name: F.coalesce(F.col("__n_" + name), F.array().cast(kinds["__n_" + name]))}
+    places = {} if page_rows is None else {p: F.coalesce(f"__n_{p}", F.lit(0).cast("bigint")) for p in ("page", "offset")}
+    # The guard sits in the key and in every new column, so none can be read without it.
+    own = [checked(F.col(c), dict(parents.dtypes)[c]).alias(c) if c == parent_key else F.col(c) for c in parents.columns]
+    return j.select(*own, *[checked(v, kinds["__n_" + n]).alias(n) for n, v in {**places, **values}.items()])
 
 
 def orphans(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:

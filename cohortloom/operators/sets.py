@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators.skew import PAGE_ROWS, nest, ranked
+from cohortloom.operators.skew import nest, ranked
 
 
 def set_diff(want: DataFrame, have: DataFrame, key: str) -> DataFrame:
@@ -24,27 +26,39 @@ def union_pad(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def source_digest(
-    df: DataFrame, by: Sequence[str], key: str, value: str, page_rows: int = 1_000_000
-) -> DataFrame:
-    """Order-insensitive sha256 over the sorted ``key<TAB>value<NEWLINE>`` lines per group.
+def source_digest(df: DataFrame, by: Sequence[str], key: str, value: str) -> DataFrame:
+    """sha256 over the sorted ``key<TAB>value<NEWLINE>`` lines of each group, and their number.
 
-    A listing longer than ``page_rows`` lines is hashed page by page, its digest
-    being that of the page digests, so no task holds a whole listing's text.
+    A digest of a sorted listing is one chain, so a group's lines pass through one task;
+    they are sorted with spilling and hashed as they stream by, in constant memory.
     """
     line = F.concat(F.col(key).cast("string"), F.lit("\t"), F.col(value).cast("string"), F.lit("\n"))
-    pages = nest(df.select(*by, line.alias("line")), list(by), [F.col("line")], ["line"], "__l", page_rows)
-    text = F.array_join(F.transform("__l", lambda x: x["line"]), "")
-    per_page = pages.select(
-        *by, "page", F.size("__l").cast("bigint").alias("n"), F.sha2(text.cast("binary"), 256).alias("d")
-    )
-    chain = F.transform(
-        F.array_sort(F.collect_list(F.struct("page", "d"))), lambda x: F.concat(x["d"], F.lit("\n"))
-    )
-    many = F.sha2(F.array_join(chain, "").cast("binary"), 256)
-    return per_page.groupBy(*by).agg(
-        F.sum("n").alias("n"), F.when(F.count(F.lit(1)) == 1, F.min("d")).otherwise(many).alias("digest")
-    )
+    group = F.struct(*by)
+    rows = df.select(*by, line.alias("__line")).filter(F.col("__line").isNotNull())
+    rows = rows.select(F.to_json(group, {"ignoreNullFields": "false"}).alias("__g"), "__line")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, n, digest = None, 0, hashlib.sha256()
+        out: list[tuple[str, int, str]] = []
+        for batch in batches:
+            for g, text in zip(batch.column("__g").to_pylist(), batch.column("__line").to_pylist(), strict=True):
+                if g != now:
+                    if n:
+                        out.append((now, n, digest.hexdigest()))
+                    now, n, digest = g, 0, hashlib.sha256()
+                digest.update(text.encode())
+                n += 1
+        if n:
+            out.append((now, n, digest.hexdigest()))
+        yield pa.RecordBatch.from_pylist([dict(zip(("__g", "n", "digest"), r, strict=True)) for r in out], _DIGEST)
+
+    ordered = rows.repartition("__g").sortWithinPartitions("__g", "__line")
+    found = ordered.mapInArrow(hashed, "__g string, n bigint, digest string")
+    kinds = ", ".join(f"`{c}` {dict(df.dtypes)[c]}" for c in by)
+    return found.select(F.from_json("__g", kinds).alias("__k"), "n", "digest").select("__k.*", "n", "digest")
+
+
+_DIGEST = pa.schema([("__g", pa.string()), ("n", pa.int64()), ("digest", pa.string())])
 
 
 def sample_per_group(df: DataFrame, groups: Sequence[str], key: str, n: int, seed: str) -> DataFrame:
@@ -60,10 +74,10 @@ def populated_forms(df: DataFrame, forms: Sequence[str]) -> list[str]:
 
 
 def form_slices(
-    lines: DataFrame, key: str, order: Sequence[Column], line: str, header: Sequence[str], page_rows: int = PAGE_ROWS
+    lines: DataFrame, key: str, order: Sequence[Column], line: str, header: Sequence[str]
 ) -> DataFrame:
     """Each case's lines of a form, under the form's own header lines."""
-    n = nest(lines, [key], order, [line], "__l", page_rows)
+    n = nest(lines, [key], order, [line], "__l")
     body = F.transform("__l", lambda x: x[line])
     text = F.array_join(F.concat(F.array(*[F.lit(h) for h in header]), body), "\n")
-    return n.select(key, "page", text.alias("content"), F.size("__l").cast("bigint").alias("n_lines"))
+    return n.select(key, text.alias("content"), F.size("__l").cast("bigint").alias("n_lines"))

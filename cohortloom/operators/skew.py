@@ -6,11 +6,10 @@ no key exceeds ``slice_rows`` they plan the ordinary window. Otherwise the heavy
 keys are cut into ordered slices, each slice is processed by its own task, and a
 small table of slice totals is added back as an offset, so results are exact.
 
-Bounds: at most ``HOT_KEYS`` keys are sliced. A key beyond the first
-``HOT_KEYS`` holds less than ``1/HOT_KEYS`` of all rows, so it is one ordinary
-group. All heavy keys together get some ``CUTS`` cut points, shared by size. The
-broadcast tables (heavy keys, cut points, slice offsets) are therefore of fixed
-size whatever the data volume.
+Bounds: there are at most ``rows / slice_rows`` heavy keys, and about four cut points
+for each ``slice_rows`` rows of one, so every heavy key is cut and every slice stays
+near that size. The small tables (cut points, slice totals) are joined without a hint:
+Spark broadcasts them by their size at run time or splits the skewed join.
 """
 
 from __future__ import annotations
@@ -20,10 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-CUTS = 32_768
 SLICE_ROWS = 1_000_000
-PAGE_ROWS = 100_000
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -34,7 +30,7 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], slice_rows: int | None) -> list[tuple]:
-    """Keys with more than ``slice_rows`` rows: ``[(key values..., n)]``, bounded.
+    """Keys with more than ``slice_rows`` rows: ``[(key values..., n)]``.
 
     ``slice_rows=None`` says that groups are small by construction (say, one row per
     distinct follow-up day); then nothing is counted.
@@ -42,20 +38,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], slice_rows: int | None) -> list
     if slice_rows is None:
         return []
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return [
-        tuple(r)
-        for r in counts.filter(F.col("__n") > slice_rows)
-        .orderBy(F.col("__n").desc())
-        .limit(HOT_KEYS)
-        .collect()
-    ]
-
-
-def _cut_counts(hot: list[tuple], slice_rows: int) -> list[int]:
-    """Cut points per heavy key: about four per ``slice_rows`` rows, within the budget
-    ``CUTS`` that heavy keys share by size."""
-    total = sum(r[-1] for r in hot)
-    return [max(4, min(4 * r[-1] // slice_rows, CUTS * r[-1] // total)) for r in hot]
+    return [tuple(r) for r in counts.filter(F.col("__n") > slice_rows).collect()]
 
 
 def _slice(
@@ -69,8 +52,8 @@ def _slice(
     spark = df.sparkSession
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join([f"`__k_{k}` {types[k]}" for k in keys] + ["__every bigint"])
-    every = [(*r[:-1], max(1, r[-1] // m)) for r, m in zip(hot, _cut_counts(hot, slice_rows))]
-    hot_df = F.broadcast(spark.createDataFrame(every, schema))
+    every = [(*r[:-1], max(1, r[-1] // max(4, 4 * r[-1] // slice_rows))) for r in hot]
+    hot_df = spark.createDataFrame(every, schema)
     okey = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     keyed = df.withColumn("__o", okey)
     sampled = keyed.join(hot_df, _same(keyed, hot_df, keys)).filter(
@@ -84,7 +67,7 @@ def _slice(
         .withColumn("__b", block)
         .select(*names, "__cuts", "__b", F.filter("__cuts", lambda _, i: i % F.col("__b") == 0).alias("__coarse"))
     )
-    joined = keyed.join(F.broadcast(cuts), _same(keyed, cuts, keys), "left")
+    joined = keyed.join(cuts, _same(keyed, cuts, keys), "left")
     at_most = lambda s: s <= F.col("__o")
     blocks = F.size(F.filter("__coarse", at_most))
     start = (F.col("__blocks") - 1) * F.col("__b")
@@ -129,8 +112,10 @@ def running(
     )
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.repartition(*part).withColumns({f"__l_{n}": F.sum(f"__v_{n}").over(w) for n in sums})
-    joined = local.join(F.broadcast(offsets), _same(local, offsets, part), "left")
-    out = {n: F.col(f"__l_{n}") + F.coalesce(F.col(f"__off_{n}"), F.lit(0)) for n in sums}
+    joined = local.join(offsets, _same(local, offsets, part), "left")
+    # A sum is null only while neither this slice nor an earlier one has had a value.
+    plus = lambda n: F.coalesce(F.col(f"__l_{n}") + F.col(f"__off_{n}"), F.col(f"__l_{n}"), F.col(f"__off_{n}"))
+    out = {n: plus(n) for n in sums}
     return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
 
 
@@ -222,7 +207,7 @@ def paged(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    page_rows: int = PAGE_ROWS,
+    page_rows: int,
     slice_rows: int = SLICE_ROWS,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
@@ -237,18 +222,23 @@ def nest(
     order: Sequence[Column],
     fields: Sequence[str],
     name: str,
-    page_rows: int = PAGE_ROWS,
+    page_rows: int | None = None,
     slice_rows: int = SLICE_ROWS,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Ordered array of structs per key.
+    """Ordered array of structs per key: one row per key, whatever its size.
 
-    A key with more than ``page_rows`` children continues on further rows, told
-    apart by ``page``; no array grows with the data.
+    A caller whose keys have more children than a row should hold names ``page_rows``;
+    then every key comes in pages, with ``page`` and ``offset`` (the number of children
+    on earlier pages) as further columns. The form never depends on the data.
     """
+    strip = F.transform("__a", lambda x: F.struct(*[x[f].alias(f) for f in fields]))
+    if page_rows is None:
+        keyed = F.struct(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("__o"), *fields)
+        packed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(keyed)).alias("__a"))
+        return packed.select(*keys, strip.alias(name))
     rows = paged(df, keys, order, page_rows, slice_rows, count_on)
     packed = rows.groupBy(*keys, "page").agg(
         F.array_sort(F.collect_list(F.struct("rn", *fields))).alias("__a")
     )
-    strip = F.transform("__a", lambda x: F.struct(*[x[f].alias(f) for f in fields]))
-    return packed.select(*keys, "page", strip.alias(name))
+    return packed.select(*keys, "page", (F.col("page") * page_rows).alias("offset"), strip.alias(name))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators.skew import PAGE_ROWS, SLICE_ROWS, paged, pick_by
+from cohortloom.operators.skew import SLICE_ROWS, paged, pick_by
 
 # (array column, its id field) from the case down to the aliquot.
 LEVELS = (("samples", "sample_id"), ("portions", "portion_id"), ("analytes", "analyte_id"), ("aliquots", "aliquot_id"))
@@ -17,18 +17,19 @@ def nest_levels(
     leaves: DataFrame,
     keys: Sequence[str],
     levels: Sequence[tuple[str, Sequence[str]]],
-    page_rows: int = PAGE_ROWS,
+    page_rows: int | None = None,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Fold flat leaves into nested arrays, outermost level first in ``levels``.
 
     ``levels`` lists (array name, its fields); the first field of each is the id.
-    A tree row holds at most ``page_rows`` leaves; a larger tree goes on in rows
-    with a higher ``page``. All levels share the partitioning of the first step.
+    One tree row per key; with ``page_rows``, which the caller names, a tree comes in
+    pages of at most so many leaves. All levels share the partitioning of the first step.
     """
-    order = [F.col(f[0]) for _, f in levels]
-    cur = paged(leaves, keys, order, page_rows, slice_rows).drop("rn")
-    kept = [*keys, "page"]
+    cur, kept = leaves, list(keys)
+    if page_rows is not None:
+        order = [F.col(f[0]) for _, f in levels]
+        cur, kept = paged(leaves, keys, order, page_rows, slice_rows).drop("rn"), [*keys, "page"]
     for depth in range(len(levels) - 1, -1, -1):
         name, fields = levels[depth]
         upper = [c for _, f in levels[:depth] for c in f]
@@ -60,7 +61,7 @@ def explode_tree(
     return cur.select(*keep, *done, F.struct(*places).alias("pos"))
 
 
-def leaf_dim(rows: DataFrame, leaf: str, order: Sequence[str] = ("page", "pos")) -> DataFrame:
+def leaf_dim(rows: DataFrame, leaf: str, order: Sequence[str] = ("pos",)) -> DataFrame:
     """Leaf id to parents: null ids dropped, the last of several wins."""
     return pick_by(rows.filter(F.col(leaf).isNotNull()), [leaf], [F.col(c) for c in order], last=True)
 

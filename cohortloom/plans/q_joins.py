@@ -36,21 +36,20 @@ def measures(t: Tables):
     )
 
 
-def attached(t: Tables, page_rows: int):
+def attached(t: Tables):
     m = rs.lookup(measures(t), aliquot_dim(t), "aliquot_id", "aliquot_id", {"sample_id": "sample_id"})
     return rs.attach_records(
         t.cases.select("case_id", "submitter_id"), m, "case_id", [F.col("aliquot_id")],
-        ["aliquot_id", "sample_id", "quantity"], "records", page_rows, count_on=measures(t).select("case_id"),
+        ["aliquot_id", "sample_id", "quantity"], "records",
     )
 
 
-@query("attach_records", ALQ + """, numbered AS (SELECT m.*, d.sample_id, (row_number() OVER (PARTITION BY m.case_id ORDER BY m.aliquot_id) - 1) // 400 AS page
-   FROM measure m LEFT JOIN dim d USING (aliquot_id)),
-packed AS (SELECT case_id, page, string_agg(aliquot_id || ':' || coalesce(CAST(sample_id AS VARCHAR), '?'), '|' ORDER BY aliquot_id) AS records FROM numbered GROUP BY ALL)
-SELECT c.case_id, coalesce(page, 0) AS page, coalesce(records, '') AS records FROM cases c LEFT JOIN packed p USING (case_id)""")
+@query("attach_records", ALQ + """, numbered AS (SELECT m.*, d.sample_id FROM measure m LEFT JOIN dim d USING (aliquot_id)),
+packed AS (SELECT case_id, string_agg(aliquot_id || ':' || coalesce(CAST(sample_id AS VARCHAR), '?'), '|' ORDER BY aliquot_id) AS records FROM numbered GROUP BY ALL)
+SELECT c.case_id, coalesce(records, '') AS records FROM cases c LEFT JOIN packed p USING (case_id)""")
 def _attach_records(t: Tables):
-    a = attached(t, page_rows=400)
-    return a.select("case_id", "page", join_text("records", "aliquot_id", "sample_id").alias("records"))
+    a = attached(t)
+    return a.select("case_id", join_text("records", "aliquot_id", "sample_id").alias("records"))
 
 
 @query("attach_variants", with_("samples", "aliquots", body=""",
@@ -213,7 +212,7 @@ def _specimen_attach(t: Tables):
     n = nest(t.forms, ["case_id", "kind"], [F.col("row_no")], ["row_no"], "rows")
     kinds = ["click", "error", "view"]
     text = F.array_join(F.transform("rows", lambda x: x["row_no"].cast("string")), "|")
-    wide = n.withColumn("text", text).groupBy("case_id", "page").agg(
+    wide = n.withColumn("text", text).groupBy("case_id").agg(
         *[F.max(F.when(F.col("kind") == k, F.col("text"))).alias(k) for k in kinds]
     )
     j = rs.lookup(t.cases.select("case_id"), wide, "case_id", "case_id", {k: k for k in kinds})
@@ -256,15 +255,14 @@ def _files_index(t: Tables):
 
 
 @query("nest_children", with_("cases", "samples", body=""",
-n AS (SELECT case_id, sample_id, day, (row_number() OVER (PARTITION BY case_id ORDER BY day NULLS LAST, sample_id) - 1) // 8 AS page FROM samples),
-p AS (SELECT case_id, page, string_agg(sample_id || ':' || day, '|' ORDER BY day, sample_id) AS children FROM n GROUP BY ALL)
-SELECT c.case_id, coalesce(page, 0) AS page, coalesce(children, '') AS children FROM cases c LEFT JOIN p USING (case_id)"""))
+p AS (SELECT case_id, string_agg(sample_id || ':' || day, '|' ORDER BY day, sample_id) AS children FROM samples GROUP BY ALL)
+SELECT c.case_id, coalesce(children, '') AS children FROM cases c LEFT JOIN p USING (case_id)"""))
 def _nest_children(t: Tables):
     out = rs.nest_children(
         t.cases.select("case_id"), t.samples, "case_id", "case_id",
-        [F.col("day").isNull(), F.col("day"), F.col("sample_id")], ["sample_id", "day"], "children", page_rows=8,
+        [F.col("day").isNull(), F.col("day"), F.col("sample_id")], ["sample_id", "day"], "children",
     )
-    return out.select("case_id", "page", join_text("children", "sample_id", "day").alias("children"))
+    return out.select("case_id", join_text("children", "sample_id", "day").alias("children"))
 
 
 @query("orphan_check", "SELECT event_id, user_id FROM events WHERE user_id * 12 NOT IN (SELECT c_custkey FROM customer)")
@@ -281,11 +279,10 @@ SELECT c.case_id, coalesce(samples, '') AS samples, coalesce(timeline, '') AS ti
 def _patient_table(t: Tables):
     inner = rs.nest_children(
         t.samples.select("sample_id", "case_id"), t.aliquots, "sample_id", "sample_id", [F.col("aliquot_id")], ["aliquot_id"], "aliquots"
-    ).drop("page")
+    )
     whole = rs.nest_children(
         t.cases.select("case_id"), inner, "case_id", "case_id", [F.col("sample_id")], ["sample_id", "aliquots"], "samples",
-        count_on=t.samples.select("case_id"),
-    ).drop("page")
+    )
     whole = rs.nest_children(
         whole, t.forms.filter("kind = 'view'"), "case_id", "case_id", [F.col("day"), F.col("row_no")], ["day", "row_no"], "timeline"
     )

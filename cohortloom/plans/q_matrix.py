@@ -17,18 +17,17 @@ c = F.col
 
 
 @query("struct_of_arrays", with_("aliquots", body="""
-, n AS (SELECT *, (row_number() OVER (PARTITION BY sample_id ORDER BY aliquot_id) - 1) // 5 AS page FROM aliquots)
-SELECT sample_id, page, string_agg(CAST(gene_id AS VARCHAR), ',' ORDER BY aliquot_id) AS genes, string_agg(CAST(CAST(quantity AS BIGINT) AS VARCHAR), ',' ORDER BY aliquot_id) AS quantities FROM n GROUP BY ALL"""))
+SELECT sample_id, string_agg(CAST(gene_id AS VARCHAR), ',' ORDER BY aliquot_id) AS genes, string_agg(CAST(CAST(quantity AS BIGINT) AS VARCHAR), ',' ORDER BY aliquot_id) AS quantities FROM aliquots GROUP BY ALL"""))
 def _struct_of_arrays(t: Tables):
     a = t.aliquots.select("sample_id", "aliquot_id", "gene_id", c("quantity").cast("bigint").alias("quantity"))
-    n = nest(a, ["sample_id"], [c("aliquot_id")], ["gene_id", "quantity"], "rows", page_rows=5)
+    n = nest(a, ["sample_id"], [c("aliquot_id")], ["gene_id", "quantity"], "rows")
     record = F.struct(
         F.transform("rows", lambda x: x["gene_id"]).alias("gene_id"),
         F.transform("rows", lambda x: x["quantity"]).alias("quantity"),
     )
-    s = n.select("sample_id", "page", record.alias("record"))
+    s = n.select("sample_id", record.alias("record"))
     text = lambda f: F.array_join(F.transform(c("record")[f], lambda v: v.cast("string")), ",")
-    return s.select("sample_id", "page", text("gene_id").alias("genes"), text("quantity").alias("quantities"))
+    return s.select("sample_id", text("gene_id").alias("genes"), text("quantity").alias("quantities"))
 
 
 @query("variants_by_case", with_("samples", "aliquots", body="""
@@ -54,12 +53,12 @@ def long_vectors(t: Tables):
     return t.embeddings.select("vec_id", F.posexplode("embedding").alias("i", "v"))
 
 
-@query("matrix_pack", "WITH " + EMB + """SELECT vec_id, 0::BIGINT AS page, count(*) AS width, round(sum(v::DOUBLE * (i + 1)), 6) AS weighted FROM e GROUP BY 1""")
+@query("matrix_pack", "WITH " + EMB + """SELECT vec_id, count(*) AS width, round(sum(v::DOUBLE * (i + 1)), 6) AS weighted FROM e GROUP BY 1""")
 def _matrix_pack(t: Tables):
     packed = mx.pack(long_vectors(t), "vec_id", "i", "v", n_genes=64)
     products = F.transform("values", lambda v, i: v.cast("double") * (i + 1))
     return packed.select(
-        "vec_id", "page", F.size("values").cast("bigint").alias("width"),
+        "vec_id", F.size("values").cast("bigint").alias("width"),
         F.round(F.aggregate(products, F.lit(0.0), lambda a, x: a + x), 6).alias("weighted"),
     )
 
@@ -270,13 +269,11 @@ def _after_death(t: Tables):
 
 @query("source_digest", with_("files", body="""
 , ln AS (SELECT project_id, file_id || chr(9) || md5sum || chr(10) AS line FROM files),
-pg AS (SELECT *, (row_number() OVER (PARTITION BY project_id ORDER BY line) - 1) // 20 AS page FROM ln),
-d AS (SELECT project_id, page, count(*) AS n, sha256(string_agg(line, '' ORDER BY line)) AS digest FROM pg GROUP BY ALL)
-SELECT project_id, CAST(sum(n) AS BIGINT) AS n, CASE WHEN count(*) = 1 THEN min(digest) ELSE sha256(string_agg(digest || chr(10), '' ORDER BY page)) END AS digest FROM d GROUP BY 1"""))
+SELECT project_id, count(*) AS n, sha256(string_agg(line, '' ORDER BY line)) AS digest FROM ln GROUP BY 1"""))
 def _source_digest(t: Tables):
     from cohortloom.operators.sets import source_digest
 
-    return source_digest(t.files, ["project_id"], "file_id", "md5sum", page_rows=20)
+    return source_digest(t.files, ["project_id"], "file_id", "md5sum")
 
 
 @query("set_diff", """SELECT 'missing' AS side, c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT user_id * 7 FROM events)
@@ -325,7 +322,7 @@ def _flex_forms(t: Tables):
     f = t.forms.filter("cast(k as int) > 97")
     n = nest(f, ["case_id", "kind"], [c("row_no")], ["row_no"], "rows")
     kinds = ["click", "view", "signup", "purchase", "error", "radiation"]
-    wide = n.groupBy("case_id", "page").agg(
+    wide = n.groupBy("case_id").agg(
         *[F.max(F.when(c("kind") == k, c("rows"))).alias(k) for k in kinds]
     )
     kept = populated_forms(wide, kinds)

@@ -22,20 +22,20 @@ LEVELS = [
 CASE = ["case_id", "submitter_id", "project_id"]
 
 
-def case_tree(t: Tables, page_rows: int = 100_000):
+def case_tree(t: Tables):
     """Cases with their nested samples; the array is null for a case without any."""
     leaves = t.samples.select("case_id", "sample_id", "sample_type", "day").join(
         t.aliquots.select("sample_id", "portion_no", "analyte_type", "aliquot_id", "quantity"),
         "sample_id", "left",
     )
-    nested = rs.prefixed(tr.nest_levels(leaves, ["case_id"], LEVELS, page_rows), "n_")
+    nested = rs.prefixed(tr.nest_levels(leaves, ["case_id"], LEVELS), "n_")
     j = t.cases.select(*CASE).join(nested, F.col("case_id") == F.col("n_case_id"), "left")
-    return j.select(*CASE, F.coalesce("n_page", F.lit(0).cast("bigint")).alias("page"), F.col("n_samples").alias("samples"))
+    return j.select(*CASE, F.col("n_samples").alias("samples"))
 
 
 def chain(t: Tables):
     """Every leaf of the tree with all its parents."""
-    return tr.explode_tree(case_tree(t), [*CASE, "page"], LEVELS)
+    return tr.explode_tree(case_tree(t), CASE, LEVELS)
 
 
 def aliquot_dim(t: Tables):
@@ -54,7 +54,7 @@ def _scan_case_tree(t: Tables):
     path = shared_dir(t.spark, "case-tree")
     case_tree(t).write.json(path, ignoreNullFields=True)
     schema = (
-        "case_id bigint, submitter_id string, project_id string, page bigint, samples array<struct<sample_id bigint, "
+        "case_id bigint, submitter_id string, project_id string, samples array<struct<sample_id bigint, "
         "sample_type string, day bigint, portions array<struct<portion_no int, analytes array<struct<analyte_type string, "
         "aliquots array<struct<aliquot_id string, quantity double>>>>>>>>"
     )
@@ -79,7 +79,7 @@ def _aliquot_dim(t: Tables):
 
 @query("provenance_chain", LEAVES + "SELECT * EXCLUDE (day, quantity) FROM leaf")
 def _provenance_chain(t: Tables):
-    return chain(t).drop("page", "pos", "day", "quantity")
+    return chain(t).drop("pos", "day", "quantity")
 
 
 @query("tree_filters", LEAVES + """SELECT case_id, count(DISTINCT sample_id) FILTER (WHERE sample_type = 'F') AS tumor_samples,
@@ -120,7 +120,7 @@ SELECT c.case_id, c.submitter_id, c.project_id, 'https://portal.gdc.cancer.gov/c
 def patient_rows(t: Tables):
     return tr.canonical_patient(
         case_tree(t).withColumn("samples", tr.sort_temporal(F.col("samples"), "day", "sample_id")),
-        [*CASE, "page"],
+        CASE,
         sc.case_url(F.col("case_id")),
         ["samples"],
         {"mutations": "array<string>", "expression": "array<string>"},
@@ -143,7 +143,7 @@ def _patient_row(t: Tables):
 @query("cases_projection", PATIENT.replace("{extra}", ""))
 def _cases_projection(t: Tables):
     molecular = ["mutations", "expression", "survival_derived"]
-    return patient_rows(t).drop(*molecular, "page").withColumn("samples", sample_text())
+    return patient_rows(t).drop(*molecular).withColumn("samples", sample_text())
 
 
 @query("summary_sorted", with_("files", body="""

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.operators import folds, matrix, pathway, sets, skew
+from cohortloom.operators import folds, matrix, pathway, resolve, sets, skew
 
 
 @pytest.fixture(scope="module")
@@ -61,12 +61,42 @@ def test_nest_pages_lose_nothing(rows):
     n = skew.nest(df, ["k"], [F.col("i")], ["i", "v"], "items", page_rows=64, slice_rows=300)
     got = {}
     for r in n.orderBy("k", "page").collect():
-        assert len(r["items"]) <= 64
+        assert len(r["items"]) <= 64 and r.offset == len(got.get(r.k, []))
         got.setdefault(r.k, []).extend(x.i for x in r["items"])
     want = {}
     for k, i, _, _ in data:
         want.setdefault(k, []).append(i)
     assert got == want
+    whole = skew.nest(df, ["k"], [F.col("i")], ["i", "v"], "items")
+    assert whole.columns == ["k", "items"] and {r.k: [x.i for x in r["items"]] for r in whole.collect()} == want
+
+
+@pytest.mark.parametrize("page_rows", [None, 3, 10**6])
+def test_pack_and_unpack_round_trip(spark, page_rows):
+    long = spark.createDataFrame([(s, g, float(10 * s + g)) for s in range(4) for g in range(8)], "s int, i int, v double")
+    packed = matrix.pack(long, "s", "i", "v", n_genes=8, page_rows=page_rows)
+    genes = spark.createDataFrame([(g, f"g{g}") for g in range(8)], "gi int, name string")
+    back = matrix.unpack(packed, "s", "values", genes, "gi", None if page_rows is None else "offset")
+    assert {(r.s, r.name, r.value) for r in back.collect()} == {(s, f"g{g}", float(10 * s + g)) for s in range(4) for g in range(8)}
+    with pytest.raises(Exception, match="incomplete"):
+        matrix.pack(long.filter("s <> 1 or i <> 5"), "s", "i", "v", n_genes=8, page_rows=page_rows).collect()
+
+
+@pytest.mark.parametrize("slice_rows", [20, 10**6])
+def test_running_sum_over_nulls(spark, slice_rows):
+    df = spark.range(100).select(F.lit("k").alias("k"), "id", F.when(F.col("id").isin(10, 60), 10).alias("v"))
+    got = {r.id: r.s for r in skew.running(df, ["k"], [F.col("id")], {"s": F.col("v")}, slice_rows=slice_rows).collect()}
+    assert got == {i: None if i < 10 else 10 if i < 60 else 20 for i in range(100)}
+
+
+@pytest.mark.parametrize("page_rows", [None, 2])
+def test_children_without_parent_are_refused(spark, page_rows):
+    parents = spark.createDataFrame([(1,), (2,)], "p int")
+    kids = spark.createDataFrame([(1, 5), (1, 6), (1, 7)], "p int, n int")
+    got = resolve.nest_children(parents, kids, "p", "p", [F.col("n")], ["n"], "kids", page_rows).collect()
+    assert sorted((r.p, len(r.kids)) for r in got) == ([(1, 3), (2, 0)] if page_rows is None else [(1, 1), (1, 2), (2, 0)])
+    with pytest.raises(Exception, match="does not exist"):
+        resolve.nest_children(parents, kids.union(spark.createDataFrame([(9, 1)], kids.schema)), "p", "p", [F.col("n")], ["n"], "kids", page_rows).collect()
 
 
 def test_pick_by_takes_whole_rows(spark):

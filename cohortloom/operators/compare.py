@@ -19,9 +19,7 @@ TABLE1_VOCAB = {
 
 def classify(c_e: Column, c_t: Column, d_e: Column, d_t: Column) -> Column:
     """Five-way agreement class of one endpoint."""
-    same_time = (c_t.isNull() & d_t.isNull()) | (
-        F.abs(F.coalesce(c_t, F.lit(0.0)) - F.coalesce(d_t, F.lit(0.0))) < 0.5
-    )
+    same_time = (c_t.isNull() & d_t.isNull()) | F.coalesce(F.abs(c_t - d_t) < 0.5, F.lit(False))
     return (
         F.when(c_e.isNull() & d_e.isNull(), "both_na")
         .when(c_e.isNull(), "der_pop_cdr_na")

@@ -37,22 +37,22 @@ def average_rank(
     df: DataFrame, sample: str, value: str, name: str = "avg_rank", slice_rows: int = SLICE_ROWS,
     hot: list[tuple] | None = None,
 ) -> DataFrame:
-    """Ascending rank per sample, equal values sharing their mean rank."""
+    """Ascending rank per sample, values equal in single precision sharing their mean rank."""
     if hot is None:
         hot = hot_keys(df, [sample], slice_rows)
     if not hot:
         # Rank and tie count read one sort: ties are the current row's peers.
-        w = Window.partitionBy(sample).orderBy(value)
+        w = Window.partitionBy(sample).orderBy(F.col(value).cast("float"))
         ties = F.count(F.lit(1)).over(w.rangeBetween(Window.currentRow, Window.currentRow))
         return df.withColumn(name, F.rank().over(w) + (ties - 1) / 2.0)
-    hist = df.groupBy(sample, value).agg(F.count(F.lit(1)).alias("__c"))
-    cum = running(hist, [sample], [F.col(value)], {"__cum": F.col("__c")}, slice_rows)
+    hist = df.groupBy(sample, F.col(value).cast("float").alias("__f")).agg(F.count(F.lit(1)).alias("__c"))
+    cum = running(hist, [sample], [F.col("__f")], {"__cum": F.col("__c")}, slice_rows)
     ranks = cum.select(
         F.col(sample).alias("__s"),
-        F.col(value).alias("__v"),
+        F.col("__f").alias("__v"),
         (F.col("__cum") - F.col("__c") + (F.col("__c") + 1) / 2.0).alias(name),
     )
-    return df.join(ranks, (F.col(sample) == F.col("__s")) & F.col(value).eqNullSafe(F.col("__v"))).drop("__s", "__v")
+    return df.join(ranks, (F.col(sample) == F.col("__s")) & F.col(value).cast("float").eqNullSafe(F.col("__v"))).drop("__s", "__v")
 
 
 def ssgsea_scores(
@@ -68,13 +68,20 @@ def ssgsea_scores(
 
     With ``q`` a gene's ascending position (ties: later genes first) and
     ``w = trunc(rank) ** 0.25``, a set of ``k`` out of ``n`` genes scores
-    ``sum(w q)/sum(w) - (n(n+1)/2 - sum(q)) / (n - k)``.
+    ``sum(w q)/sum(w) - (n(n+1)/2 - sum(q)) / (n - k)``. Values are compared in single
+    precision, as expression tables store them. ``gene_order`` may be of any type with an
+    order; text ids are numbered first.
     """
+    later = F.col(gene_order)
+    if dict(expr.dtypes)[gene_order] in ("string", "binary", "date", "timestamp"):
+        places = ranked(expr.select(F.col(gene_order).alias("__id")).distinct(), [], [F.col("__id")], "__place")
+        expr = expr.join(places, F.col(gene_order) == F.col("__id")).drop("__id")
+        later = F.col("__place")
     hot = hot_keys(expr, [sample], slice_rows)
     # Mean ranks of different values are at least 1 apart, so truncation keeps the
     # order: positions by rank are positions by value. Placing the genes first lets
     # ranks and the gene count reuse that sort and its partitioning.
-    pos = ranked(expr, [sample], [F.col(value), -F.col(gene_order)], "__q", slice_rows, hot)
+    pos = ranked(expr, [sample], [F.col(value).cast("float"), -later], "__q", slice_rows, hot)
     pos = average_rank(pos, sample, value, "__r", slice_rows, hot).withColumn("__r", F.floor("__r"))
     if not hot:
         pos = pos.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(sample)))

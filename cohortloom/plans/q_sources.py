@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cohortloom.functions import scalars as sc
@@ -39,11 +40,18 @@ def _scan_text_coerce(t: Tables):
     depth = F.when(c("l_returnflag") == "R", "bad").when(c("l_returnflag") == "A", text(c("l_quantity").cast("bigint"))).otherwise(F.concat(text(c("l_quantity").cast("bigint")), F.lit(".0")))
     score = F.when(~((c("l_linestatus") == "F") & (c("l_returnflag") == "A")), money("l_extendedprice"))
     body = t.lineitem.select(tabbed(*[text(k) for k in KEYS], depth, score, F.when(c("l_tax") > 0, "NA")).alias("value"))
-    top = t.region.select(F.explode(F.array(F.concat(F.lit("#version "), "r_name"), F.lit("\t".join(header)))).alias("value"))
     path = shared_dir(t.spark, "variants")
-    # Comment and header lines stand in files of their own and in every layout alike.
-    body.unionByName(top).write.text(path)
-    rows = tx.delimited(tx.read_lines(t.spark, path), header)
+
+    def with_top(batches):
+        for k, batch in enumerate(batches):
+            if k == 0:
+                yield pa.RecordBatch.from_pylist([{"value": "#version 2.4"}, {"value": "\t".join(header)}], batch.schema)
+            yield batch
+
+    # Every file begins with a comment line and its header.
+    body.mapInArrow(with_top, "value string").write.text(path)
+    wanted = [*KEYS, "score", "note", "depth"]
+    rows = tx.delimited_files(tx.read_lines(t.spark, path), wanted, keep=[])
     out = tx.coerce(rows, [*KEYS, "depth"], ["score"])
     return out.withColumn("l_linenumber", c("l_linenumber").cast("int"))
 
@@ -156,7 +164,7 @@ def _gene_level(t: Tables):
 def _headerless(t: Tables):
     beta = F.when(c("event_type") == "error", "NA").otherwise(c("value").cast("decimal(18,2)").cast("string"))
     lines = t.events.select(tabbed(F.concat(F.lit("cg"), text("event_id")), beta).alias("line"))
-    parsed = tx.delimited(lines, ["probe_id", "beta_value"], nulls=("NA", ""), comment=None, has_header=False)
+    parsed = tx.delimited(lines, ["probe_id", "beta_value"], nulls=("NA", ""))
     return tx.coerce(parsed, floats=["beta_value"])
 
 
@@ -182,15 +190,19 @@ def _protein(t: Tables):
 
 
 @query("scan_multiheader", """
-WITH raw AS (SELECT doc_id, unnest(string_split(regexp_replace(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g'), '[\\t"\\r]', '', 'g'), chr(10))) AS line, unnest(range(1, 1 + len(string_split(text, chr(10))))) AS n FROM documents),
+WITH raw AS (SELECT doc_id, unnest(string_split(replace(text, chr(13), ''), chr(10))) AS line, unnest(range(1, 1 + len(string_split(text, chr(10))))) AS n FROM documents),
 kept AS (SELECT doc_id, n, string_split(line, '. ') AS cells FROM raw WHERE replace(line, '. ', '') <> ''),
 cells AS (SELECT doc_id, n, unnest([1, 2, 3]) AS k, cells FROM kept)
 SELECT 'form_' || doc_id AS file_name, k AS col, count(*) AS rows, CAST(sum(length(coalesce(cells[k], ''))) AS BIGINT) AS chars, count_if(coalesce(cells[k], '') = '')::BIGINT AS empties FROM cells GROUP BY ALL""")
 def _multiheader(t: Tables):
-    ascii_only = F.regexp_replace(F.regexp_replace("text", r"[^\x00-\x7F]", ""), '[\\t"\\r]', "")
+    clean = F.replace(F.col("text"), F.lit("\r"), F.lit(""))
+    quoted = lambda x: F.when(x.rlike('[\\t"]'), F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(x)
+    row = lambda line: F.array_join(F.transform(F.split(line, r"\. ", -1), quoted), "\t")
+    table = F.array_join(F.transform(F.split(clean, "\n", -1), row), "\n")
     head = F.lit("c1\tc2\tc3\nalias1\talias2\talias3\nCDE:1\tCDE:2\tCDE:3\n")
     # Every document is one form: its lines are rows, its sentences cells.
-    content = F.encode(F.concat(head, F.replace(ascii_only, F.lit(". "), F.lit("\t"))), "ISO-8859-1")
+    safe = F.regexp_replace(F.concat(head, table), r"[^\x00-\x{FF}]", "?")
+    content = F.encode(safe, "ISO-8859-1")
     files = t.documents.select(F.concat(F.lit("form_"), text("doc_id")).alias("file_name"), content.alias("content"))
     cells = tx.multi_header(files, "file_name")
     return cells.groupBy("file_name", F.substring("column", 2, 1).cast("int").alias("col")).agg(

@@ -38,28 +38,51 @@ def delimited(
     header: Sequence[str],
     keep: Sequence[str] = (),
     nulls: Sequence[str] = ("",),
-    comment: str | None = "#",
     rename: dict[str, str] | None = None,
     columns: Sequence[str] | None = None,
-    has_header: bool = True,
     sep: str = "\t",
 ) -> DataFrame:
-    """Text columns of a table with a known header; only ``nulls`` tokens become null.
+    """Text columns of lines that all are rows of a table with these columns, in this order.
 
-    Comment and header lines are recognised by content, so any split can drop them.
-    ``columns`` prunes, ``rename`` maps header names to output names.
+    Only ``nulls`` tokens become null. ``columns`` prunes, ``rename`` maps header names to
+    output names. Files with a header of their own are for :func:`delimited_files`.
     """
-    good = F.lit(True)
-    if comment:
-        good = good & ~F.col("line").startswith(comment)
-    if has_header:
-        good = good & (F.col("line") != sep.join(header))
-    cells = F.split("line", sep)
+    cells = F.split("line", sep, -1)
     rename = rename or {}
     wanted = list(columns or header)
-    return lines.filter(good).select(
-        *keep, *[cell(cells, list(header).index(n), nulls).alias(rename.get(n, n)) for n in wanted]
-    )
+    return lines.select(*keep, *[cell(cells, list(header).index(n), nulls).alias(rename.get(n, n)) for n in wanted])
+
+
+def delimited_files(
+    lines: DataFrame,
+    columns: Sequence[str],
+    keep: Sequence[str] = ("file_name",),
+    nulls: Sequence[str] = ("",),
+    comment: str | None = "#",
+    rename: dict[str, str] | None = None,
+    file: str = "file_name",
+    order: Sequence[str] = ("block", "seq"),
+    sep: str = "\t",
+) -> DataFrame:
+    """Text columns of whole files, each with its own header line.
+
+    A file's header is its first line that is no comment; its columns are found by name,
+    in whatever order they stand, and a file that lacks one is refused. Comment lines
+    before the header are dropped, every line after it is a row.
+    """
+    place = F.struct(*order)
+    real = lines if comment is None else lines.filter(~F.col("line").startswith(comment))
+    heads = real.groupBy(F.col(file).alias("__file")).agg(F.min_by("line", place).alias("__head"), F.min(place).alias("__at"))
+    rows = lines.join(heads, F.col(file) == F.col("__file")).filter(place > F.col("__at"))
+    cells, names, rename = F.split("line", sep, -1), F.split("__head", sep, -1), rename or {}
+
+    def named(n: str) -> Column:
+        at = F.array_position(names, n)
+        lost = F.raise_error(F.concat(F.lit(f"no column {n} in "), F.col(file))).cast("string")
+        value = F.get(cells, (at - 1).cast("int"))
+        return F.when(at == 0, lost).otherwise(F.when(~value.isin(*nulls), value)).alias(rename.get(n, n))
+
+    return rows.select(*keep, *[named(n) for n in columns])
 
 
 def to_int(c: Column) -> Column:
@@ -97,6 +120,19 @@ def read_forms(spark: SparkSession, path: str) -> DataFrame:
     return multi_header(files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "content"), "file_name")
 
 
+# A cell is quoted if a quote stands at its beginning; within, quotes are doubled, and tabs and
+# line ends are text. A quote that is never closed goes to the end of the file.
+_QUOTED = r'"[^"]*(?:""[^"]*)*(?:"[^\t\n]*|\z)'
+_CELL = rf"(?:{_QUOTED}|[^\t\n]*)"
+_LINE = rf"({_CELL}(?:\t{_CELL})*)(?:\n|\z)"
+
+
+def _unquoted(value: Column) -> Column:
+    inner = F.regexp_extract(value, r'(?s)\A"([^"]*(?:""[^"]*)*)"?(.*)\z', 1)
+    rest = F.regexp_extract(value, r'(?s)\A"([^"]*(?:""[^"]*)*)"?(.*)\z', 2)
+    return F.when(value.startswith('"'), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), rest)).otherwise(value)
+
+
 def multi_header(files: DataFrame, name: str, content: str = "content", charset: str = "ISO-8859-1") -> DataFrame:
     """Cells of forms with three header lines: ``(file, row, column, value)``.
 
@@ -104,17 +140,17 @@ def multi_header(files: DataFrame, name: str, content: str = "content", charset:
     rows skipped; a file under four lines has no rows.
     """
     text = F.regexp_replace(F.decode(F.col(content), charset), "\r\n?", "\n")
-    lines = files.select(name, F.split(F.regexp_replace(text, "\n$", ""), "\n").alias("__lines"))
-    header = F.split(F.get("__lines", F.lit(0)), "\t")
+    found = F.regexp_extract_all(F.regexp_replace(text, "\n\\z", ""), F.lit(_LINE), F.lit(1))
+    # After the last line the pattern matches once more, at the very end.
+    lines = files.select(name, found.alias("__all")).select(name, F.slice("__all", F.lit(1), F.size("__all") - 1).alias("__lines"))
+    cells = lambda line: F.transform(F.regexp_extract_all(line, F.lit(rf"(?:\A|\t)({_CELL})"), F.lit(1)), _unquoted)
     rows = lines.filter(F.size("__lines") >= 4).select(
-        name, header.alias("__h"), F.posexplode("__lines").alias("__no", "__line")
+        name, cells(F.get("__lines", F.lit(0))).alias("__h"), F.posexplode("__lines").alias("__no", "__line")
     )
     body = rows.filter((F.col("__no") >= 3) & (F.regexp_replace("__line", "\t", "") != ""))
-    cells = F.split("__line", "\t")
-    value = F.coalesce(F.get(cells, F.col("__pos")), F.lit(""))
-    quoted = F.when(value.rlike('^".*"$'), F.replace(F.substring(value, F.lit(2), F.length(value) - 2), F.lit('""'), F.lit('"')))
-    return body.select(name, (F.col("__no") - 3).alias("row"), "__line", F.posexplode("__h").alias("__pos", "column")).select(
-        name, "row", "column", F.coalesce(quoted, value).alias("value")
+    split = body.select(name, (F.col("__no") - 3).alias("row"), "__h", cells(F.col("__line")).alias("__cells"))
+    return split.select(name, "row", "__cells", F.posexplode("__h").alias("__pos", "column")).select(
+        name, "row", "column", F.coalesce(F.get("__cells", F.col("__pos")), F.lit("")).alias("value")
     )
 
 
@@ -124,7 +160,7 @@ def gene_sets(lines: DataFrame, order: Sequence[str], pathway: str = "pathway",
     fields = F.split("line", "\t")
     parsed = lines.filter(F.size(fields) > 2).select(F.get(fields, F.lit(0)).alias(pathway), *order, "line")
     last = parsed.groupBy(pathway).agg(F.max_by("line", F.struct(*order)).alias("line"))
-    return last.select(pathway, F.explode(F.slice(F.split("line", "\t"), 3, 1_000_000_000)).alias(gene)).filter(F.col(gene) != "")
+    return last.select(pathway, F.explode(F.slice(F.split("line", "\t", -1), F.lit(3), F.size(F.split("line", "\t", -1)))).alias(gene)).filter(F.col(gene) != "")
 
 
 def binary_documents(files: DataFrame, manifest: DataFrame, name: str) -> DataFrame:

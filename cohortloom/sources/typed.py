@@ -39,7 +39,9 @@ def is_exact_float(v: Column) -> Column:
     finite = F.abs(number) < float("inf")
     alive = (number != 0) | (digits(v) == "")
     n = F.length(digits(v))
-    return shaped & finite & alive & ((n <= 15) | ((n <= 17) & (digits(number.cast("string")) == digits(v))))
+    # Below the smallest normal number, fewer digits survive.
+    normal = (F.abs(number) >= 2.3e-308) | (digits(v) == "")
+    return shaped & finite & alive & (((n <= 15) & normal) | ((n <= 17) & (digits(number.cast("string")) == digits(v))))
 
 
 def column_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
@@ -69,7 +71,8 @@ def read_study_table(
     Zero or four ``#`` lines come first; ragged rows and repeated names are refused;
     declared STRING and BOOLEAN stay text, declared NUMBER must be numeric.
     """
-    top = [r["line"] for r in lines.orderBy(*order).select("line").limit(len(HEADER_KEYS) + 2).collect()]
+    first = lines.orderBy(*order).select("line", F.struct(*order).alias("at")).limit(len(HEADER_KEYS) + 2).collect()
+    top = [r["line"] for r in first]
     n_meta = next((i for i, x in enumerate(top) if not x.startswith("#")), len(top))
     if n_meta not in (0, len(HEADER_KEYS)):
         raise ValueError(f"{config}: {n_meta} '#' header lines; expected 0 or 4")
@@ -80,9 +83,11 @@ def read_study_table(
         raise ValueError(f"{config}: duplicate column names")
     if any(len(m) != len(header) for m in meta):
         raise ValueError(f"{config}: header lines of unequal width")
-    cells = F.split("line", "\t")
-    not_meta = ~F.col("line").startswith("#") if n_meta else F.lit(True)
-    body = lines.filter(not_meta & (F.col("line") != head))
+    cells = F.split("line", "\t", -1)
+    # Rows are what comes after the header, whatever they look like.
+    kinds = dict(lines.dtypes)
+    at = F.struct(*[F.lit(first[n_meta]["at"][c]).cast(kinds[c]).alias(c) for c in order])
+    body = lines.filter(F.struct(*order) > at)
     ragged = body.filter(F.size(cells) != len(header))
     if not ragged.isEmpty():
         raise ValueError(f"{config}: rows with a number of cells other than {len(header)}")

@@ -115,6 +115,19 @@ def test_sliced_scores_equal_plain_scores(spark):
     assert all(plain[k] == pytest.approx(sliced[k], abs=1e-9) for k in plain)
 
 
+def test_scores_take_text_gene_ids(spark):
+    rnd = random.Random(6)
+    data = [(s, g, f"ENSG{g:05d}", float(1 + rnd.randrange(30)) + g * 1e-12) for s in range(2) for g in range(200)]
+    expr = spark.createDataFrame(data, "sample_id int, gene_id int, symbol string, value double")
+    sets_ = spark.createDataFrame([(g, f"ENSG{g:05d}", f"p{g % 3}") for g in range(0, 200, 4)], "gene_id int, symbol string, pathway string")
+    by_number = {(r.sample_id, r.pathway): r.score_raw for r in pathway.ssgsea_scores(expr, sets_.drop("symbol")).collect()}
+    by_text = {(r.sample_id, r.pathway): r.score_raw for r in pathway.ssgsea_scores(expr.drop("gene_id"), sets_.drop("gene_id"), gene="symbol", gene_order="symbol").collect()}
+    assert by_number == pytest.approx(by_text)
+    # Differences below single precision are ties.
+    tied = {(r.sample_id, r.pathway): r.score_raw for r in pathway.ssgsea_scores(expr.withColumn("value", F.round("value", 6)), sets_.drop("symbol")).collect()}
+    assert by_number == pytest.approx(tied)
+
+
 def test_sliced_deal_equals_plain_deal(spark):
     rnd = random.Random(2)
     st = ["event", "censored", "missing"]

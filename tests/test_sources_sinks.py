@@ -42,13 +42,23 @@ def test_delimited_file(spark, tmp_path):
     with gzip.open(tmp_path / "b.tsv.gz", "wt") as f:
         f.write("gene_id\tgene_name\tvalue\r\nE1\tA\t5\r\n")
     lines = tx.read_lines(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv.gz")])
-    df = tx.coerce(tx.delimited(lines, ["gene_id", "gene_name", "value"], keep=["file_name"]), ["value"])
+    df = tx.coerce(tx.delimited_files(lines, ["gene_id", "gene_name", "value"]), ["value"])
     genes = {(r.file_name, r.gene_id, r.gene_name, r.value) for r in tx.gene_rows(df).collect()}
     assert genes == {("a.tsv", "E1", "A", 1), ("a.tsv", "E2", "B", None), ("a.tsv", "E3", None, None), ("b.tsv.gz", "E1", "A", 5)}
     q = {r.file_name: r for r in tx.summary_rows(df, ["file_name"], "value").collect()}
     assert q["a.tsv"].N_unmapped == 7 and q["a.tsv"].N_noFeature is None
 
 
+def test_headers_are_read_by_name_per_file(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("#c\na\tb\n1\t2\n#x\t4\na\tb\n")
+    (tmp_path / "b.tsv").write_text("b\textra\ta\n2\t-\t1\n\t\t9\n")
+    got = tx.delimited_files(tx.read_lines(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")]), ["a", "b"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [("a.tsv", "1", "2"), ("a.tsv", "#x", "4"), ("a.tsv", "a", "b"), ("b.tsv", "1", "2"), ("b.tsv", "9", None)], key=repr)
+    with pytest.raises(Exception, match="no column z"):
+        tx.delimited_files(tx.read_lines(spark, str(tmp_path / "a.tsv")), ["a", "z"]).collect()
+
+
 def test_line_order_is_file_order(spark, tmp_path):
     (tmp_path / "x.txt").write_text("\n".join(str(i) for i in range(500)))
     got = [r.line for r in tx.read_lines(spark, str(tmp_path / "x.txt")).orderBy("block", "seq").collect()]
@@ -64,6 +74,14 @@ def test_forms(spark, tmp_path):
     assert {k[0] for k in got} == {"f.txt"} and {k[1] for k in got} == {0, 2}
 
 
+def test_forms_are_read_as_csv(spark):
+    body = 'id\tnote\nx\ty\nCDE\tCDE\n1\t"p\tq"\n2\t"two\nlines ""x"""\n3\t5" pipe "a"\n4\t"" rest\n\n5\t"open\nend'
+    files = spark.createDataFrame([("f", body.encode("latin-1"))], "file_name string, content binary")
+    got = [(r.row, r.column, r.value) for r in tx.multi_header(files, "file_name").orderBy("row", "column").collect()]
+    assert [v for _, k, v in got if k == "note"] == ["p\tq", 'two\nlines "x"', '5" pipe "a"', " rest", "open\nend"]
+    assert [v for _, k, v in got if k == "id"] == list("12345")
+
+
 def test_gene_sets(spark):
     body = "S1\turl\tA\tB\tA\nS2\turl\nS1\turl\tC\t\nS3\turl\tD"
     got = sorted((r.pathway, r.gene) for r in tx.gene_sets(lines_of(spark, body), ["no"]).collect())
@@ -81,7 +99,7 @@ def test_binary_documents(spark, tmp_path):
 @pytest.mark.parametrize("v,whole,exact", [
     ("7", True, True), ("-12", True, True), ("-0", False, True), ("007", False, False), (".5", False, False), ("1.", False, True), ("1.50", False, True),
     ("-4e-04", False, True), ("0.1", False, True), ("123456789012345678", True, False), ("0.12345678901234567890", False, False), ("1e400", False, False),
-    ("99999999999999999999", False, False), ("NA", False, False), ("1.5x", False, False), ("100000000000000000000", False, True), ("1e-400", False, False),
+    ("99999999999999999999", False, False), ("NA", False, False), ("1.5x", False, False), ("100000000000000000000", False, True), ("1e-400", False, False), ("1.23456789012345e-310", False, False), ("0.000", False, True),
 ])
 def test_lossless_numbers(spark, v, whole, exact):
     r = spark.createDataFrame([(v,)], "v string").select(ty.is_int(F.col("v")).alias("w"), ty.is_exact_float(F.col("v")).alias("e")).first()
@@ -94,6 +112,8 @@ def test_study_table(spark):
     assert [f.dataType.simpleString() for f in df.schema] == ["string", "double"]
     assert df.schema["GLEASON"].metadata["display_name"] == "Score"
     assert [d[0] for d in ty.dictionary(df)] == ["PATIENT_ID", "GLEASON"]
+    kept = ty.read_study_table(lines_of(spark, body + "\n#P4\t5\nPATIENT_ID\t6"), "clinical_patient", ["no"])
+    assert [r.PATIENT_ID for r in kept.collect()] == ["P1", "P2", "P3", "#P4", "PATIENT_ID"]
     plain = ty.read_study_table(lines_of(spark, "a\tb.c\n1\tX\n2\t17"), "mutations", ["no"])
     assert dict(plain.dtypes) == {"a": "bigint", "b.c": "string"}
     assert dict(ty.read_study_table(lines_of(spark, "g\ts1\nA\t-1"), "cna", ["no"]).dtypes)["s1"] == "string"

@@ -2,34 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed order of event sources within one day.
-CATEGORIES = (
-    "consent", "diagnosis", "treatment_start", "treatment_end", "follow_up",
-    "sample_procurement", "bcr_receipt", "lost_to_followup", "death",
-)
-
-
-def events_of(df: DataFrame, category: str, day: str | Column, label: str | Column, ident: str | Column | None = None) -> DataFrame:
-    """Dated rows of one source; an undated row is no event."""
-    as_col = lambda c: F.col(c) if isinstance(c, str) else c
-    out = df.select(
-        "case_id",
-        as_col(day).cast("double").alias("day"),
-        F.lit(CATEGORIES.index(category)).alias("seq"),
-        F.lit(category).alias("category"),
-        as_col(label).cast("string").alias("label"),
-        (F.lit(None) if ident is None else as_col(ident)).cast("string").alias("ident"),
-    )
-    return out.filter(F.col("day").isNotNull())
+# The order in which a case's own events, its lists and its closing events are read on one day.
+GROUPS = ("opening", "diagnosis", "follow_up", "sample", "closing")
+ID_COLUMNS = ("diagnosis_id", "treatment_id", "follow_up_id", "sample_id")
+#: Sort by these after ``case_id`` for reading order.
+READING = ("day", "group", "parent", "child", "step")
+
+
+class Event(NamedTuple):
+    """One dated event that each row of a source may have.
+
+    ``parent`` is the place of the row's item in its case's list, ``child`` the place of a
+    treatment under its diagnosis (from 1; 0 is the diagnosis itself), ``step`` tells events
+    of one item apart.
+    """
+
+    category: str
+    day: Column
+    label: Column
+    group: str
+    parent: Column | int = 0
+    child: Column | int = 0
+    step: int = 0
+    ids: dict[str, Column] = {}
+
+
+def events_of(df: DataFrame, events: Sequence[Event]) -> DataFrame:
+    """All dated events of one source in one pass; an undated one is no event."""
+    lit = lambda v, kind: (v if isinstance(v, Column) else F.lit(v)).cast(kind)
+    rows = [
+        F.struct(
+            lit(e.day, "double").alias("day"), lit(GROUPS.index(e.group), "int").alias("group"), lit(e.parent, "bigint").alias("parent"),
+            lit(e.child, "bigint").alias("child"), lit(e.step, "int").alias("step"), F.lit(e.category).alias("category"), lit(e.label, "string").alias("label"),
+            *[lit(e.ids.get(i), "string").alias(i) for i in ID_COLUMNS],
+        )
+        for e in events
+    ]
+    return df.select("case_id", F.inline(F.filter(F.array(*rows), lambda x: x["day"].isNotNull())))
 
 
 def timeline(parts: list[DataFrame]) -> DataFrame:
-    """All events; sort by ``(case_id, day, seq, ident)`` for reading order."""
+    """All events; sort by ``case_id`` and ``READING`` for reading order."""
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

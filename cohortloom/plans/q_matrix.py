@@ -224,26 +224,49 @@ def dated_samples(t: Tables):
     )
 
 
-@query("timeline", "WITH " + EVENTS9 + """SELECT case_id, day::DOUBLE AS day, category, label, ident, row_number() OVER (PARTITION BY case_id ORDER BY day, seq, coalesce(ident, '')) AS pos FROM tlx WHERE day IS NOT NULL""")
+TIMELINE = """
+tm AS (SELECT c_custkey AS case_id, CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 100 - 50 END AS day, 0 AS g, 0 AS parent, 0 AS child, 0 AS step, 'consent' AS category, 'Informed' AS label, NULL::BIGINT AS dx, NULL::VARCHAR AS tx, NULL::BIGINT AS fu, NULL::BIGINT AS smp FROM customer
+ UNION ALL SELECT case_id, day, 1, o_orderkey, 0, 0, 'diagnosis', CASE o_orderkey % 7 WHEN 0 THEN 'Stage IV' WHEN 1 THEN ' stage iva' WHEN 2 THEN 'Stage IIIA' WHEN 3 THEN 'Stage I' END, o_orderkey, NULL, NULL, NULL FROM diag
+ UNION ALL SELECT case_id, day + 10 * (o_orderkey % 2), 1, o_orderkey, 1, 0, 'treatment_start', 'Drug', o_orderkey, 'tx-' || o_orderkey, NULL, NULL FROM diag
+ UNION ALL SELECT case_id, CASE WHEN o_orderkey % 4 <> 0 THEN day + 40 END, 1, o_orderkey, 1, 1, 'treatment_end', 'Drug', o_orderkey, 'tx-' || o_orderkey, NULL, NULL FROM diag
+ UNION ALL SELECT case_id, day, 2, event_id, 0, 0, 'follow_up', resp, NULL, NULL, event_id, NULL FROM fu
+ UNION ALL SELECT o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 5 + o_orderkey % 30 END, 3, o_orderkey, 0, 0, 'sample_procurement', o_orderstatus, NULL, NULL, NULL, o_orderkey FROM orders
+ UNION ALL SELECT o_custkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 3000 END, 3, o_orderkey, 0, 1, 'bcr_receipt', o_orderstatus, NULL, NULL, NULL, o_orderkey FROM orders
+ UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 10 = 8 THEN 4000 END, 4, 0, 0, 0, 'lost_to_followup', 'Yes', NULL, NULL, NULL, NULL FROM customer
+ UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 3 <> 1 AND c_custkey % 8 <> 3 THEN 900 + c_custkey % 1500 END, 4, 0, 0, 1, 'death', CASE WHEN c_custkey % 10 = 9 THEN 'Unknown' WHEN c_custkey % 3 = 1 THEN 'Alive' ELSE 'Dead' END, NULL, NULL, NULL, NULL FROM customer)
+SELECT case_id, day::DOUBLE AS day, category, label, CAST(dx AS VARCHAR) AS diagnosis_id, tx AS treatment_id, CAST(fu AS VARCHAR) AS follow_up_id, CAST(smp AS VARCHAR) AS sample_id,
+ row_number() OVER (PARTITION BY case_id ORDER BY day, g, parent, child, step) AS pos FROM tm WHERE day IS NOT NULL"""
+
+
+@query("timeline", "WITH " + EVENTS9 + "," + TIMELINE)
 def _timeline(t: Tables):
-    cases, dx, _, fu, _ = clinical(t)
-    k = c("case_id")
-    dx = dx.join(t.orders.select(c("o_orderkey").alias("dx_id"), "o_orderpriority"), "dx_id")
-    smp = dated_samples(t)
-    end = F.when(c("dx_id") % 4 != 0, c("days_to_diagnosis") + 40)
+    _, dx, _, fu, _ = clinical(t)
+    k, d = c("case_id"), c("dx_id")
+    cases = t.customer.select(c("c_custkey").alias("case_id"))
+    status = F.when(k % 10 == 9, "Unknown").when(k % 3 == 1, "Alive").otherwise("Dead")
+    own = {"diagnosis_id": d}
+    both = {"diagnosis_id": d, "treatment_id": F.concat(F.lit("tx-"), d.cast("string"))}
+    day = c("days_to_diagnosis")
+    sample = {"sample_id": c("sample_id")}
     parts = [
-        tl.events_of(cases, "consent", F.when(k % 3 == 0, k % 100 - 50), F.lit("Informed")),
-        tl.events_of(dx, "diagnosis", "days_to_diagnosis", "o_orderpriority", "dx_id"),
-        tl.events_of(dx, "treatment_start", c("days_to_diagnosis") + 10, F.lit("Drug"), "dx_id"),
-        tl.events_of(dx, "treatment_end", end, F.lit("Drug"), "dx_id"),
-        tl.events_of(fu, "follow_up", "days_to_follow_up", "disease_response", "fu_id"),
-        tl.events_of(smp, "sample_procurement", "days_to_sample_procurement", "sample_type", "sample_id"),
-        tl.events_of(smp, "bcr_receipt", "days_to_collection", "sample_type", "sample_id"),
-        tl.events_of(cases, "lost_to_followup", F.when(k % 10 == 8, 4000), F.lit("Yes")),
-        tl.events_of(cases, "death", "days_to_death", "vital_status"),
+        tl.events_of(cases, [
+            tl.Event("consent", F.when(k % 3 == 0, k % 100 - 50), F.lit("Informed"), "opening"),
+            tl.Event("lost_to_followup", F.when(k % 10 == 8, 4000), F.lit("Yes"), "closing", step=0),
+            tl.Event("death", F.when((k % 3 != 1) & (k % 8 != 3), 900 + k % 1500), status, "closing", step=1),
+        ]),
+        tl.events_of(dx, [
+            tl.Event("diagnosis", day, c("stage"), "diagnosis", d, 0, 0, own),
+            tl.Event("treatment_start", day + 10 * (d % 2), F.lit("Drug"), "diagnosis", d, 1, 0, both),
+            tl.Event("treatment_end", F.when(d % 4 != 0, day + 40), F.lit("Drug"), "diagnosis", d, 1, 1, both),
+        ]),
+        tl.events_of(fu, [tl.Event("follow_up", c("days_to_follow_up"), c("disease_response"), "follow_up", c("fu_id"), ids={"follow_up_id": c("fu_id")})]),
+        tl.events_of(dated_samples(t), [
+            tl.Event("sample_procurement", c("days_to_sample_procurement"), c("sample_type"), "sample", c("sample_id"), step=0, ids=sample),
+            tl.Event("bcr_receipt", c("days_to_collection"), c("sample_type"), "sample", c("sample_id"), step=1, ids=sample),
+        ]),
     ]
-    order = [c("day"), c("seq"), F.coalesce("ident", F.lit(""))]
-    return ranked(tl.timeline(parts), ["case_id"], order, "pos").drop("seq")
+    out = ranked(tl.timeline(parts), ["case_id"], [c(x) for x in tl.READING], "pos")
+    return out.select("case_id", "day", "category", "label", *tl.ID_COLUMNS, "pos")
 
 
 @query("consistency_check", "WITH " + EVENTS9 + """, d AS (SELECT c_custkey AS case_id, CASE WHEN c_custkey % 3 <> 1 AND c_custkey % 8 <> 3 THEN 900 + c_custkey % 1500 END AS death FROM customer),

@@ -135,5 +135,5 @@ def test_agreement_classes(spark):
 
 def test_timeline_drops_undated(spark):
     cases = spark.createDataFrame([("a", 5, "Dead"), ("b", None, "Alive")], "case_id string, d int, v string")
-    out = timeline.timeline([timeline.events_of(cases, "death", "d", "v"), timeline.events_of(cases, "consent", F.lit(-3), F.lit("x"))])
-    assert [(r.case_id, r.day, r.category) for r in out.orderBy("case_id", "day", "seq").collect()] == [("a", -3.0, "consent"), ("a", 5.0, "death"), ("b", -3.0, "consent")]
+    out = timeline.timeline([timeline.events_of(cases, [timeline.Event("death", F.col("d"), F.col("v"), "closing"), timeline.Event("consent", F.lit(-3), F.lit("x"), "opening")])])
+    assert [(r.case_id, r.day, r.category) for r in out.orderBy("case_id", *timeline.READING).collect()] == [("a", -3.0, "consent"), ("a", 5.0, "death"), ("b", -3.0, "consent")]

@@ -7,9 +7,12 @@ A document's set is its distinct word shingles (64-bit hashes). Two sets link wh
 2. Shingles are ordered by how often a fixed-size table of hashed counters has seen them, rarest
    first. Linked sets share one of their first n - ceil(t n) + 1 shingles, so nodes are dealt into
    groups by those. A common passage comes last in the order and makes no group.
+   The first one they share also stands early enough in both for the rest to make up the overlap,
+   which most pairs that only come close to linking fail, before anything else is looked at.
 3. Inside a group, each band of sizes is a tile. Every node of a tile is compared with one leader
-   of it: linear in the tile, and enough to join most copies. Components are formed.
-4. Groups that still hold several components are compared in full across components, in square
+   of it, and components are formed; then, in groups that still hold several, with a few leaders of
+   other components, in ``ROUNDS`` rounds. This is linear in the group and joins most copies.
+4. What still holds several components is compared in full across components, in square
    tiles of bounded size, so that no link between different components is lost. Pairs inside one
    component are never made.
 5. Every pair passes two tests before its texts are fetched: sizes, and bitmaps. A bit that one
@@ -38,6 +41,8 @@ from cohortloom.llm.registry import query, table
 SLOT_BITS, SLOT_CHUNK = 18, 1 << 12
 #: Keys that one bucket holds at about, and nodes along one side of a tile.
 BUCKET, SIDE = 1_000_000, 1024
+#: Rounds of, and number of, leaders in groups of several components.
+ROUNDS, LEADERS = 2, 16
 
 
 def sets_of(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +125,7 @@ def prepared(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id bigint, node bigint, n bigint, keys binary, bitmap binary")
 
 
-DEALT = "bucket int, keys binary, nodes binary, sizes binary, roots binary"
+DEALT = "bucket int, keys binary, nodes binary, sizes binary, rooms binary, roots binary"
 
 
 def _dealt(nodes: DataFrame, n_buckets: int) -> DataFrame:
@@ -131,26 +136,34 @@ def _dealt(nodes: DataFrame, n_buckets: int) -> DataFrame:
             each = [np.frombuffer(b, U) for b in batch.column("keys").to_pylist()]
             if not each:
                 continue
-            keys, count = np.concatenate(each), [len(k) for k in each]
-            cols = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), count) for c in ("node", "n", "root")]
+            keys, count = np.concatenate(each), np.array([len(k) for k in each])
+            node, n, root = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), count) for c in ("node", "n", "root"))
+            # What can still be shared if this key is the first one that is.
+            room = n - (np.arange(len(keys)) - np.repeat(np.cumsum(count) - count, count))
+            cols = (node, n, room, root)
             bucket = ((keys >> U(20)) % U(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             firsts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
             some = np.flatnonzero(np.diff(firsts))
             v = [x[order] for x in (keys, *cols)]
             cut_up = lambda x: pa.array([x[firsts[b] : firsts[b + 1]].tobytes() for b in some], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *map(cut_up, v)], names=["bucket", "keys", "nodes", "sizes", "roots"])
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *map(cut_up, v)], names=["bucket", "keys", "nodes", "sizes", "rooms", "roots"])
 
     return nodes.select("node", "n", "root", "keys").mapInArrow(run, DEALT)
 
 
 def _arrays(t: pa.Table) -> tuple[np.ndarray, ...]:
-    """Keys, nodes, sizes and roots of a bucket, by key and node."""
-    k, *rest = (np.frombuffer(b"".join(t.column(c).to_pylist()), kind) for c, kind in (("keys", U), ("nodes", np.int64), ("sizes", np.int64), ("roots", np.int64)))
-    order = np.lexsort((rest[0], k))
+    """Keys, nodes, sizes, rooms and roots of a bucket, by key and size."""
+    k, *rest = (np.frombuffer(b"".join(t.column(c).to_pylist()), U if c == "keys" else np.int64) for c in ("keys", "nodes", "sizes", "rooms", "roots"))
+    order = np.lexsort((rest[0], rest[1], k))
     return k[order], *(x[order] for x in rest)
 
 
+def _largest_partner(size: np.ndarray, room: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The largest set with which one of this size and room can link."""
+    return np.minimum(room * (num + den) // num - size, size * den // num)
+
+
 def _pairs_table(a: np.ndarray, b: np.ndarray) -> pa.Table:
     both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
     return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
@@ -158,26 +171,63 @@ def _pairs_table(a: np.ndarray, b: np.ndarray) -> pa.Table:
 
 def _leaders(num: int, den: int):
     def pairs(t: pa.Table) -> pa.Table:
-        k, node, size, _ = _arrays(t)
+        k, node, size, room, _ = _arrays(t)
         band = np.floor(np.log(size) / np.log(den / num)).astype(np.int64)
-        order = np.lexsort((node, band, k))
-        k, node, size, band = k[order], node[order], size[order], band[order]
+        most = _largest_partner(size, room, num, den)
+        order = np.lexsort((node, most < size, band, k))
+        k, node, size, most, band = k[order], node[order], size[order], most[order], band[order]
         new = np.ones(len(k), bool)
         new[1:] = (k[1:] != k[:-1]) | (band[1:] != band[:-1])
         lead = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
-        ok = ~new & (np.minimum(size, size[lead]) * den >= np.maximum(size, size[lead]) * num)
+        ok = ~new & (size[lead] <= most) & (size <= most[lead])
         return _pairs_table(node[lead[ok]], node[ok])
 
     return pairs
 
 
-def _mixed(t: pa.Table) -> pa.Table:
-    """(key, node, members) of groups with several components."""
-    k, node, _, root = _arrays(t)
-    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-    size = np.diff(np.append(first, len(k)))
-    several = np.repeat(np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first), size)
-    return pa.table({"key": pa.array(k[several].view(np.int64)), "node": pa.array(node[several]), "members": pa.array(np.repeat(size, size)[several])})
+def _mixed(num: int, den: int):
+    """(key, node, n, room) of groups with several components, of nodes with a partner in size and room."""
+
+    def rows(t: pa.Table) -> pa.Table:
+        k, node, size, room, root = _arrays(t)
+        most = _largest_partner(size, room, num, den)
+        keep = np.ones(len(k), bool)
+        for _ in range(2):
+            k, node, size, room, root, most = (x[keep] for x in (k, node, size, room, root, most))
+            first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
+            count = np.diff(np.append(first, len(k)))
+            if not len(k):
+                break
+            several = np.repeat(np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first), count)
+            # Rows are sorted by group and size, so partners are a range.
+            place = np.repeat(np.arange(len(first)), count).astype(float) * 2.0**32
+            among = np.searchsorted(place + size, place + most, "right") - np.searchsorted(place + size, place - (-size * num // den), "left")
+            keep = several & (among > ((most >= size) & (size >= -(-size * num // den))))
+        k, node, size, room = k[keep], node[keep], size[keep], room[keep]
+        return pa.table({"key": pa.array(k.view(np.int64)), "node": pa.array(node), "n": pa.array(size), "room": pa.array(room)})
+
+    return rows
+
+
+def _some_leaders(seed: int, num: int, den: int):
+    """Pairs of each node of a group with a few leaders, drawn by hash, of other components."""
+
+    def pairs(t: pa.Table) -> pa.Table:
+        key, node, n, room, root = (t.column(c).to_numpy() for c in ("key", "node", "n", "room", "root"))
+        order = np.lexsort((mix(node.view(U) + U(seed)), key))
+        key, node, n, room, root = (x[order] for x in (key, node, n, room, root))
+        most = _largest_partner(n, room, num, den)
+        new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        count = np.diff(np.append(new, len(key)))
+        a, b = [], []
+        for k in range(LEADERS):
+            lead = np.repeat(new + np.minimum(k, count - 1), count)
+            ok = (root != root[lead]) & (n[lead] <= most) & (n <= most[lead])
+            a.append(node[lead[ok]])
+            b.append(node[ok])
+        return _pairs_table(np.concatenate(a), np.concatenate(b))
+
+    return pairs
 
 
 def _least_overlap(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -203,7 +253,8 @@ def _tiles(num: int, den: int):
     """Pairs across components of the tiles (key, i, j) in one bucket that pass sizes and bitmaps."""
 
     def pairs(t: pa.Table) -> pa.Table:
-        key, i, j, side, node, n, root = (t.column(c).to_numpy() for c in ("key", "i", "j", "side", "node", "n", "root"))
+        key, i, j, side, node, n, room, root = (t.column(c).to_numpy() for c in ("key", "i", "j", "side", "node", "n", "room", "root"))
+        most = _largest_partner(n, room, num, den)
         width = np.array([len(b.as_buffer()) for b in t.column("bitmap").combine_chunks()] if len(t) else [], np.int64)
         bitmaps = t.column("bitmap").to_pylist()
         order = np.lexsort((n, side, j, i, key))
@@ -213,7 +264,7 @@ def _tiles(num: int, den: int):
             rows = order[lo:hi]
             left, right = (rows[side[rows] == 0], rows[side[rows] == 1]) if i[rows[0]] != j[rows[0]] else (rows, rows)
             for r in left:
-                fits = right[(root[right] != root[r]) & (np.minimum(n[right], n[r]) * den >= np.maximum(n[right], n[r]) * num)]
+                fits = right[(root[right] != root[r]) & (n[right] <= most[r]) & (n[r] <= most[right])]
                 fits = fits[node[fits] > node[r]] if left is right else fits
                 for w in np.unique(width[fits]):
                     some = fits[width[fits] == w]
@@ -287,21 +338,31 @@ def join_components(docs: DataFrame, *, n: int = 4, num: int = 85, den: int = 10
     nodes = cut(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), first("n"), first("keys"), first("bitmap")), "nodes")
     total = nodes.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0))).first()[0] // 8
     n_buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
-    pairs = _dealt(nodes.withColumn("root", F.col("node")), n_buckets).groupBy("bucket").applyInArrow(_leaders(num, den), PAIRS).distinct()
-    led = cut(_bitmap_test(cut(pairs, "pairs"), nodes, num, den), "pairs")
-    links = cut(verified(led, texts, nodes, n, num, den), "links")
-    roots = cut(components(links), "roots")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        kept = cut(_bitmap_test(cut(pairs.distinct(), "pairs"), nodes, num, den), "pairs")
+        return cut(verified(kept, texts, nodes, n, num, den), "links")
 
     def rooted(some: DataFrame) -> DataFrame:
         return some.join(roots, some["node"] == roots["u"], "left").withColumn("root", F.coalesce("root", "node")).drop("u")
 
-    mixed = _dealt(rooted(nodes.select("node", "n", "keys")), n_buckets).groupBy("bucket").applyInArrow(_mixed, "key bigint, node bigint, members bigint")
+    links = linked(_dealt(nodes.withColumn("root", F.col("node")), n_buckets).groupBy("bucket").applyInArrow(_leaders(num, den), PAIRS))
+    roots = cut(components(links), "roots")
+    mixed = _dealt(rooted(nodes.select("node", "n", "keys")), n_buckets).groupBy("bucket").applyInArrow(_mixed(num, den), "key bigint, node bigint, n bigint, room bigint")
     mixed = cut(mixed, "mixed")
+    by_key = F.pmod(F.xxhash64("key"), F.lit(n_buckets)).alias("bucket")
+    for seed in range(ROUNDS):
+        rows_now = rooted(mixed).select("*", by_key)
+        links = links.union(linked(rows_now.groupBy("bucket").applyInArrow(_some_leaders(seed, num, den), PAIRS)))
+        roots = cut(components(links), "roots")
+    now = cut(rooted(mixed), "mixed")
+    several = now.groupBy("key").agg(F.count("*").alias("members"), F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
     sides = F.ceil(F.col("members") / SIDE).cast("int")
     block = F.pmod(F.xxhash64("node"), sides).cast("int")
-    placed = mixed.select("key", "node", sides.alias("s"), block.alias("own")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-    placed = placed.select("key", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    tiles = placed.join(rooted(nodes.select("node", "n", "bitmap")), "node").withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(n_buckets)))
+    placed = now.join(cut(several.select("key", "members"), "mixed"), "key").select("key", "node", "room", "root", sides.alias("s"), block.alias("own"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+    placed = placed.select("key", "node", "room", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    tiles = placed.join(nodes.select("node", "n", "bitmap"), "node").withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(n_buckets)))
     across = cut(tiles.groupBy("bucket").applyInArrow(_tiles(num, den), PAIRS).distinct(), "pairs")
     more = cut(verified(across, texts, nodes, n, num, den), "links")
     roots2 = components(links.union(more))

@@ -140,87 +140,94 @@ def _send_anchors(n: int):
     return run
 
 
-def _bucket_arrays(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    h = np.frombuffer(b"".join(rows.column("hashes").to_pylist()), U)
-    d = np.frombuffer(b"".join(rows.column("ids").to_pylist()), np.int64)
-    order = np.lexsort((d, h))
-    return h[order], d[order]
-
-
-def _answer(h: np.ndarray, d: np.ndarray) -> pa.Table:
-    """Rows (doc_id, found): the hashes that each document asked for."""
-    order = np.argsort(d, kind="stable")
-    h, d = h[order], d[order]
-    first, size = _runs(d)
-    found = [h[a : a + k].tobytes() for a, k in zip(first.tolist(), size.tolist(), strict=True)]
-    return pa.table({"doc_id": pa.array(d[first], pa.int64()), "found": pa.array(found, pa.binary())})
-
+def group_of(ids: np.ndarray, n: int) -> np.ndarray:
+    """``pmod(xxhash64(id), n)`` as Spark has it."""
+    one, two, three, four, five = (U(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, k: (x << U(k)) | (x >> U(64 - k))
+    h = (np.full(len(ids), 42 + 8, U) + five) ^ (turn(ids.view(U) * two, 31) * one)
+    h = turn(h, 27) * one + four
+    h = (h ^ (h >> U(33))) * two
+    h = (h ^ (h >> U(29))) * three
+    return (h ^ (h >> U(32))).view(np.int64) % n
 
-ANSWER = "doc_id bigint, found binary"
 
+def _answer(h: np.ndarray, d: np.ndarray, groups: int) -> pa.Table:
+    """Rows (g, hashes, ids): the hashes to give back to the documents of each group."""
+    g = group_of(d, groups)
+    order = np.argsort(g, kind="stable")
+    h, d, g = h[order], d[order], g[order]
+    first, size = _runs(g)
+    spans = list(zip(first.tolist(), size.tolist(), strict=True))
+    return pa.table({
+        "g": pa.array(g[first], pa.int32()), "hashes": pa.array([h[a : a + k].tobytes() for a, k in spans], pa.binary()),
+        "ids": pa.array([d[a : a + k].tobytes() for a, k in spans], pa.binary()),
+    })
 
-def _found(batch: pa.RecordBatch, words: Words, hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Which of ``hashes`` (of document ``owner`` each) are among those its row has in ``found``."""
-    out = np.zeros(len(hashes), bool)
-    bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-    for r, blob in enumerate(batch.column("found").to_pylist()):
-        lo, hi = bounds[r], bounds[r + 1]
-        if blob and hi > lo:
-            known = np.sort(np.frombuffer(b"".join(blob), U))
-            slot = np.minimum(np.searchsorted(known, hashes[lo:hi]), len(known) - 1)
-            out[lo:hi] = known[slot] == hashes[lo:hi]
-    return out
 
+ANSWER = "g int, hashes binary, ids binary"
 
-def _send_windows(n: int, window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts():
-            for batch, words in scan(batches, NON_SPACE, SAME):
-                at, h = anchors(words)
-                at = at[_found(batch, words, h, words.doc[at])]
-                w, ok = words.windows(window)
-                # Windows that contain the anchor at q begin at q - (window - ANCHOR) .. q.
-                step = np.zeros(len(words.hash) + 1, np.int64)
-                np.add.at(step, np.maximum(at - (window - ANCHOR), words.first[words.doc[at]]), 1)
-                np.add.at(step, at + 1, -1)
-                begin = np.flatnonzero((np.cumsum(step)[: len(w)] > 0) & ok)
-                yield w[begin], _ids(batch.column("doc_id"))[words.doc[begin]]
 
-        for h, d in _gathered(parts()):
-            yield from _deal(h, d, n, _later)
-
-    return run
-
-
-def _cover(window: int, keep_text: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, words in scan(batches, NON_SPACE, SAME):
-            w, ok = words.windows(window)
-            begin = np.flatnonzero(ok)
-            begin = begin[_found(batch, words, w[begin], words.doc[begin])]
-            step = np.zeros(len(words.hash) + 1, np.int64)
-            np.add.at(step, begin, 1)
-            np.add.at(step, begin + window, -1)
-            gone = np.cumsum(step)[:-1] > 0
-            removed = np.bincount(words.doc[gone], minlength=batch.num_rows)
-            kept = []
-            for r in range(batch.num_rows):
-                lo, hi = int(words.first[r]), int(words.first[r + 1])
-                at = (lo + np.flatnonzero(~gone[lo:hi])).tolist()
-                raw, s, e = words.data.tobytes() if r == 0 else raw, words.start, words.end
-                kept.append(b" ".join([raw[s[i] : e[i]] for i in at]))
-            out = [batch.column("doc_id"), pa.array(words.count, pa.int64()), pa.array(removed, pa.int64())]
-            out.append(pa.array([k.decode() for k in kept], pa.string()) if keep_text else pa.array([hashlib.sha256(k).hexdigest() for k in kept]))
-            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_words", "n_removed", "kept" if keep_text else "kept_sha256"])
-
-    return run
+def _bucket_arrays(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(b"".join(rows.column("hashes").to_pylist()), U)
+    d = np.frombuffer(b"".join(rows.column("ids").to_pylist()), np.int64)
+    order = np.lexsort((h, d))
+    return h[order], d[order]
 
 
-def _with_found(docs: DataFrame, answers: DataFrame) -> DataFrame:
-    """Each document row with the blobs of all its answers (bounded by its own words)."""
-    per_doc = answers.groupBy("doc_id").agg(F.collect_list("found").alias("found"))
-    key = F.coalesce(docs["doc_id"], F.lit(_LAST))
-    return docs.join(per_doc, key == per_doc["doc_id"], "left").select(docs["doc_id"], "text", "found")
+class Answers:
+    """What came back for the documents of one group, by document."""
+
+    def __init__(self, rows: pa.Table):
+        self.hash, self.id = _bucket_arrays(rows)
+
+    def have(self, batch: pa.RecordBatch, hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Which of ``hashes`` (of row ``owner`` each, ascending) came back for their document."""
+        out = np.zeros(len(hashes), bool)
+        bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+        ids = _ids(batch.column("doc_id"))
+        lows, highs = np.searchsorted(self.id, ids, "left"), np.searchsorted(self.id, ids, "right")
+        for r in np.flatnonzero((highs > lows) & (bounds[1:] > bounds[:-1])).tolist():
+            known, mine = self.hash[lows[r] : highs[r]], hashes[bounds[r] : bounds[r + 1]]
+            out[bounds[r] : bounds[r + 1]] = known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine
+        return out
+
+
+def _extended(docs: pa.Table, found: Answers, window: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hash, id) of the windows of ``window`` words around anchors that came back."""
+    for batch, words in scan(docs.to_batches(), NON_SPACE, SAME):
+        at, h = anchors(words)
+        at = at[found.have(batch, h, words.doc[at])]
+        w, ok = words.windows(window)
+        # Windows that contain the anchor at q begin at q - (window - ANCHOR) .. q.
+        step = np.zeros(len(words.hash) + 1, np.int64)
+        np.add.at(step, np.maximum(at - (window - ANCHOR), words.first[words.doc[at]]), 1)
+        np.add.at(step, at + 1, -1)
+        begin = np.flatnonzero((np.cumsum(step)[: len(w)] > 0) & ok)
+        yield w[begin], _ids(batch.column("doc_id"))[words.doc[begin]]
+
+
+def _covered(docs: pa.Table, found: Answers, window: int, keep_text: bool) -> Iterator[pa.RecordBatch]:
+    """The result rows: windows that came back are cut out."""
+    for batch, words in scan(docs.to_batches(), NON_SPACE, SAME):
+        w, ok = words.windows(window)
+        begin = np.flatnonzero(ok)
+        begin = begin[found.have(batch, w[begin], words.doc[begin])]
+        step = np.zeros(len(words.hash) + 1, np.int64)
+        np.add.at(step, begin, 1)
+        np.add.at(step, begin + window, -1)
+        gone = np.cumsum(step)[:-1] > 0
+        removed = np.bincount(words.doc[gone], minlength=batch.num_rows)
+        raw, s, e = words.data.tobytes(), words.start.tolist(), words.end.tolist()
+        kept = []
+        for lo, hi in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+            kept.append(b" ".join([raw[s[i] : e[i]] for i in (lo + np.flatnonzero(~gone[lo:hi])).tolist()]))
+        out = [batch.column("doc_id"), pa.array(words.count, pa.int64()), pa.array(removed, pa.int64())]
+        out.append(pa.array([k.decode() for k in kept], pa.string()) if keep_text else pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()))
+        yield pa.RecordBatch.from_arrays(out, schema=_result(keep_text))
+
+
+def _result(keep_text: bool) -> pa.Schema:
+    return pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept" if keep_text else "kept_sha256", pa.string())])
 
 
 def dedup(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
@@ -231,21 +238,37 @@ def dedup(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col
     chars = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, int(chars) // 6 * len(COVER) // PERIOD // BUCKET, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
+    groups = 4 * n
+    texts = texts.withColumn("g", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(_LAST))), F.lit(groups)).cast("int"))
+
     def met(sent: DataFrame, judge) -> DataFrame:
         def one(key: tuple, rows: pa.Table) -> pa.Table:
-            h, d = _bucket_arrays(rows)
+            d, h = _bucket_arrays(rows)[::-1]
             if key[0].as_py() < n:
+                order = np.lexsort((d, h))
+                h, d = h[order], d[order]
                 yes = judge(h, d, *_runs(h))
                 h, d = h[yes], d[yes]
-            return _answer(h, d)
+            return _answer(h, d, groups)
 
         return sent.groupBy("bucket").applyInArrow(one, ANSWER)
 
+    def extend(docs: pa.Table, back: pa.Table) -> pa.Table:
+        out = [b for h, d in _gathered(_extended(docs, Answers(back), window)) for b in _deal(h, d, n, _later)]
+        return pa.Table.from_batches(out, _DEALT)
+
+    def cover(docs: pa.Table, back: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(_covered(docs, Answers(back), window, keep_text)), _result(keep_text))
+
+    by_group = texts.groupBy("g")
     shared = cut(met(texts.select("doc_id", "text").mapInArrow(_send_anchors(n), DEALT), _shared), "anchors")
-    later = cut(met(_with_found(texts, shared).mapInArrow(_send_windows(n, window), DEALT), _later), "windows")
+    around = by_group.cogroup(shared.groupBy("g")).applyInArrow(extend, DEALT)
+    later = cut(met(around, _later), "windows")
     last = "kept string" if keep_text else "kept_sha256 string"
-    return _with_found(texts, later).mapInArrow(_cover(window, keep_text), f"doc_id bigint, n_words bigint, n_removed bigint, {last}")
+    return by_group.cogroup(later.groupBy("g")).applyInArrow(cover, f"doc_id bigint, n_words bigint, n_removed bigint, {last}")
+
 
+_DEALT = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary())])
 
 SQL = r"""
 with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),

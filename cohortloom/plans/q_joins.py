@@ -8,7 +8,6 @@ from cohortloom.functions import scalars as sc
 from cohortloom.operators import regions as rg
 from cohortloom.operators import resolve as rs
 from cohortloom.operators.skew import nest, ranked
-from cohortloom.plans.q_tree import aliquot_dim
 from cohortloom.plans.registry import query
 from cohortloom.plans.views import Tables, day_of, r6, with_
 
@@ -37,7 +36,8 @@ def measures(t: Tables):
 
 
 def attached(t: Tables):
-    m = rs.lookup(measures(t), aliquot_dim(t), "aliquot_id", "aliquot_id", {"sample_id": "sample_id"})
+    known = t.aliquots.select("aliquot_id", "sample_id").join(t.samples.select("sample_id"), "sample_id", "left_semi")
+    m = rs.lookup(measures(t), known, "aliquot_id", "aliquot_id", {"sample_id": "sample_id"})
     return rs.attach_records(
         t.cases.select("case_id", "submitter_id"), m, "case_id", [F.col("aliquot_id")],
         ["aliquot_id", "sample_id", "quantity"], "records",

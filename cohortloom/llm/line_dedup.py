@@ -41,15 +41,19 @@ def _v(norm: Column, n: Column, i: Column) -> tuple[Column, Column]:
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, th, no, norm): non-blank lines; id and th (the text's hash) name the document."""
-    rows = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), F.xxhash64(text_col).alias("th"),
-        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("no", "line"),
+    # The text itself must not go along with each of its lines: hash and split it before they are told apart.
+    whole = docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), F.xxhash64(text_col).alias("th"), F.split(F.col(text_col), "\n", -1).alias("lines"),
     )
-    return rows.select("id", "th", "no", F.trim(F.lower(F.translate("line", "\t\r", "  "))).alias("norm")).filter("norm <> ''")
+    # The outer form, as for the other one Spark splits again to see whether there is a line.
+    rows = whole.select("id", "th", F.posexplode_outer("lines").alias("no", "line")).filter(F.trim("line", F.lit(" \t\r")) != "")
+    blank = F.replace(F.replace(F.col("line"), F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+    return rows.select("id", "th", "no", F.trim(F.lower(blank)).alias("norm"))
 
 
 def _digest(norm: str = "norm") -> Column:
-    return F.unhex(F.md5(norm))
+    """96 bits of a line, as two numbers."""
+    return F.struct(F.xxhash64(norm).alias("a"), F.hash(norm).alias("b"))
 
 
 def _halves(lines: DataFrame, min_words: int) -> DataFrame:

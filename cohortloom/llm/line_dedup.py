@@ -39,16 +39,23 @@ def _v(norm: Column, n: Column, i: Column) -> tuple[Column, Column]:
     return F.call_function("substring_index", norm, F.lit(" "), i), F.call_function("substring_index", norm, F.lit(" "), i + 1 - n)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, no, norm): non-blank lines; id and th (the text's hash) name the document."""
-    # The text itself must not go along with each of its lines: hash and split it before they are told apart.
-    whole = docs.select(
+def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, th, lines): id and th (the text's hash) name the document."""
+    return docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("id"), F.xxhash64(text_col).alias("th"), F.split(F.col(text_col), "\n", -1).alias("lines"),
     )
+
+
+def _normal(line: Column) -> Column:
+    return F.trim(F.lower(F.replace(F.replace(line, F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, th, no, norm): non-blank lines."""
+    # The text itself must not go along with each of its lines: it is hashed and split before they are told apart.
     # The outer form, as for the other one Spark splits again to see whether there is a line.
-    rows = whole.select("id", "th", F.posexplode_outer("lines").alias("no", "line")).filter(F.trim("line", F.lit(" \t\r")) != "")
-    blank = F.replace(F.replace(F.col("line"), F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
-    return rows.select("id", "th", "no", F.trim(F.lower(blank)).alias("norm"))
+    rows = _documents(docs, id_col, text_col).select("id", "th", F.posexplode_outer("lines").alias("no", "line"))
+    return rows.filter(F.trim("line", F.lit(" \t\r")) != "").select("id", "th", "no", _normal(F.col("line")).alias("norm"))
 
 
 def _digest(norm: str = "norm") -> Column:
@@ -56,14 +63,15 @@ def _digest(norm: str = "norm") -> Column:
     return F.struct(F.xxhash64(norm).alias("a"), F.hash(norm).alias("b"))
 
 
-def _halves(lines: DataFrame, min_words: int) -> DataFrame:
-    """(half, h): hashes of the halves by which a line may meet one of as many, one fewer or one more words."""
-    m, k = F.col("m"), F.col("k")
-    both = lines.select("h", "norm", "n", F.explode(F.filter(F.array(F.col("n"), F.col("n") - 1), lambda x: x >= min_words)).alias("m"))
-    both = both.withColumn("k", F.floor((m - 1) / 2).cast("int"))
-    head = F.xxhash64(F.lit(0), m, F.call_function("substring_index", F.col("norm"), F.lit(" "), k))
-    tail = F.xxhash64(F.lit(1), m, F.call_function("substring_index", F.col("norm"), F.lit(" "), -k))
-    return both.select("h", F.explode(F.array(head, tail)).alias("half"))
+def _halves(norm: Column, n: Column, min_words: int) -> Column:
+    """Hashes of the halves by which a line may meet one of as many, one fewer or one more words."""
+
+    def both(m: Column) -> Column:
+        k = F.floor((m - 1) / 2).cast("int")
+        half = lambda k: F.call_function("substring_index", norm, F.lit(" "), k)
+        return F.array(F.xxhash64(F.lit(0), m, half(k)), F.xxhash64(F.lit(1), m, half(-k)))
+
+    return F.when(n > min_words, F.concat(both(n), both(n - 1))).when(n == min_words, both(n)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _keys(lines: DataFrame) -> DataFrame:
@@ -86,13 +94,17 @@ def _keys(lines: DataFrame) -> DataFrame:
     return after.select("h", F.inline(F.filter(made, lambda s: s.isNotNull())))
 
 
-def _near(lines: DataFrame, min_words: int) -> DataFrame:
+def _near(lines: DataFrame, texts: DataFrame) -> DataFrame:
     """(h): distinct lines that come after one within one edit."""
-    some = lines.filter(F.col("n") >= min_words).select("h", "norm", "n")
-    halves = _halves(some, min_words)
+    halves = lines.select("h", F.explode("halves").alias("half"))
     twice = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     going = cut(halves.join(twice, "half", "left_semi").select("h").distinct(), "line-halves")
-    kept = cut(lines.join(going, "h", "left_semi"), "line-candidates")
+    # Only candidates need their words: fetched from the documents where they stand first.
+    asked = lines.select("h", "ord", "n").join(going, "h", "left_semi").groupBy(F.col("ord.id").alias("at"), F.col("ord.th").alias("ath"))
+    asked = asked.agg(F.collect_list(F.struct("h", "ord", "n")).alias("asked"))
+    found = texts.join(asked, (F.col("id") == F.col("at")) & (F.col("th") == F.col("ath")))
+    norm = lambda s: F.struct(s["h"].alias("h"), s["ord"].alias("ord"), s["n"].alias("n"), _normal(F.get("lines", s["ord"]["no"])).alias("norm"))
+    kept = cut(found.select(F.inline(F.transform("asked", norm))).dropDuplicates(["h"]), "line-candidates")
     keys = _keys(kept)
     met = keys.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("key")
     shared = cut(keys.join(met, "key", "left_semi"), "line-keys")
@@ -122,9 +134,11 @@ def removed_lines(docs: DataFrame, *, min_words: int = 8, id_col: str = "doc_id"
     """(id, th, gone): for each document that loses lines, the sorted numbers of those lines."""
     lines = _lines(docs, id_col, text_col)
     place = F.struct("id", "th", "no")
-    distinct = lines.groupBy(_digest().alias("h")).agg(F.min(place).alias("ord"), F.count("*").alias("c"), F.first("norm").alias("norm"))
-    distinct = cut(distinct.withColumn("n", F.size(F.split("norm", " ", -1))), "lines")
-    near = _near(distinct.select("h", "ord", "norm", "n"), min_words).withColumn("near", F.lit(True))
+    counted = lines.withColumn("n", F.size(F.split("norm", " ", -1)))
+    counted = counted.select(_digest().alias("h"), place.alias("place"), "n", _halves(F.col("norm"), F.col("n"), min_words).alias("halves"))
+    first = lambda c: F.first(c).alias(c)
+    distinct = cut(counted.groupBy("h").agg(F.min("place").alias("ord"), F.count("*").alias("c"), first("n"), first("halves")), "lines")
+    near = _near(distinct, _documents(docs, id_col, text_col)).withColumn("near", F.lit(True))
     verdict = distinct.select("h", "ord", "c").join(near, "h", "left").filter("near or c > 1")
     verdict = cut(verdict.select("h", "ord", F.coalesce("near", F.lit(False)).alias("near")), "line-verdict")
     hit = lines.select("id", "th", "no", _digest().alias("h")).join(verdict, "h").filter(F.col("near") | (place != F.col("ord")))
@@ -136,7 +150,7 @@ def dedup_lines(docs: DataFrame, *, min_words: int = 8, id_col: str = "doc_id",
 
     A removed line goes with its newline. Two columns come last: n_lines and n_removed.
     """
-    gone = cut(removed_lines(docs, min_words=min_words, id_col=id_col, text_col=text_col), "line-gone")
+    gone = removed_lines(docs, min_words=min_words, id_col=id_col, text_col=text_col)
     key = (F.coalesce(docs[id_col].cast("bigint"), F.lit(_LAST)) == gone["id"]) & (F.xxhash64(docs[text_col]) == gone["th"])
     lines = F.split(docs[text_col], "\n", -1)
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(gone["gone"], i)), "\n")

@@ -38,8 +38,8 @@ from cohortloom.llm.common import NON_SPACE, SAME, U, Words, cut, mix, scan
 from cohortloom.llm.registry import query, table
 
 PERIOD, COVER, ANCHOR = 7, (1, 2, 4), 7
-#: Values that one bucket holds at about.
-BUCKET = 1_500_000
+#: Values that one bucket holds, and bytes of text that one group of documents holds, at about.
+BUCKET, GROUP = 400_000, 4_000_000
 _LAST = np.iinfo(np.int64).max
 
 
@@ -236,9 +236,10 @@ def dedup(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col
         raise ValueError(f"a window has at least {ANCHOR + PERIOD - 1} words")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     chars = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = max(1, int(chars) // 6 * len(COVER) // PERIOD // BUCKET, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Both follow the text alone: between them lie as many messages as there are pairs of both, at most.
+    n = max(1, int(chars) // 6 * len(COVER) // PERIOD // BUCKET)
 
-    groups = 4 * n
+    groups = max(1, int(chars) // GROUP)
     texts = texts.withColumn("g", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(_LAST))), F.lit(groups)).cast("int"))
 
     def met(sent: DataFrame, judge) -> DataFrame:

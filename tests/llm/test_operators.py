@@ -211,6 +211,7 @@ def test_licenses(spark, none):
 @pytest.mark.parametrize("bucket", [1_500_000, 40])
 def test_substring_dedup(spark, docs, none, bucket, monkeypatch):
     monkeypatch.setattr(substring_dedup, "BUCKET", bucket)
+    monkeypatch.setattr(substring_dedup, "GROUP", 10 * bucket)
     least, big = {}, 2**63 - 1
     rows = [(big if i is None else i, SPACED.findall(t or "")) for i, t, *_ in ROWS]
     for i, w in rows:

@@ -197,6 +197,7 @@ def _mixed(num: int, den: int):
             first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
             count = np.diff(np.append(first, len(k)))
             if not len(k):
+                keep = np.zeros(0, bool)
                 break
             several = np.repeat(np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first), count)
             # Rows are sorted by group and size, so partners are a range.

@@ -448,3 +448,14 @@ def test_twins_on_whole_tables(spark):
 
 def test_prose_helper():
     assert len(prose(random.Random(1), 5).split()) == 5
+
+
+def test_pseudo_likelihood_learns_from_all_documents(spark):
+    # Few, long documents, which a choice of documents by a hash of their ids may miss.
+    lot = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    ids = [r.id for r in spark.range(1000).filter(lot > 500_000).limit(2).collect()]
+    df = table(spark, [(i, "north east south west " * 60_000) for i in ids])
+    net = pseudo_likelihood.train(df, kept=4, rest=2)
+    assert net.learned == 480_000
+    # Without learning a word of four has the log-probability -1.4.
+    assert all(r.mean_log_prob > -0.2 for r in pseudo_likelihood.score(df, net).collect())

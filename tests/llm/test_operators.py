@@ -459,3 +459,23 @@ def test_pseudo_likelihood_learns_from_all_documents(spark):
     assert net.learned == 480_000
     # Without learning a word of four has the log-probability -1.4.
     assert all(r.mean_log_prob > -0.2 for r in pseudo_likelihood.score(df, net).collect())
+
+
+def test_pseudo_likelihood_tells_words_of_a_class_apart(spark):
+    # Three words of one class, equal but for their counts; the same neighbours on both sides.
+    filler = ["a b c d e f g h"] * 40
+    rare = [w for w, h in [(f"w{k}", k) for k in range(3)]]
+    rows = list(enumerate([*filler, *[f"a b {rare[0]} c d"] * 30, *[f"a b {rare[1]} c d"] * 3, f"a b {rare[2]} c d", None]))
+    df = table(spark, [*rows, (None, "a b w0 c d"), (7, "a b w0 c d"), (7, "a b w0 c d")])
+    net = pseudo_likelihood.train(df, kept=8, rest=1)
+    asked = [(1, f"a b {rare[0]} c d"), (2, f"a b {rare[1]} c d"), (3, f"a b {rare[2]} c d"), (4, "a b unseen c d"), (None, f"b {rare[0]} {rare[0]} {rare[1]}"), (6, ""), (6, "")]
+    got = pseudo_likelihood.score(table(spark, asked), net).collect()
+    by = {r.doc_id: r.log_prob for r in got}
+    assert len(got) == len(asked) and by[6] == 0
+    assert by[1] - by[3] == pytest.approx(np.log(33)) and by[2] - by[3] == pytest.approx(np.log(3)) and by[4] == pytest.approx(by[3])
+    # All words' probabilities come to 1 at a place: those of the class to the class's.
+    data, offsets = common.text_bytes(pa.array([asked[0][1]]))
+    w = common.Words(data, offsets, common.ALNUM)
+    ids = net.vocabulary(w)
+    alone = net.log_probs(ids, pseudo_likelihood.neighbours(ids, w, net.vocabulary.pad))
+    assert by[1] - alone.sum() == pytest.approx(np.log(33 / 37))

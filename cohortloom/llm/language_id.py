@@ -31,6 +31,8 @@ from cohortloom.llm.common import blocks, text_bytes
 from cohortloom.llm.registry import query, table
 
 ORDER, SPACE = 3, 0x20
+#: Bits by which a text may exceed the limit of its language, whatever its length.
+SPARE = 64
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -152,15 +154,21 @@ def train(docs: DataFrame, *, sample_docs: int = 500, min_count: int = 8, id_col
     return Model(langs, rows["gram"].to_numpy(), rows["n"].to_numpy(), rows["lang"].map({v: k for k, v in enumerate(langs)}).to_numpy(), min_count)
 
 
-def _judged(model: Model, texts: pa.Array, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
+def _bits(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(texts x languages) code lengths, and bytes of each text."""
     data, offsets = text_bytes(texts)
-    bits = np.concatenate([model.bits(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in blocks(offsets)] or [np.zeros((0, len(model.langs)))])
+    bits = [model.bits(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in blocks(offsets)]
+    return np.concatenate(bits or [np.zeros((0, len(model.langs)))]), np.diff(offsets)
+
+
+def _judged(model: Model, texts: pa.Array, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
+    bits, _ = _bits(model, texts)
     best = bits.argmin(axis=1)
     score = 1 / np.exp2(np.clip(bits.min(axis=1)[:, None] - bits, -1000, 0)).sum(axis=1)
     return [model.langs[b] if ok else "und" for b, ok in zip(best, letters, strict=True)], np.where(letters, score, 0.0)
 
 
-def _has_letter(text_col: str) -> Column:
+def has_letter(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
 
 
@@ -176,26 +184,54 @@ def predict(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", tex
             lang, score = _judged(shared.value, batch.column("text"), batch.column("letter").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(lang, pa.string()), pa.array(score)], names=[id_col, "lang_pred", "score"])
 
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _has_letter(text_col).alias("letter"))
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), has_letter(text_col).alias("letter"))
     return picked.mapInArrow(run, f"`{id_col}` {id_type}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model | None, *, wanted: list[str] | None = None, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose language is ``und`` or, if ``wanted`` is given, not among those; columns stay."""
+def limits(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
+    """Bits a byte that a text of each language needs at most, far outliers left out.
+
+    From all labelled texts that the model did not learn from, each coded in its own language: the
+    third quartile plus three times the distance of the quartiles, or plus 1 where that is more. A
+    language without such a text has no limit.
+    """
+    if model is None:
+        return {}
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = {x: k for k, x in enumerate(model.langs)}
+    rows = docs.filter(held_out(id_col) & F.col(lang_col).isin(model.langs) & has_letter(text_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits, n = _bits(shared.value, batch.column("text"))
+            own = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(bits[np.arange(len(own)), own] / n)], names=["lang", "rate"])
+
+    rates = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(run, "lang string, rate double")
+    found = rates.groupBy("lang").agg(F.percentile_approx("rate", [0.25, 0.75]).alias("q")).collect()
+    return {r["lang"]: r["q"][1] + max(3 * (r["q"][1] - r["q"][0]), 1.0) for r in found}
+
+
+def keep_identified(docs: DataFrame, model: Model | None, *, wanted: list[str] | None = None, most: dict[str, float] | None = None, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language is ``und`` or, if ``wanted`` is given, not among those; columns stay.
+
+    With ``most`` (see ``limits``), rows go as well whose shortest code is ``SPARE`` bits or more above
+    the limit of its language: texts in no learned language. Short texts thus stay.
+    """
     if model is None:
         return docs.limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
-    known = set(model.langs if wanted is None else wanted)
+    known = np.array([wanted is None or x in wanted for x in model.langs])
+    limit = np.array([(most or {}).get(x, np.inf) for x in model.langs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at)
-            letters = np.ones(len(texts), bool)
-            lang, _ = _judged(shared.value, texts, letters)
-            yield batch.filter(pa.array([x in known for x in lang], pa.bool_()))
+            bits, n = _bits(shared.value, batch.column(at))
+            best = bits.argmin(axis=1)
+            yield batch.filter(pa.array(known[best] & (bits.min(axis=1) < limit[best] * n + SPARE)))
 
-    return docs.filter(_has_letter(text_col)).mapInArrow(run, docs.schema)
+    return docs.filter(has_letter(text_col)).mapInArrow(run, docs.schema)
 
 
 @query("op1_language_id")

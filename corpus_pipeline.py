@@ -3,7 +3,9 @@
 Every stage works on all rows its predecessor kept. All but the last return the columns of
 ``documents``:
 
-- language ID: documents for which no language is found (null, or without a letter) go.
+- language ID: documents for which no language is found go: null, without a letter, or with a code
+  far longer than held-out texts of the nearest language need. Without any labelled row nothing is
+  learned, and all documents with a letter stay.
 - line dedup: repeated lines are cut out of the texts; a document that had lines and loses all
   of them goes. ``n_chars`` follows the text where it is among the columns.
 - n-gram Jaccard join: five words, 0.8; the document with the smallest id of each group stays.
@@ -22,7 +24,10 @@ from cohortloom.llm.common import cut
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.keep_identified(docs, language_id.train(docs))
+    model = language_id.train(docs)
+    if model is None:
+        return docs.filter(language_id.has_letter("text"))
+    return language_id.keep_identified(docs, model, most=language_id.limits(docs, model))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

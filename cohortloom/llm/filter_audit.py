@@ -40,10 +40,6 @@ LAST = 1 << FILTERS.index("E")
 GOOD, TOXIC = 32, 64
 #: Label rows are repeated so often, and documents dealt over as many shares, so that no one id (or null) holds up the join.
 SHARES = 4
-STATE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
 
 
 def _totals(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -159,7 +155,9 @@ def failure_counts(
 
     Whole ``path`` is read, in about ``batches`` micro-batches of as many files each. A batch reads and writes
     the whole state once, some 60 bytes a text; buckets of ``bucket_rows`` texts keep one
-    piece of it near 1 MB. State, progress and counters are in the shared folder.
+    piece of it near 1 MB. State, progress and counters are in the shared folder; between
+    batches, executors hold the state as the session's ``spark.sql.streaming.stateStore.providerClass`` says
+    (in memory unless set; on a large cluster, set the RocksDB provider).
     """
     root, still = shared_dir(spark, "filter-audit"), spark.read.parquet(path)
     files, partitions = max(1, len(still.inputFiles())), int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -183,14 +181,7 @@ def failure_counts(
     def keep(batch: DataFrame, number: int) -> None:
         batch.groupBy("part", "flags").agg(F.sum("n").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{root}/counters/batch={number}")
 
-    before = {k: spark.conf.get(k, None) for k in STATE}
-    try:
-        for k, v in STATE.items():
-            spark.conf.set(k, v)
-        run = changes.writeStream.outputMode("update").option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).foreachBatch(keep).start()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    run = changes.writeStream.outputMode("update").option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).foreachBatch(keep).start()
     run.awaitTermination()
     # An empty table has no batch; the pattern below would then match no folder.
     spark.createDataFrame([], DELTA).write.parquet(f"{root}/counters/batch=-1")

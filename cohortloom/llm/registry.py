@@ -11,7 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 MODULES = (
     "language_id", "decontaminate", "fingerprint", "licenses", "substring_dedup", "line_dedup", "packing",
-    "jaccard_join", "pseudo_likelihood", "secrets", "filter_audit",
+    "jaccard_join", "pseudo_likelihood", "secrets", "top_k", "runs", "filter_audit",
 )
 
 

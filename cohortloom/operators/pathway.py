@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.operators.skew import SLICE_ROWS, hot_keys, percentiles, ranked, running
+from cohortloom.operators.skew import SLICE_ROWS, hot_keys, ranked, running
 
 ALPHA = 0.25
 # Immune receptor gene biotypes scored next to protein_coding.
@@ -119,20 +121,88 @@ def map_gene_sets(
     )
 
 
+#: Buckets of a value's logarithm, for each factor of e: a bucket spans half a percent.
+BUCKETS_PER_E = 200
+
+
+def _bucket(v: Column) -> Column:
+    """A whole number that never falls as ``v`` rises."""
+    step = lambda x: F.floor(F.log1p(x) * BUCKETS_PER_E)
+    return F.when(v >= 0, step(v)).otherwise(-1 - step(-v))
+
+
 def score_stats(
-    scores: DataFrame, project: str, sample_type: str, pathway: str, value: str,
-    pan: str = "pan", every: str = "all", slice_rows: int = SLICE_ROWS,
+    scores: DataFrame, project: str, sample_type: str, pathway: str, value: str, pan: str = "pan", every: str = "all",
 ) -> DataFrame:
-    """Reference distribution per (population, sample type or all, pathway)."""
-    cols = ["population", "type", pathway]
-    wide = scores.select(
-        F.explode(F.array(F.col(project), F.lit(pan))).alias("population"),
-        F.col(sample_type).alias("__t"), pathway, F.col(value).cast("double").alias("v"),
-    ).select("population", F.explode(F.array("__t", F.lit(every))).alias("type"), pathway, "v")
-    moments = {
-        "n": F.count("v"), "mean": F.avg("v"), "sd": F.stddev_samp("v"), "min": F.min("v"), "max": F.max("v"),
-    }
-    return percentiles(wide, cols, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75}, slice_rows, moments)
+    """Reference distribution per (population, sample type or all, pathway).
+
+    Scores are read once, into a histogram of (project, type, pathway, value). It is summed by value bucket, and
+    GROUPING SETS merge the buckets of all four kinds of populations; the moments are their sums, taken
+    from the pathway's smallest score. A quantile lies in the bucket where the running count
+    passes its place; only those buckets are read again by value. No group is held by a task:
+    running counts go over a group's buckets, or the values of one bucket.
+    """
+    hist = (
+        scores.select(F.col(project).alias("__p"), F.col(sample_type).alias("__t"), F.col(pathway).alias("__g"), F.col(value).cast("double").alias("v"))
+        .filter(F.col("v").isNotNull()).groupBy("__p", "__t", "__g", "v").agg(F.count(F.lit(1)).alias("c"))
+    )
+    base = hist.groupBy(F.col("__g").alias("__b")).agg(F.min("v").alias("base"))
+    hist = hist.join(base, F.col("__g").eqNullSafe(F.col("__b"))).drop("__b").withColumn("b", _bucket(F.col("v")))
+    off = F.col("v") - F.col("base")
+    cells = hist.groupBy("__p", "__t", "__g", "b").agg(
+        F.sum("c").alias("n"), F.sum(F.col("c") * off).alias("s1"), F.sum(F.col("c") * off * off).alias("s2"),
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.max("base").alias("base"),
+    )
+    kinds = [["__p", "__t", "__g", "b"], ["__p", "__g", "b"], ["__t", "__g", "b"], ["__g", "b"]]
+    merged = cells.groupingSets(kinds, "__p", "__t", "__g", "b").agg(
+        F.grouping("__p").alias("any_p"), F.grouping("__t").alias("any_t"), F.sum("n").alias("n"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("base").alias("base"),
+    )
+    group = ["population", "type", "pathway"]
+    merged = merged.select(
+        F.when(F.col("any_p") == 1, pan).otherwise(F.col("__p")).alias("population"),
+        F.when(F.col("any_t") == 1, every).otherwise(F.col("__t")).alias("type"), F.col("__g").alias("pathway"), "b", "n", "s1", "s2", "lo", "hi", "base",
+    )
+    whole = Window.partitionBy(*group)
+    merged = merged.withColumn("total", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(whole.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)))
+    # Places of the quartiles, from 0: both neighbours of q * (n - 1).
+    place = lambda q: F.lit(q) * (F.col("total") - 1)
+    ends = [(name, f, g(place(q)).cast("bigint")) for name, q in (("q25", 0.25), ("median", 0.5), ("q75", 0.75)) for f, g in (("low", F.floor), ("high", F.ceil))]
+    wanted = F.array(*[F.struct(F.lit(f"{name}_{f}").alias("which"), k.alias("k")) for name, f, k in ends])
+    begun = F.col("upto") - F.col("n")
+    inside = merged.withColumn("w", F.explode(F.filter(wanted, lambda x: (x["k"] >= begun) & (x["k"] < F.col("upto")))))
+    targets = inside.select(*group, "b", F.col("w.which").alias("which"), (F.col("w.k") - begun).alias("k"))
+    keys = [F.col(c).alias(f"__{c}") for c in group]
+    values = hist.select(
+        F.explode(F.array(F.col("__p"), F.lit(pan))).alias("population"), "__t", F.col("__g").alias("pathway"), "b", "v", "c"
+    ).select("population", F.explode(F.array(F.col("__t"), F.lit(every))).alias("type"), "pathway", "b", "v", "c")
+    asked = targets.groupBy(*keys, F.col("b").alias("__b")).agg(F.collect_list(F.struct("which", "k")).alias("ask"))
+    same = F.col("b") == F.col("__b")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    values = values.join(asked, same).groupBy(*group, "b", "v").agg(F.sum("c").alias("c"), F.any_value("ask").alias("ask"))
+    upto = Window.partitionBy(*group, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    values = values.withColumn("upto", F.sum("c").over(upto))
+    hit = values.withColumn("a", F.explode(F.filter("ask", lambda x: (x["k"] < F.col("upto")) & (x["k"] >= F.col("upto") - F.col("c")))))
+    found = hit.groupBy(*keys).agg(*[F.max(F.when(F.col("a.which") == f"{name}_{f}", F.col("v"))).alias(f"{name}_{f}") for name, f, _ in ends])
+    n, s1 = F.sum("n"), F.sum("s1")
+    spread = F.greatest(F.lit(0.0), F.sum("s2") - s1 * s1 / n)
+    plain = merged.groupBy(*group).agg(
+        n.alias("n"), (F.max("base") + s1 / n).alias("mean"), F.when(n > 1, F.sqrt(spread / (n - 1))).alias("sd"), F.min("lo").alias("min"), F.max("hi").alias("max")
+    )
+    match = F.lit(True)
+    for c in group:
+        match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    both = plain.join(found, match)
+
+    def between(name: str, q: float) -> Column:
+        p = F.lit(q) * (F.col("n") - 1)
+        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
+        return (low + (p - F.floor(p)) * (high - low)).alias(name)
+
+    return both.select(
+        "population", "type", F.col("pathway").alias(pathway), between("q25", 0.25), between("median", 0.5), between("q75", 0.75), "n", "mean", "sd", "min", "max"
+    )
 
 
 def normalize_global(scores: DataFrame, value: str, name: str = "score") -> DataFrame:
@@ -151,3 +221,88 @@ def zscore(scores: DataFrame, stats: DataFrame, keys: list[str], value: str) ->
     ref = stats.select(*keys, "mean", "sd")
     z: Column = F.try_divide(F.col(value) - F.col("mean"), F.col("sd"))
     return scores.join(ref, keys).withColumn("z", z)
+
+
+#: Memberships sent to the tasks at once, 4 bytes each; more sets are scored in further passes.
+MEMBERSHIPS = 5_000_000
+
+
+class SetBlock:
+    """Gene sets as places on the axis, end to end."""
+
+    def __init__(self, names: list, members: list, n_axis: int):
+        self.names, self.n_axis = names, n_axis
+        self.first = np.cumsum([0, *map(len, members)])[:-1]
+        self.places = np.concatenate([np.zeros(0, np.int64), *[np.asarray(m, np.int64) for m in members]])
+        self.size = np.array([len(m) for m in members], np.int64)
+
+    def scores(self, place: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Raw score of every set for one sample that has ``value`` at ``place``; the axis' other genes are 0.
+
+        The genes a sample lacks are one block of ties with its zeros: they share a rank, and a gene's position in the block is
+        the number of axis genes after it less the non-zero ones, so they are never listed.
+        """
+        order = np.argsort(place)
+        place, value = place[order], value[order].astype(np.float32)
+        n, m = self.n_axis, len(place)
+        lacking, below, zeros = n - m, int((value < 0).sum()), int((value == 0).sum())
+        nonzero = place[value != 0]
+        later = lambda p: (n - 1 - p) - (len(nonzero) - np.searchsorted(nonzero, p, "right"))
+        by_value = np.lexsort((-place, value))
+        q = np.empty(m, np.int64)
+        q[by_value] = np.arange(1, m + 1)
+        _, group, size = np.unique(value, return_inverse=True, return_counts=True)
+        rank = (np.cumsum(size) - (size - 1) / 2)[group]
+        rank, q = np.where(value > 0, rank + lacking, rank), np.where(value > 0, q + lacking, q)
+        tie = below + (zeros + lacking + 1) / 2
+        rank, q = np.where(value == 0, tie, rank), np.where(value == 0, below + 1 + later(place), q)
+        at = np.minimum(np.searchsorted(place, self.places), max(m - 1, 0))
+        has = place[at] == self.places if m else np.zeros(len(self.places), bool)
+        some = lambda own, other: np.where(has, own[at] if m else 0, other)
+        q = some(q, below + 1 + later(self.places))
+        w = np.floor(some(rank, tie)) ** ALPHA
+        total = lambda x: np.add.reduceat(x.astype(np.float64), self.first)
+        rest = (n - self.size).astype(np.float64)
+        miss = np.divide(n * (n + 1) / 2 - total(q), rest, out=np.full(len(rest), np.nan), where=rest > 0)
+        return total(w * q) / total(w) - miss
+
+
+def ssgsea_scores_on_axis(
+    expr: DataFrame, axis: DataFrame, sets: DataFrame, sample: str = "sample_id", gene: str = "gene_id", value: str = "value",
+    gene_order: str = "gene_id", memberships: int = MEMBERSHIPS,
+) -> DataFrame:
+    """Raw enrichment score per (sample, pathway) over all genes of ``axis``; a gene without a value counts as 0.
+
+    Genes off the axis are dropped, several values of a gene collapse to their maximum, missing values are no values.
+    ``axis`` holds each gene once, ordered by ``gene_order``. A sample's row is bounded by the axis; no gene x sample
+    product is built. Sets go to the tasks in blocks of ``memberships`` entries at most (or one set).
+    """
+    spark = expr.sparkSession
+    placed = ranked(axis.select(F.col(gene).alias("__g"), F.col(gene_order).alias("__o")), [], [F.col("__o")], "__place")
+    placed = placed.select("__g", (F.col("__place") - 1).alias("place"))
+    n_axis = axis.count()
+    v = F.col(value).cast("float")
+    rows = expr.filter(v.isNotNull() & ~F.isnan(v)).groupBy(sample, gene).agg(F.max(v).alias("v")).join(placed, F.col(gene) == F.col("__g"))
+    rows = rows.groupBy(sample).agg(F.collect_list("place").alias("places"), F.collect_list("v").alias("values"))
+    members = sets.select("pathway", gene).distinct().join(placed, F.col(gene) == F.col("__g"))
+    members = members.groupBy("pathway").agg(F.collect_list("place").alias("members"))
+    n_blocks = max(1, -(-int(members.agg(F.coalesce(F.sum(F.size("members")), F.lit(0))).first()[0]) // memberships))
+    kind = dict(expr.dtypes)[sample]
+    names = dict(sets.dtypes)["pathway"]
+    out = None
+    for k in range(n_blocks):
+        block = members.filter(F.pmod(F.xxhash64("pathway"), F.lit(n_blocks)) == k).collect()
+        if not block and n_blocks > 1:
+            continue
+        sent = spark.sparkContext.broadcast(SetBlock([r.pathway for r in block], [r.members for r in block], n_axis))
+
+        def run(batches, sent=sent):
+            sets_ = sent.value
+            for pdf in batches:
+                for s, places, values in zip(pdf[sample], pdf["places"], pdf["values"], strict=True):
+                    if sets_.names:
+                        yield pd.DataFrame({sample: [s] * len(sets_.names), "pathway": sets_.names, "n_genes": sets_.size, "score_raw": sets_.scores(np.asarray(places), np.asarray(values))})
+
+        part = rows.mapInPandas(run, f"`{sample}` {kind}, pathway {names}, n_genes bigint, score_raw double")
+        out = part if out is None else out.unionAll(part)
+    return out.withColumn("score_raw", F.when(~F.isnan("score_raw"), F.col("score_raw")))

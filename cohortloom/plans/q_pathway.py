@@ -65,6 +65,23 @@ def _ssgsea(t: Tables):
     return s.withColumn("score_raw", r6(F.col("score_raw")))
 
 
+@query("ssgsea_on_axis", with_("expression", "genes", body=""",
+axis AS (SELECT p_partkey AS gene_id FROM part WHERE p_size > 10),
+s AS (SELECT DISTINCT sample_id FROM expression JOIN axis USING (gene_id)),
+filled AS (SELECT s.sample_id, a.gene_id, coalesce(e.value - 30, 0)::FLOAT AS value FROM s CROSS JOIN axis a LEFT JOIN expression e ON e.sample_id = s.sample_id AND e.gene_id = a.gene_id),
+r AS (SELECT sample_id, gene_id, floor(rank() OVER (PARTITION BY sample_id ORDER BY value) + (count(*) OVER (PARTITION BY sample_id, value) - 1) / 2.0) AS r FROM filled),
+p AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY r DESC, gene_id) AS p, count(*) OVER (PARTITION BY sample_id) AS n FROM r)
+SELECT sample_id, pathway, count(*) AS n_genes,
+  round(sum(r ** 0.25 * (n - p + 1)) / sum(r ** 0.25) - (max(n) * (max(n) + 1) / 2.0 - sum(n - p + 1)) / nullif(max(n) - count(*), 0), 6) AS score_raw
+  FROM p JOIN genes USING (gene_id) GROUP BY sample_id, pathway"""))
+def _ssgsea_on_axis(t: Tables):
+    # Samples lack most genes of the axis; values are shifted so that zeros and negative ones occur.
+    expr = t.expression.withColumn("value", F.col("value") - 30)
+    axis = t.part.filter("p_size > 10").select(F.col("p_partkey").alias("gene_id"))
+    s = pw.ssgsea_scores_on_axis(expr, axis, t.genes)
+    return s.withColumn("score_raw", r6(F.col("score_raw")))
+
+
 SCORES = """scores AS (SELECT l_suppkey AS sample_id, p_brand AS pathway, n_name AS project_id,
   CASE WHEN s_acctbal < 3000 THEN 'normal' ELSE 'tumor' END AS sample_type, CAST(sum(l_quantity) AS DOUBLE) AS score_raw
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL)

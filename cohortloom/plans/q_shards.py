@@ -21,9 +21,9 @@ plan(project_id, doc_id, rn, shard, written) AS (
 """
 
 
-def plan(t: Tables, chunk_rows: int = 200):
+def plan(t: Tables, **chunks: int):
     d = t.documents.select(c("source").alias("project_id"), "doc_id", "n_chars")
-    return sh.shard_plan(d, "project_id", "doc_id", "n_chars", TARGET, chunk_rows)
+    return sh.shard_plan(d, "project_id", "doc_id", "n_chars", TARGET, **chunks)
 
 
 @query("shard_plan", PLAN + "SELECT project_id, doc_id, shard FROM plan")

@@ -10,6 +10,7 @@ from cohortloom.operators.sets import union_pad
 from cohortloom.plans.registry import query
 from cohortloom.plans.views import Tables, r6, with_
 from cohortloom.session import shared_dir
+from cohortloom.sources import splits as sp
 from cohortloom.sources import text as tx
 from cohortloom.sources import typed as ty
 
@@ -51,7 +52,7 @@ def _scan_text_coerce(t: Tables):
     # Every file begins with a comment line and its header.
     body.mapInArrow(with_top, "value string").write.text(path)
     wanted = [*KEYS, "score", "note", "depth"]
-    rows = tx.delimited_files(tx.read_lines(t.spark, path), wanted, keep=[])
+    rows = sp.read_delimited(t.spark, path, wanted).select(*wanted)
     out = tx.coerce(rows, [*KEYS, "depth"], ["score"])
     return out.withColumn("l_linenumber", c("l_linenumber").cast("int"))
 

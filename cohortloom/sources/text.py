@@ -45,7 +45,8 @@ def delimited(
     """Text columns of lines that all are rows of a table with these columns, in this order.
 
     Only ``nulls`` tokens become null. ``columns`` prunes, ``rename`` maps header names to
-    output names. Files with a header of their own are for :func:`delimited_files`.
+    output names. Files with a header of their own are for
+    :func:`cohortloom.sources.splits.read_delimited`.
     """
     cells = F.split("line", sep, -1)
     rename = rename or {}
@@ -53,38 +54,6 @@ def delimited(
     return lines.select(*keep, *[cell(cells, list(header).index(n), nulls).alias(rename.get(n, n)) for n in wanted])
 
 
-def delimited_files(
-    lines: DataFrame,
-    columns: Sequence[str],
-    keep: Sequence[str] = ("file_name",),
-    nulls: Sequence[str] = ("",),
-    comment: str | None = "#",
-    rename: dict[str, str] | None = None,
-    file: str = "file_name",
-    order: Sequence[str] = ("block", "seq"),
-    sep: str = "\t",
-) -> DataFrame:
-    """Text columns of whole files, each with its own header line.
-
-    A file's header is its first line that is no comment; its columns are found by name,
-    in whatever order they stand, and a file that lacks one is refused. Comment lines
-    before the header are dropped, every line after it is a row.
-    """
-    place = F.struct(*order)
-    real = lines if comment is None else lines.filter(~F.col("line").startswith(comment))
-    heads = real.groupBy(F.col(file).alias("__file")).agg(F.min_by("line", place).alias("__head"), F.min(place).alias("__at"))
-    rows = lines.join(heads, F.col(file) == F.col("__file")).filter(place > F.col("__at"))
-    cells, names, rename = F.split("line", sep, -1), F.split("__head", sep, -1), rename or {}
-
-    def named(n: str) -> Column:
-        at = F.array_position(names, n)
-        lost = F.raise_error(F.concat(F.lit(f"no column {n} in "), F.col(file))).cast("string")
-        value = F.get(cells, (at - 1).cast("int"))
-        return F.when(at == 0, lost).otherwise(F.when(~value.isin(*nulls), value)).alias(rename.get(n, n))
-
-    return rows.select(*keep, *[named(n) for n in columns])
-
-
 def to_int(c: Column) -> Column:
     """``1`` and ``1.0`` are 1; anything else is null."""
     return c.try_cast("double").try_cast("bigint")

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import json
+import random
 import tarfile
 
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from cohortloom.functions import scalars as sc
 from cohortloom.operators import resolve, shards, tree
 from cohortloom.sinks import writer
-from cohortloom.sources import catalog
+from cohortloom.sources import catalog, splits
 from cohortloom.sources import text as tx
 from cohortloom.sources import typed as ty
 from cohortloom.sources.trees import read_case_tree
@@ -41,8 +42,8 @@ def test_delimited_file(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("# gene-model: x\ngene_id\tgene_name\tvalue\nN_unmapped\t\t7\nN_ambiguous\t\t2\nE1\tA\t1.0\nE2\tB\tbad\nE3\t\t\n")
     with gzip.open(tmp_path / "b.tsv.gz", "wt") as f:
         f.write("gene_id\tgene_name\tvalue\r\nE1\tA\t5\r\n")
-    lines = tx.read_lines(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv.gz")])
-    df = tx.coerce(tx.delimited_files(lines, ["gene_id", "gene_name", "value"]), ["value"])
+    df = splits.read_delimited(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv.gz")], ["gene_id", "gene_name", "value"])
+    df = tx.coerce(df, ["value"])
     genes = {(r.file_name, r.gene_id, r.gene_name, r.value) for r in tx.gene_rows(df).collect()}
     assert genes == {("a.tsv", "E1", "A", 1), ("a.tsv", "E2", "B", None), ("a.tsv", "E3", None, None), ("b.tsv.gz", "E1", "A", 5)}
     q = {r.file_name: r for r in tx.summary_rows(df, ["file_name"], "value").collect()}
@@ -52,11 +53,38 @@ def test_delimited_file(spark, tmp_path):
 def test_headers_are_read_by_name_per_file(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("#c\na\tb\n1\t2\n#x\t4\na\tb\n")
     (tmp_path / "b.tsv").write_text("b\textra\ta\n2\t-\t1\n\t\t9\n")
-    got = tx.delimited_files(tx.read_lines(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")]), ["a", "b"])
+    got = splits.read_delimited(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")], ["a", "b"]).drop("at")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(
         [("a.tsv", "1", "2"), ("a.tsv", "#x", "4"), ("a.tsv", "a", "b"), ("b.tsv", "1", "2"), ("b.tsv", "9", None)], key=repr)
     with pytest.raises(Exception, match="no column z"):
-        tx.delimited_files(tx.read_lines(spark, str(tmp_path / "a.tsv")), ["a", "z"]).collect()
+        splits.read_delimited(spark, str(tmp_path / "a.tsv"), ["a", "z"]).collect()
+
+
+@pytest.mark.parametrize(("range_bytes", "block"), [(1, 1), (7, 3), (64, 1 << 20), (1 << 26, 5)])
+def test_every_line_is_read_once(spark, tmp_path, monkeypatch, range_bytes, block):
+    monkeypatch.setattr(splits, "BLOCK_BYTES", block)
+    monkeypatch.setattr(splits, "LEAD_BYTES", 4)
+    rnd = random.Random(range_bytes)
+    want = []
+    for k in range(4):
+        lines = [[f"{k}-{i}", "é" * rnd.randrange(9), rnd.choice(["", "NA", "x y"])] for i in range(30)]
+        text = "# top\n#\nid\tword\tnote\n" + "\n".join("\t".join(x) + rnd.choice(["", "\r"]) + rnd.choice(["", "", "\n"]) for x in lines)
+        (tmp_path / f"f{k}.tsv").write_bytes((text + ("\n" if k % 2 else "")).encode())
+        want += [(f"f{k}.tsv", i, w or None, None if n in ("", "NA") else n) for i, w, n in lines]
+    (tmp_path / "empty.tsv").write_text("")
+    (tmp_path / "top.tsv").write_text("#only\n")
+    (tmp_path / "bare.tsv").write_text("id\tword\tnote")
+    got = splits.read_delimited(spark, str(tmp_path), ["note", "id", "word"], nulls=("", "NA"), range_bytes=range_bytes, rename={"note": "n"})
+    rows = got.collect()
+    assert sorted((r.file_name, r.id, r.word or "", r.n or "") for r in rows) == sorted((f, i, w or "", n or "") for f, i, w, n in want)
+    by_place = [r.id for r in sorted(rows, key=lambda r: (r.file_name, r["at"]))]
+    assert by_place == [w[1] for w in want]
+
+
+def test_files_without_header(spark, tmp_path):
+    (tmp_path / "b.txt").write_text("cg1\t0.5\n#cg2\tNA\ncg3\n")
+    got = splits.read_delimited(spark, str(tmp_path), ["probe", "beta"], header=["probe", "beta"], nulls=("NA",))
+    assert [(r.probe, r.beta) for r in got.orderBy("at").collect()] == [("cg1", "0.5"), ("#cg2", None), ("cg3", None)]
 
 
 def test_line_order_is_file_order(spark, tmp_path):
@@ -195,16 +223,45 @@ def brute_plan(sizes, target):
     return out
 
 
-@pytest.mark.parametrize("chunk_rows", [7, 1000])
-def test_shard_plan_over_chunks(spark, chunk_rows):
+@pytest.mark.parametrize(("chunk_shards", "group_chunks"), [(1, 2), (1, 3), (2, 1), (3, 4), (64, 1000)])
+def test_shard_plan_is_the_sequential_fold(spark, chunk_shards, group_chunks):
     import random
     rnd = random.Random(9)
-    sizes = {p: [rnd.choice([0, 0, 1, 5, 40, 300]) for _ in range(n)] for p, n in (("A", 40), ("B", 9), ("C", 1))}
+    sizes = {p: [rnd.choice([0, 0, 1, 5, 40, 300]) for _ in range(n)] for p, n in (("A", 150), ("B", 9), ("C", 1), ("D", 80))}
+    sizes["E"] = [20] * 50
+    sizes["F"] = [0] * 20
+    sizes["G"] = [5000, 1, 1, 5000, 7]
     df = spark.createDataFrame([(p, f"{i:04d}", s) for p, ss in sizes.items() for i, s in enumerate(ss)], "p string, k string, s bigint")
+    df = df.withColumn("s", F.when(F.col("s") > 0, F.col("s")))
     got = {}
-    for r in shards.shard_plan(df, "p", "k", "s", 60, chunk_rows).orderBy("p", "k").collect():
+    for r in shards.shard_plan(df, "p", "k", "s", 60, chunk_shards, group_chunks, slice_rows=40).orderBy("p", "k").collect():
         got.setdefault(r.p, []).append(r.shard)
     assert got == {p: brute_plan(ss, 60) for p, ss in sizes.items()}
+    assert shards.shard_plan(df.limit(0), "p", "k", "s", 60).count() == 0
+
+
+def test_archives_are_whole_or_absent(spark, tmp_path):
+    rows = spark.createDataFrame([("A", k // 3, f"c{k}", f"m{k}", False, b"x" * k) for k in range(9)], "p string, shard bigint, case string, member string, gzipped boolean, content binary")
+    index = shards.write_shards(rows, str(tmp_path / "ok"), "p", "case")
+    times = {f: f.stat().st_mtime_ns for f in (tmp_path / "ok").rglob("*")}
+    assert index.count() == 9 and [r.n for r in index.groupBy("tar").agg(F.count("*").alias("n")).collect()] == [3, 3, 3]
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "ok").rglob("*")} == times
+    assert sorted(f.name for f in (tmp_path / "ok" / "A").iterdir()) == ["a-000000.tar", "a-000001.tar", "a-000002.tar"]
+    assert not [f for f in (tmp_path / "ok").iterdir() if "staging" in f.name]
+    broken = rows.drop("content").withColumn("path", F.when(F.col("case") == "c7", str(tmp_path / "none")).otherwise(str(tmp_path / "ok" / "A" / "a-000000.tar")))
+    with pytest.raises(Exception):
+        shards.write_shards(broken, str(tmp_path / "bad"), "p", "case")
+    assert not [f for f in (tmp_path / "bad").rglob("*") if f.is_file()]
+    assert shards.write_shards(rows.limit(0), str(tmp_path / "empty"), "p", "case").count() == 0
+
+
+def test_files_index_refuses_files_without_shard(spark):
+    plan = spark.createDataFrame([("A", "c1", 0)], "p string, case string, shard bigint")
+    files = spark.createDataFrame([("c1", "f1", "m1"), ("c1", "f2", "m2")], "case string, file_id string, member string")
+    got = shards.files_index(files, plan, "p", "case", "file_id", []).collect()
+    assert sorted((r.p, r.file_id, r.shard) for r in got) == [("A", "f1", "data/A/a-000000.tar"), ("A", "f2", "data/A/a-000000.tar")]
+    with pytest.raises(Exception, match="no shard holds case c9"):
+        shards.files_index(files.withColumn("case", F.lit("c9")), plan, "p", "case", "file_id", []).collect()
 
 
 def test_tar_shards(spark, tmp_path):

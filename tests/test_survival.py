@@ -136,6 +136,26 @@ def test_scores_against_running_walk(spark):
     assert same.keys() == got.keys() and all(same[k] == pytest.approx(got[k], rel=1e-12) for k in got)
 
 
+@pytest.mark.parametrize("memberships", [5_000_000, 8])
+def test_scores_on_an_axis_are_the_zero_filled_ones(spark, memberships):
+    rnd = random.Random(11)
+    axis = list(range(60))
+    expr = {s: {g: float(rnd.choice([-2, -1, 0, 0, 1, 3, 8])) for g in rnd.sample(axis, rnd.choice([1, 9, 40, 60]))} for s in range(8)}
+    sets_ = {"p": [1, 4, 9, 16, 25, 36, 99], "q": list(range(10, 30)), "all": axis, "one": [59]}
+    rows = [(s, g, v) for s, d in expr.items() for g, v in d.items()]
+    rows += [(0, g, v - 5) for g, v in expr[0].items()] + [(1, 500, 7.0), (2, None, 1.0), (3, 59, None) if 59 not in expr[3] else (3, 501, 1.0)]
+    df = spark.createDataFrame(rows, "sample_id int, gene_id int, value double")
+    sd = spark.createDataFrame([(g, n) for n, m in sets_.items() for g in [*m, m[0]]], "gene_id int, pathway string")
+    got = pathway.ssgsea_scores_on_axis(df, spark.createDataFrame([(g,) for g in axis], "gene_id int"), sd, memberships=memberships)
+    got = {(r.sample_id, r.pathway): (r.n_genes, r.score_raw) for r in got.collect()}
+    filled = {s: {g: d.get(g, 0.0) for g in axis} for s, d in expr.items()}
+    whole = {n: [g for g in m if g in axis] for n, m in sets_.items()}
+    want = brute_scores(filled, {n: m for n, m in whole.items() if n != "all"})
+    assert set(got) == {(s, n) for s in expr for n in sets_}
+    for (s, n), (k, score) in got.items():
+        assert k == len(whole[n]) and (score is None if n == "all" else score == pytest.approx(want[s, n], rel=1e-9))
+
+
 def test_degenerate_range_is_refused(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "s string, v double")
     with pytest.raises(Exception, match="range is zero"):
@@ -147,3 +167,24 @@ def test_single_row_stats_have_no_sd(spark):
     got = {(r.population, r.type): r for r in pathway.score_stats(df, "proj", "st", "pw", "v").collect()}
     assert got["A", "t"].sd is None and got["pan", "all"].n == 3
     assert got["pan", "all"].sd == pytest.approx(2.0) and math.isclose(got["pan", "t"].median, 2.0)
+
+
+def test_reference_distribution_against_sorted_lists(spark):
+    import numpy as np
+    rnd = random.Random(12)
+    rows = [(rnd.choice("ABC"), rnd.choice(["t", "n", None]), rnd.choice(["p", "q", "r"]), rnd.choice([rnd.gauss(-3, 40), 0.0, 1e6, -1e-9, 5.0])) for _ in range(900)]
+    rows += [("D", "t", "same", 7.1)] * 5 + [("D", "t", "none", None)]
+    df = spark.createDataFrame(rows, "proj string, st string, pw string, v double")
+    got = {(r.population, r.type, r.pw): r for r in pathway.score_stats(df, "proj", "st", "pw", "v").collect()}
+    want = {}
+    for p, t, g, v in rows:
+        if v is not None:
+            for key in {(p, t, g), ("pan", t, g), (p, "all", g), ("pan", "all", g)}:
+                want.setdefault(key, []).append(v)
+    assert got.keys() == want.keys()
+    for key, x in want.items():
+        r = got[key]
+        assert (r.n, r.min, r.max) == (len(x), min(x), max(x)) and r["mean"] == pytest.approx(np.mean(x))
+        assert [r.q25, r.median, r.q75] == pytest.approx(np.percentile(x, [25, 50, 75]).tolist(), rel=1e-12, abs=1e-15)
+        assert r.sd is None if len(x) == 1 else r.sd == pytest.approx(np.std(x, ddof=1))
+    assert got["D", "t", "same"].sd == 0.0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import ALNUM, U, Words, cut, scan, text_bytes
+from cohortloom.llm.common import ALNUM, U, Words, blocks, cut, scan, text_bytes
 from cohortloom.llm.registry import query, table
 
 BITS = 22
@@ -111,6 +111,16 @@ SPANS, ITEMS = "array<struct<start:bigint,end:bigint>>", "array<string>"
 _ARROW = {"spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), "items": pa.list_(pa.string())}
 
 
+def _blocks_of(spark: SparkSession, items: DataFrame, n: int, item_col: str, item_text_col: str, block_bytes: int) -> Iterator[tuple[bool, object]]:
+    """(whether it is the last, broadcast windows) of each block of items."""
+    tests = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("words")).filter("words is not null")
+    total = tests.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0]
+    n_blocks = max(1, -(-int(total) // block_bytes))
+    for k in range(n_blocks):
+        rows = tests.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == k).collect()
+        yield k == n_blocks - 1, spark.sparkContext.broadcast(window_sets([r[0] or "" for r in rows], [r[1] for r in rows], n))
+
+
 def contamination(
     docs: DataFrame, items: DataFrame, *, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 32_000_000,
@@ -120,17 +130,11 @@ def contamination(
 
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType
-    tests = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("words")).filter("words is not null")
-    total = tests.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0]
-    n_blocks = max(1, -(-int(total) // block_bytes))
     found = docs.select(
         F.col(id_col).alias("doc_id"), F.lit(0).cast("bigint").alias("n_words"), F.col(text_col).alias("text"),
         F.array().cast(SPANS).alias("spans"), F.array().cast(ITEMS).alias("items"),
     )
-    for k in range(n_blocks):
-        rows = tests.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == k).collect()
-        sets = spark.sparkContext.broadcast(window_sets([r[0] or "" for r in rows], [r[1] for r in rows], n))
-        last = k == n_blocks - 1
+    for last, sets in _blocks_of(spark, items, n, item_col, item_text_col, block_bytes):
         fields = [("doc_id", to_arrow_type(id_type)), ("n_words", pa.int64())] + ([] if last else [("text", pa.string())]) + list(_ARROW.items())
         ddl = f"doc_id {id_type.simpleString()}, n_words bigint, {'' if last else 'text string, '}spans {SPANS}, items {ITEMS}"
         found = found.mapInArrow(_scanner(sets, pa.schema(fields), "doc_id", not last), ddl)
@@ -143,14 +147,29 @@ def n_hit(spans: str = "spans") -> Column:
     return F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, *, n: int = 10, id_col: str = "doc_id", **names: str) -> DataFrame:
-    """``docs`` without the documents that contain a window of an item; all columns stay as they are.
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, *, n: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 32_000_000,
+) -> DataFrame:
+    """``docs`` without the rows that contain a window of an item; all columns stay as they are.
 
-    Documents are told apart by id: rows with one id go or stay together, and a null id
-    goes when any row with a null id is hit.
+    A map: each row is judged by its own text, once per block of items, whatever its id.
     """
-    bad = contamination(docs, items, n=n, id_col=id_col, **names).filter(F.size("items") > 0).select(F.col(id_col).alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["__bad"]), "left_anti")
+    spark, at = docs.sparkSession, docs.columns.index(text_col)
+    for _, sets in _blocks_of(spark, items, n, item_col, item_text_col, block_bytes):
+
+        def run(batches: Iterator[pa.RecordBatch], sets=sets) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                data, offsets = text_bytes(batch.column(at))
+                clean = np.ones(batch.num_rows, bool)
+                for lo, hi in blocks(offsets):
+                    words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], ALNUM)
+                    for one in sets.value:
+                        for i, _ in one.hits(words):
+                            clean[lo + words.doc[i]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 def cut_spans(text: str | None, spans: list, kind: np.ndarray = ALNUM) -> str | None:

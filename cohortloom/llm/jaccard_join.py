@@ -376,13 +376,21 @@ def join_components(docs: DataFrame, *, n: int = 4, num: int = 85, den: int = 10
 
 
 def drop_near_copies(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component left, that with its smallest id; columns stay.
+    """``docs`` with one row of each component left, that with its smallest id (null ids last); columns stay.
 
-    Documents without words stay; of rows with equal ids all stay or go together.
+    Rows are told apart by numbers of their own, written with them, so rows of one id or of none are
+    judged each by itself. Rows without words stay.
     """
-    found = join_components(docs, n=n, num=num, den=den, id_col=id_col, text_col=text_col)
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    numbered = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = join_components(numbered, n=n, num=num, den=den, id_col="__row", text_col=text_col)
+    member = found.filter("n_shingles > 0").select(F.col("doc_id").alias("__member"), F.col("component_id").alias("__component"))
+    ids = numbered.select(F.col("__row").alias("__own"), F.col(id_col).isNull().alias("__last"), F.col(id_col).alias("__id"))
+    member = member.join(ids, member["__member"] == ids["__own"]).drop("__own")
+    first = member.groupBy("__component").agg(F.min(F.struct("__last", "__id", "__member")).alias("__first"))
+    shared = member.groupBy(F.col("__component").alias("__c")).agg(F.count("*").alias("__n")).filter("__n > 1")
+    several = member.join(shared, member["__component"] == shared["__c"]).drop("__c", "__n")
+    gone = several.join(first, "__component").filter(F.col("__member") != F.col("__first.__member")).select(F.col("__member").alias("__gone"))
+    return numbered.join(gone, numbered["__row"] == gone["__gone"], "left_anti").select(*docs.columns)
 
 
 SQL = r"""

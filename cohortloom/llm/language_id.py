@@ -216,10 +216,11 @@ def keep_identified(docs: DataFrame, model: Model | None, *, wanted: list[str] |
     """``docs`` without the rows whose language is ``und`` or, if ``wanted`` is given, not among those; columns stay.
 
     With ``most`` (see ``limits``), rows go as well whose shortest code is ``SPARE`` bits or more above
-    the limit of its language: texts in no learned language. Short texts thus stay.
+    the limit of its language: texts in no learned language. Short texts thus stay. Without a model nothing was
+    learned, and every row with a letter stays.
     """
     if model is None:
-        return docs.limit(0)
+        return docs.filter(has_letter(text_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     known = np.array([wanted is None or x in wanted for x in model.langs])

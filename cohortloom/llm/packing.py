@@ -56,18 +56,22 @@ def string_encoder(path: str):
     """A function from strings to lists of ids, equal to the tokenizer file's own.
 
     A byte-level BPE whose ids are the order of its merges is run by tiktoken, which is faster on
-    short strings; any other file by the tokenizers library.
+    short strings; any other file by the tokenizers library. Added tokens that stand in a text are
+    found first and have their own ids.
     """
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
     kind, vocab = model["model"], model["model"]["vocab"]
     merges = [m.split(" ") if isinstance(m, str) else m for m in kind.get("merges", [])]
     ids = [vocab.get(a + b, -1) for a, b in merges]
     plain = (model.get("pre_tokenizer") or {}) == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    added = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
+    # Added tokens that take blanks with them, or that one another contain, are left to the library.
+    plain &= not any(t["single_word"] or t["lstrip"] or t["rstrip"] or " " in t["content"] for t in model.get("added_tokens", []))
+    plain &= not any(a in b for a in added for b in added if a != b)
     if kind["type"] != "BPE" or model.get("normalizer") or not plain or ids != sorted(set(ids)) or -1 in ids:
         return lambda strings: [e.ids for e in tok.encode_batch(strings, add_special_tokens=False)]
     import tiktoken
@@ -76,10 +80,9 @@ def string_encoder(path: str):
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
     byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-    added = {t["content"] for t in model.get("added_tokens", [])}
     ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in added}
-    fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda strings: [fast.encode_ordinary(s) for s in strings]
+    fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return lambda strings: [fast.encode(s, allowed_special="all") if any(a in s for a in added) else fast.encode_ordinary(s) for s in strings]
 
 
 def _starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -3,11 +3,12 @@ r"""Secret scan with corpus-wide ownership frequency, in DataFrame functions onl
 Candidates are found by pattern: assignments to a secret's name, access keys, long hexadecimal
 runs, and long mixed tokens. Each candidate's value is hashed, and the corpus is asked in how
 many repositories and by how many owners that hash occurs. What several owners have is a widely
-copied example; what one owner has in few places looks live.
+copied example; what one owner has looks live, in however many of its repositories.
 
 Patterned kinds (assign, access, hex) are always reported. A mixed token (``owned``: 20 or more of
 ``[A-Za-z0-9+/_-]`` with a small letter, a capital and a digit, outside the patterned spans) is
-reported only where its value belongs to one owner and at most ``max_repos`` repositories.
+reported only where its value belongs to one owner. Values are kept as hashes as soon as they are found: none
+is written in clear.
 
 Counting is two-step: (hash, owner, repository) is made distinct and counted per owner, then per
 hash; both aggregate before they shuffle, so a value in a third of all texts is no hot spot. What
@@ -37,6 +38,11 @@ BASE = ("assign", "access", "hex")
 SPAN = "array<struct<start:int,rank:int,stop:int,kind:string,value:string>>"
 
 
+def _hashed(spans: Column) -> Column:
+    """Spans with the SHA-256 of their value in its place."""
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"), F.unhex(F.sha2(s["value"], 256)).alias("hash")))
+
+
 def _matches(text: Column, kind: str) -> Column:
     """Spans of one kind: leftmost matches that do not overlap, too short ones left out."""
     pattern, group, least, may = KINDS[kind]
@@ -67,31 +73,29 @@ def candidates(docs: DataFrame, *, id_col: str, text_col: str, owner_col: str, r
     rows = rows.select("id", "owner", "repo", *[_matches(F.col("text"), k).alias(k) for k in KINDS])
     rows = rows.withColumn("base", F.array_sort(F.concat(*[F.col(k) for k in BASE])))
     apart = lambda x: ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])) & _mixed(x["value"])
-    return rows.select("id", "owner", "repo", "base", F.filter("owned", apart).alias("extra"))
+    return rows.select("id", "owner", "repo", _hashed(F.col("base")).alias("base"), _hashed(F.filter("owned", apart)).alias("extra"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, n_owners, n_repos) of every candidate value."""
-    values = found.select("owner", "repo", F.explode(F.array_distinct(F.transform(F.concat("base", "extra"), lambda s: s["value"]))).alias("value"))
-    once = values.select(F.unhex(F.sha2("value", 256)).alias("hash"), "owner", "repo").distinct()
+    once = found.select("owner", "repo", F.explode(F.array_distinct(F.transform(F.concat("base", "extra"), lambda s: s["hash"]))).alias("hash")).distinct()
     per_owner = once.groupBy("hash", "owner").agg(F.count("*").alias("n"))
     return per_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repos"))
 
 
 def scan_secrets(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None, max_repos: int = 8,
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None,
 ) -> DataFrame:
     """Per row: id, base (patterned spans), spans (with owned tokens), n_live (spans whose value looks live),
-    n_example (the others). A repository is the row's id unless ``repo_col`` names it."""
+    n_example (the others). A repository is the row's id unless ``repo_col`` names it; :func:`ownership` counts them."""
     found = cut(candidates(docs, id_col=id_col, text_col=text_col, owner_col=owner_col, repo_col=repo_col or id_col), "secrets")
-    live = cut(ownership(found).filter((F.col("n_owners") == 1) & (F.col("n_repos") <= max_repos)).select("hash"), "secrets-live")
-    value = found.select("id", F.explode(F.array_distinct(F.transform(F.concat("base", "extra"), lambda s: s["value"]))).alias("value"))
-    mine = value.withColumn("hash", F.unhex(F.sha2("value", 256))).join(live, "hash", "left_semi")
-    mine = mine.groupBy(F.col("id").alias("live_id")).agg(F.collect_set("value").alias("live"))
-    rows = found.join(mine, found["id"].eqNullSafe(mine["live_id"]), "left").withColumn("live", F.coalesce("live", F.array().cast("array<string>")))
-    own = F.filter("extra", lambda s: F.array_contains(F.col("live"), s["value"]))
+    live = cut(ownership(found).filter(F.col("n_owners") == 1).select("hash"), "secrets-live")
+    value = found.select("id", F.explode(F.array_distinct(F.transform(F.concat("base", "extra"), lambda s: s["hash"]))).alias("hash"))
+    mine = value.join(live, "hash", "left_semi").groupBy(F.col("id").alias("live_id")).agg(F.collect_set("hash").alias("live"))
+    rows = found.join(mine, found["id"].eqNullSafe(mine["live_id"]), "left").withColumn("live", F.coalesce("live", F.array().cast("array<binary>")))
+    own = F.filter("extra", lambda s: F.array_contains(F.col("live"), s["hash"]))
     spans = F.array_sort(F.concat("base", own))
-    n_live = F.size(F.filter(spans, lambda s: F.array_contains(F.col("live"), s["value"])))
+    n_live = F.size(F.filter(spans, lambda s: F.array_contains(F.col("live"), s["hash"])))
     return rows.select(F.col("id").alias(id_col), "base", spans.alias("spans"), n_live.alias("n_live"), (F.size(spans) - n_live).alias("n_example"))
 
 
@@ -119,7 +123,7 @@ extra as (select * from ({_sql_kind("owned", "[A-Za-z0-9+/_-]{20,}", 0)}) e
   where regexp_matches(value, '[a-z]') and regexp_matches(value, '[A-Z]') and regexp_matches(value, '[0-9]')
   and not exists (select 1 from base b where b.r = e.r and b.start < e.stop and e.start < b.stop)),
 every as (select * from base union all select * from extra),
-live as (select value from every group by value having count(distinct coalesce(source, '')) = 1 and count(distinct doc_id) <= 8),
+live as (select value from every group by value having count(distinct coalesce(source, '')) = 1),
 spans as (select * from base union all select * from extra where value in (select value from live)),
 b as (select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
   string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) as s from base group by r),

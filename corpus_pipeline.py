@@ -8,7 +8,7 @@ Every stage works on all rows its predecessor kept. All but the last return the
   learned, and all documents with a letter stay.
 - line dedup: repeated lines are cut out of the texts; a document that had lines and loses all
   of them goes. ``n_chars`` follows the text where it is among the columns.
-- n-gram Jaccard join: five words, 0.8; the document with the smallest id of each group stays.
+- n-gram Jaccard join: five words, 0.8; one row of each group stays, that with the smallest id (null ids last).
 - benchmark decontamination: documents with ten consecutive words of a benchmark item go (or all
   words of a shorter item).
 - packing: token sequences of 2048.
@@ -25,8 +25,6 @@ from cohortloom.llm.common import cut
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(docs)
-    if model is None:
-        return docs.filter(language_id.has_letter("text"))
     return language_id.keep_identified(docs, model, most=language_id.limits(docs, model))
 
 

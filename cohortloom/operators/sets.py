@@ -67,12 +67,6 @@ def sample_per_group(df: DataFrame, groups: Sequence[str], key: str, n: int, see
     return ranked(df, list(groups), [digest, F.col(key)], "__rn").filter(F.col("__rn") <= n).drop("__rn")
 
 
-def populated_forms(df: DataFrame, forms: Sequence[str]) -> list[str]:
-    """Array columns that are non-empty in at least one row (one aggregate row read)."""
-    row = df.agg(*[F.max(F.coalesce(F.size(f) > 0, F.lit(False))).alias(f) for f in forms]).first()
-    return [f for f in forms if row[f]]
-
-
 def form_slices(
     lines: DataFrame, key: str, order: Sequence[Column], line: str, header: Sequence[str]
 ) -> DataFrame:

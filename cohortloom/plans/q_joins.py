@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import scalars as sc
 from cohortloom.operators import regions as rg
+from cohortloom.operators import patients as pt
 from cohortloom.operators import resolve as rs
 from cohortloom.operators.skew import nest, ranked
 from cohortloom.plans.registry import query
@@ -192,31 +193,33 @@ def _curated_join(t: Tables):
     )
 
 
+KINDS = ("click", "error", "purchase", "signup", "view")
+LISTED = ("click", "error", "purchase", "view")
+
+
 @query("supplement_attach", with_("cases", "forms", body=""",
 patient AS (SELECT case_id, arg_max(k, row_no) AS patient_form FROM forms WHERE kind = 'signup' GROUP BY 1),
-drug AS (SELECT case_id, string_agg(row_no || ':' || k, '|' ORDER BY row_no) AS drugs FROM forms WHERE kind = 'purchase' GROUP BY 1)
-SELECT c.case_id, patient_form, coalesce(drugs, '') AS drugs FROM cases c LEFT JOIN patient p USING (case_id) LEFT JOIN drug d USING (case_id)"""))
+packed AS (SELECT case_id, kind, string_agg(row_no || ':' || k, '|' ORDER BY row_no) AS rows FROM forms WHERE kind <> 'signup' GROUP BY ALL)
+SELECT c.case_id, any_value(patient_form) AS patient_form, """ + ", ".join(f"coalesce(max(rows) FILTER (WHERE kind = '{k}'), '') AS {k}" for k in LISTED) + """
+ FROM cases c LEFT JOIN patient p USING (case_id) LEFT JOIN packed d USING (case_id) GROUP BY 1"""))
 def _supplement_attach(t: Tables):
+    # The patient form is one per case, the last wins; all other forms are lists in file order.
     f = t.forms
     last = f.filter("kind = 'signup'").groupBy("case_id").agg(F.max_by("k", "row_no").alias("patient_form"))
     base = rs.lookup(t.cases.select("case_id"), last, "case_id", "case_id", {"patient_form": "patient_form"})
-    out = rs.attach_records(base, f.filter("kind = 'purchase'"), "case_id", [F.col("row_no")], ["row_no", "k"], "drugs")
-    return out.select("case_id", "patient_form", join_text("drugs", "row_no", "k").alias("drugs"))
+    forms = {k: pt.Children(f.filter(F.col("kind") == k), "case_id", [F.col("row_no")], ["row_no", "k"]) for k in LISTED}
+    out = pt.nest_lists(base, "case_id", forms)
+    return out.select("case_id", "patient_form", *[join_text(k, "row_no", "k").alias(k) for k in LISTED])
 
 
 @query("specimen_attach", with_("cases", "forms", body=""",
 packed AS (SELECT case_id, kind, string_agg(CAST(row_no AS VARCHAR), '|' ORDER BY row_no) AS rows FROM forms GROUP BY ALL)
-SELECT c.case_id, coalesce(max(rows) FILTER (WHERE kind = 'click'), '') AS click, coalesce(max(rows) FILTER (WHERE kind = 'error'), '') AS error,
- coalesce(max(rows) FILTER (WHERE kind = 'view'), '') AS view FROM cases c LEFT JOIN packed p USING (case_id) GROUP BY 1"""))
+SELECT c.case_id, """ + ", ".join(f"coalesce(max(rows) FILTER (WHERE kind = '{k}'), '') AS {k}" for k in KINDS) + """
+ FROM cases c LEFT JOIN packed p USING (case_id) GROUP BY 1"""))
 def _specimen_attach(t: Tables):
-    n = nest(t.forms, ["case_id", "kind"], [F.col("row_no")], ["row_no"], "rows")
-    kinds = ["click", "error", "view"]
-    text = F.array_join(F.transform("rows", lambda x: x["row_no"].cast("string")), "|")
-    wide = n.withColumn("text", text).groupBy("case_id").agg(
-        *[F.max(F.when(F.col("kind") == k, F.col("text"))).alias(k) for k in kinds]
-    )
-    j = rs.lookup(t.cases.select("case_id"), wide, "case_id", "case_id", {k: k for k in kinds})
-    return j.select("case_id", *[F.coalesce(k, F.lit("")).alias(k) for k in kinds])
+    forms = {k: pt.Children(t.forms.filter(F.col("kind") == k), "case_id", [F.col("row_no")], ["row_no"]) for k in KINDS}
+    out = pt.nest_lists(t.cases.select("case_id"), "case_id", forms)
+    return out.select("case_id", *[join_text(k, "row_no").alias(k) for k in KINDS])
 
 
 FILES_LOCAL = """, loc AS (SELECT f.file_id, 'local-' || f.data_type AS data_type, CASE WHEN f.data_type = 'en' THEN 'expression' WHEN f.data_type = 'fr' THEN 'mirna' ELSE 'clinical_supplement_xml' END AS modality,
@@ -271,24 +274,67 @@ def _orphan_check(t: Tables):
     return rs.orphans(t.customer, kids, "c_custkey", "parent").select("event_id", "user_id")
 
 
+TABLE_LISTS = ", ".join(f"coalesce(max(rows) FILTER (WHERE kind = '{k}'), '') AS timeline_{k}" for k in KINDS)
+
+
 @query("patient_table", with_("cases", "samples", "aliquots", "forms", body=""",
 m AS (SELECT sample_id, string_agg(aliquot_id, ',' ORDER BY aliquot_id) AS aliquots FROM aliquots GROUP BY 1),
-s AS (SELECT case_id, string_agg(sample_id || '[' || coalesce(aliquots, '') || ']', '|' ORDER BY sample_id) AS samples FROM samples LEFT JOIN m USING (sample_id) GROUP BY 1),
-tl AS (SELECT case_id, string_agg(day || ':' || row_no, '|' ORDER BY day, row_no) AS timeline FROM forms WHERE kind = 'view' GROUP BY 1)
-SELECT c.case_id, coalesce(samples, '') AS samples, coalesce(timeline, '') AS timeline FROM cases c LEFT JOIN s USING (case_id) LEFT JOIN tl USING (case_id)"""))
+g AS (SELECT sample_id, string_agg(gene_id || '/' || center_id, ',' ORDER BY portion_no, aliquot_id, ship_day) AS genes FROM aliquots WHERE analyte_type = 'A' GROUP BY 1),
+v AS (SELECT sample_id, string_agg(CAST(gene_id AS VARCHAR), ',' ORDER BY portion_no, aliquot_id, ship_day) AS sv FROM aliquots WHERE analyte_type = 'N' GROUP BY 1),
+r AS (SELECT sample_id, string_agg(CAST(CAST(quantity AS BIGINT) AS VARCHAR), ',' ORDER BY portion_no, aliquot_id, ship_day) AS seg FROM aliquots WHERE analyte_type = 'R' GROUP BY 1),
+p AS (SELECT sample_id, string_agg(CAST(ship_day AS VARCHAR), ',' ORDER BY portion_no, aliquot_id, ship_day) AS cna FROM aliquots WHERE status = 'F' GROUP BY 1),
+s AS (SELECT case_id, string_agg(sample_id || '[' || coalesce(aliquots, '') || '][' || coalesce(genes, '') || '][' || coalesce(sv, '') || '][' || coalesce(seg, '') || '][' || coalesce(cna, '') || ']', '|' ORDER BY sample_id) AS samples
+  FROM samples LEFT JOIN m USING (sample_id) LEFT JOIN g USING (sample_id) LEFT JOIN v USING (sample_id) LEFT JOIN r USING (sample_id) LEFT JOIN p USING (sample_id) GROUP BY 1),
+tl AS (SELECT case_id, kind, string_agg(day || ':' || row_no, '|' ORDER BY day, row_no) AS rows FROM forms GROUP BY ALL)
+SELECT c.case_id, any_value(coalesce(samples, '')) AS samples, """ + TABLE_LISTS + """
+ FROM cases c LEFT JOIN s USING (case_id) LEFT JOIN tl USING (case_id) GROUP BY 1"""))
 def _patient_table(t: Tables):
-    inner = rs.nest_children(
-        t.samples.select("sample_id", "case_id"), t.aliquots, "sample_id", "sample_id", [F.col("aliquot_id")], ["aliquot_id"], "aliquots"
-    )
-    whole = rs.nest_children(
-        t.cases.select("case_id"), inner, "case_id", "case_id", [F.col("sample_id")], ["sample_id", "aliquots"], "samples",
-    )
-    whole = rs.nest_children(
-        whole, t.forms.filter("kind = 'view'"), "case_id", "case_id", [F.col("day"), F.col("row_no")], ["day", "row_no"], "timeline"
+    # Five lists in every sample, and one list for each kind of event.
+    a = t.aliquots.withColumns({"pair": F.concat_ws("/", "gene_id", "center_id"), "whole": F.col("quantity").cast("bigint")})
+    of = lambda rows, order, field: pt.Children(rows, "sample_id", [F.col(c) for c in (order, "aliquot_id", "ship_day")], [field])
+    inner = {
+        "aliquots": of(a, "aliquot_id", "aliquot_id"), "genes": of(a.filter("analyte_type = 'A'"), "portion_no", "pair"),
+        "sv": of(a.filter("analyte_type = 'N'"), "portion_no", "gene_id"), "seg": of(a.filter("analyte_type = 'R'"), "portion_no", "whole"),
+        "cna": of(a.filter("status = 'F'"), "portion_no", "ship_day"),
+    }
+    samples = pt.nest_lists(t.samples.select("sample_id", "case_id"), "sample_id", inner)
+    lists = {"samples": pt.Children(samples, "case_id", [F.col("sample_id")], ["sample_id", *inner])}
+    lists |= {f"timeline_{k}": pt.Children(t.forms.filter(F.col("kind") == k), "case_id", [F.col("day"), F.col("row_no")], ["day", "row_no"]) for k in KINDS}
+    whole = pt.nest_lists(t.cases.select("case_id"), "case_id", lists)
+
+    def text(s, name: str):
+        field = inner[name].fields[0]
+        return F.concat(F.lit("["), F.array_join(F.transform(s[name], lambda x: x[field].cast("string")), ","), F.lit("]"))
+
+    line = F.transform("samples", lambda s: F.concat(s["sample_id"].cast("string"), *[text(s, n) for n in inner]))
+    return whole.select("case_id", F.array_join(line, "|").alias("samples"), *[join_text(f"timeline_{k}", "day", "row_no").alias(f"timeline_{k}") for k in KINDS])
+
+
+@query("patient_rows", with_("cases", "samples", "aliquots", "forms", body=""",
+tr AS (SELECT sample_id, string_agg(aliquot_id, ',' ORDER BY CASE WHEN portion_no <> 3 THEN ship_day END NULLS LAST, aliquot_id) AS treatments FROM aliquots GROUP BY 1),
+dx AS (SELECT case_id, string_agg(sample_id || '[' || coalesce(treatments, '') || ']', '|' ORDER BY CASE WHEN sample_type <> 'P' THEN day END NULLS LAST, sample_id) AS diagnoses, count(*) AS n FROM samples LEFT JOIN tr USING (sample_id) GROUP BY 1),
+fu AS (SELECT case_id, string_agg(CAST(row_no AS VARCHAR), '|' ORDER BY day, row_no) AS follow_ups FROM forms GROUP BY 1)
+SELECT case_id, submitter_id AS case_submitter_id, project_id, 'https://portal.example/cases/' || case_id AS portal_url, program, coalesce(n, 0) AS n_diagnoses, coalesce(diagnoses, '') AS diagnoses,
+ coalesce(follow_ups, '') AS follow_ups, 0 AS n_exposures, 0 AS n_reports, true AS underived FROM cases LEFT JOIN dx USING (case_id) LEFT JOIN fu USING (case_id)"""))
+def _patient_rows(t: Tables):
+    # The tree's lists come in no order, and some are missing.
+    late = F.when(F.col("portion_no") != 3, F.col("ship_day")).alias("days_to_treatment_start")
+    tr = t.aliquots.groupBy("sample_id").agg(F.collect_list(F.struct(F.col("aliquot_id").alias("treatment_id"), late)).alias("treatments"))
+    known = F.when(F.col("sample_type") != "P", F.col("day")).alias("days_to_diagnosis")
+    dx = t.samples.join(tr, "sample_id", "left").groupBy("case_id").agg(F.collect_list(F.struct(F.col("sample_id").alias("diagnosis_id"), known, "treatments")).alias("diagnoses"))
+    tests = F.lit(None).cast("array<struct<molecular_test_id:string>>").alias("molecular_tests")
+    fu = t.forms.groupBy("case_id").agg(F.collect_list(F.struct(F.col("row_no").alias("follow_up_id"), F.col("day").alias("days_to_follow_up"), tests)).alias("follow_ups"))
+    project = F.struct("project_id", F.struct(F.col("program").alias("name")).alias("program")).alias("project")
+    none = F.lit(None).cast("array<struct<exposure_id:string>>").alias("exposures")
+    tree = t.cases.select("case_id", "submitter_id", project, none).join(dx, "case_id", "left").join(fu, "case_id", "left")
+    rows = pt.patient_rows(tree, "https://portal.example/cases/", ["hallmark"])
+    ids = lambda d: F.array_join(F.transform(d["treatments"], lambda x: x["treatment_id"]), ",")
+    diagnoses = F.transform("diagnoses", lambda d: F.concat(d["diagnosis_id"].cast("string"), F.lit("["), ids(d), F.lit("]")))
+    return rows.select(
+        "case_id", "case_submitter_id", "project_id", "portal_url", F.col("program.name").alias("program"), F.size("diagnoses").cast("bigint").alias("n_diagnoses"),
+        F.array_join(diagnoses, "|").alias("diagnoses"), F.array_join(F.transform("follow_ups", lambda x: x["follow_up_id"].cast("string")), "|").alias("follow_ups"),
+        F.size("exposures").alias("n_exposures"), F.size("samples_pathology_report").alias("n_reports"), F.col("survival_derived.os_event").isNull().alias("underived"),
     )
-    ids = lambda s: F.array_join(F.transform(s["aliquots"], lambda a: a["aliquot_id"]), ",")
-    samples = F.transform("samples", lambda s: F.concat(s["sample_id"].cast("string"), F.lit("["), ids(s), F.lit("]")))
-    return whole.select("case_id", F.array_join(samples, "|").alias("samples"), join_text("timeline", "day", "row_no").alias("timeline"))
 
 
 @query("patient_lookup", with_("cases", "samples", body="""

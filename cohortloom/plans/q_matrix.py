@@ -8,6 +8,7 @@ from cohortloom.functions import scalars as sc
 from cohortloom.operators import matrix as mx
 from cohortloom.operators import resolve as rs
 from cohortloom.operators import timeline as tl
+from cohortloom.operators.patients import Children, flex_column, nest_lists
 from cohortloom.operators.skew import nest, percentiles, pick_by, ranked
 from cohortloom.plans.q_survival_rules import clinical
 from cohortloom.plans.registry import query
@@ -70,18 +71,17 @@ def _matrix_unpack(t: Tables):
     return u.select("vec_id", "gene_index", "gene_name", r6(c("value")).alias("value"))
 
 
-WIDE = """w AS (SELECT l_suppkey AS gene, coalesce(CAST(CAST(sum(l_quantity) FILTER (WHERE l_returnflag = 'A' AND l_discount > 0.09 AND l_quantity > 45) AS BIGINT) AS VARCHAR), 'NA') AS "S-A",
- coalesce(CAST(CAST(sum(l_quantity) FILTER (WHERE l_returnflag = 'N' AND l_discount > 0.09 AND l_quantity > 45) AS BIGINT) AS VARCHAR), '') AS "S-N", '-' || CAST(CAST(sum(l_quantity) FILTER (WHERE l_returnflag = 'R') AS BIGINT) AS VARCHAR) || '.5' AS "S-R" FROM lineitem GROUP BY 1)
+WIDE = """w AS (SELECT l_suppkey AS gene, coalesce(CAST(CAST(sum(l_quantity) FILTER (WHERE l_returnflag = 'A') AS BIGINT) AS VARCHAR), 'NA') AS "S-A",
+ coalesce(CAST(CAST(sum(l_quantity) FILTER (WHERE l_returnflag = 'N') AS BIGINT) AS VARCHAR), '') AS "S-N", '-' || CAST(CAST(sum(l_quantity) FILTER (WHERE l_returnflag = 'R') AS BIGINT) AS VARCHAR) || '.5' AS "S-R" FROM lineitem GROUP BY 1)
 """
 
 
 def wide_text(t: Tables):
     q = lambda cond: F.sum(F.when(cond, c("l_quantity"))).cast("bigint").cast("string")
-    low = (c("l_discount") > 0.09) & (c("l_quantity") > 45)
     f = c("l_returnflag")
     return t.lineitem.groupBy(c("l_suppkey").alias("gene")).agg(
-        F.coalesce(q((f == "A") & low), F.lit("NA")).alias("S-A"),
-        F.coalesce(q((f == "N") & low), F.lit("")).alias("S-N"),
+        F.coalesce(q(f == "A"), F.lit("NA")).alias("S-A"),
+        F.coalesce(q(f == "N"), F.lit("")).alias("S-N"),
         F.concat(F.lit("-"), q(f == "R"), F.lit(".5")).alias("S-R"),
     )
 
@@ -338,20 +338,20 @@ def _files_by_case(t: Tables):
     return by_case.groupBy("case_id").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
-@query("flex_forms", with_("forms", body="SELECT kind, count(*) FILTER (WHERE k::INT > 97) AS n FROM forms GROUP BY 1 HAVING count(*) FILTER (WHERE k::INT > 97) > 0"))
+@query("flex_forms", with_("forms", body="SELECT case_id, kind, count(*) AS n, sum(row_no)::BIGINT AS rows, sum(k::BIGINT)::BIGINT AS ks FROM forms GROUP BY ALL"))
 def _flex_forms(t: Tables):
-    from cohortloom.operators.sets import populated_forms
-
-    f = t.forms.filter("cast(k as int) > 97")
-    n = nest(f, ["case_id", "kind"], [c("row_no")], ["row_no"], "rows")
-    kinds = ["click", "view", "signup", "purchase", "error", "radiation"]
-    wide = n.groupBy("case_id").agg(
-        *[F.max(F.when(c("kind") == k, c("rows"))).alias(k) for k in kinds]
-    )
-    kept = populated_forms(wide, kinds)
-    return wide.select(F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in kept]), F.array(*[F.coalesce(F.size(k), F.lit(0)) for k in kept]))).alias("kind", "s")).groupBy("kind").agg(
-        F.sum(F.greatest(c("s"), F.lit(0))).cast("bigint").alias("n")
-    )
+    # One struct column per case, of the forms that any case has; the sixth kind has no rows and no field.
+    kinds = ["click", "error", "purchase", "radiation", "signup", "view"]
+    forms = {k: Children(t.forms.filter(c("kind") == k), "case_id", [c("row_no")], ["row_no", "k"]) for k in kinds}
+    wide = nest_lists(t.forms.select("case_id").distinct(), "case_id", forms)
+    flex = flex_column(wide, kinds, "supplement")
+    names = flex.schema["supplement"].dataType.names
+    total = lambda rows, f: F.aggregate(rows, F.lit(0).cast("bigint"), lambda a, x: a + x[f].cast("bigint"))
+    each = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.size(f"supplement.{k}").cast("bigint").alias("n"), total(c(f"supplement.{k}"), "row_no").alias("rows"), total(c(f"supplement.{k}"), "k").alias("ks"))
+        for k in names
+    ]))
+    return flex.select("case_id", each.alias("e")).select("case_id", "e.*").filter("n > 0")
 
 
 @query("form_slice", """WITH ln AS (SELECT conv_id, turn, role || chr(9) || md5(text) AS line FROM conversations),

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cohortloom.functions import scalars as sc
+from cohortloom.operators.patients import Children, nest_lists
 from cohortloom.operators.sets import union_pad
 from cohortloom.plans.registry import query
 from cohortloom.plans.views import Tables, r6, with_
@@ -129,11 +130,13 @@ PAIRED = ["GDC_Aliquot_ID", "Chromosome", "Start", "End", "Num_Probes", "Segment
 SEG_OUT = ["aliquot", "chromosome", "start", "end", "num_probes", "segment_mean"]
 
 
-def plain_segments(t: Tables, flag: str | None, prefix: str, header: list[str]):
-    l = t.lineitem if flag is None else t.lineitem.filter(c("l_returnflag") == flag)
+def plain_segments(t: Tables, rows: str | None, prefix: str, header: list[str], normal: bool = False):
+    """Segments of the rows that meet ``rows``; with ``normal``, those of paired samples name theirs."""
+    l = t.lineitem if rows is None else t.lineitem.filter(rows)
     chrom = F.when(c("l_linenumber") == 7, "X").otherwise(F.concat(F.lit(prefix), text("l_linenumber")))
-    lines = l.select(tabbed(F.concat(F.lit("al-"), text("l_orderkey")), chrom, text("l_partkey"), text(c("l_partkey") + c("l_suppkey")), text(c("l_quantity").cast("bigint")), money("l_tax")).alias("line"))
-    parsed = tx.delimited(lines, header, rename=dict(zip(header, SEG_OUT)))
+    line = tabbed(F.concat(F.lit("al-"), text("l_orderkey")), chrom, text("l_partkey"), text(c("l_partkey") + c("l_suppkey")), text(c("l_quantity").cast("bigint")), money("l_tax")).alias("line")
+    other = F.when(c("l_returnflag") == "R", F.concat(F.lit("no-"), text("l_orderkey"))).alias("normal")
+    parsed = tx.delimited(l.select(line, other), header, keep=["normal"] if normal else [], rename=dict(zip(header, SEG_OUT)))
     return tx.coerce(parsed, ["start", "end", "num_probes"], ["segment_mean"])
 
 
@@ -145,10 +148,10 @@ def _segments_masked(t: Tables):
     return plain_segments(t, None, "", MASKED)
 
 
-@query("segments_union", SEG_SQL.format(p="", where=" WHERE l_returnflag = 'A'", more=", 'DNAcopy' AS workflow, NULL::VARCHAR AS normal") + " UNION ALL " + SEG_SQL.format(p="chr", where=" WHERE l_returnflag = 'N'", more=", 'GATK4 CNV', 'normal'"))
+@query("segments_union", SEG_SQL.format(p="", where=" WHERE l_returnflag = 'A'", more=", 'DNAcopy' AS workflow, NULL::VARCHAR AS normal") + " UNION ALL " + SEG_SQL.format(p="chr", where=" WHERE l_returnflag <> 'A'", more=", 'GATK4 CNV', CASE WHEN l_returnflag = 'R' THEN 'no-' || l_orderkey END"))
 def _segments_union(t: Tables):
-    a = plain_segments(t, "A", "", MASKED).withColumn("workflow", F.lit("DNAcopy"))
-    b = plain_segments(t, "N", "chr", PAIRED).withColumns({"workflow": F.lit("GATK4 CNV"), "normal": F.lit("normal")})
+    a = plain_segments(t, "l_returnflag = 'A'", "", MASKED).withColumn("workflow", F.lit("DNAcopy"))
+    b = plain_segments(t, "l_returnflag <> 'A'", "chr", PAIRED, normal=True).withColumn("workflow", F.lit("GATK4 CNV"))
     return union_pad([a, b])
 
 
@@ -396,16 +399,17 @@ def _md5(t: Tables):
 
 @query("iter_values", with_("forms", body="""
 , p AS (SELECT case_id, arg_max(token, row_no) AS v FROM forms WHERE kind IN ('signup', 'view') GROUP BY 1),
-f AS (SELECT case_id, string_agg(token, '|' ORDER BY row_no) AS vs, arg_min(token, row_no) AS one, bool_or(token = '50') AS hit FROM forms WHERE kind IN ('purchase', 'error') AND token NOT IN ('[Not Available]', '') GROUP BY 1),
-q AS (SELECT p.case_id, CASE WHEN v NOT IN ('[Unknown]', '') THEN v END AS pv, vs, one, coalesce(hit, false) AS hit FROM p LEFT JOIN f USING (case_id))
+f AS (SELECT case_id, string_agg(token, '|' ORDER BY row_no) AS vs, arg_min(token, row_no) AS one, bool_or(token = '50') AS hit FROM forms WHERE kind NOT IN ('signup', 'view') AND token NOT IN ('[Not Available]', '') GROUP BY 1),
+q AS (SELECT case_id, CASE WHEN v NOT IN ('[Unknown]', '') THEN v END AS pv, vs, one, coalesce(hit, false) AS hit FROM (SELECT DISTINCT case_id FROM forms) LEFT JOIN p USING (case_id) LEFT JOIN f USING (case_id))
 SELECT case_id, concat_ws('|', pv, vs) AS vals, coalesce(pv, one) AS first, coalesce(pv = '50', false) OR hit AS any_hit FROM q"""))
 def _iter_values(t: Tables):
-    from cohortloom.operators.skew import nest
-
+    # Every event belongs to the patient form (the last wins) or to the follow-up forms.
     f = t.forms.select("case_id", "row_no", "kind", "token")
-    p = f.filter("kind in ('signup', 'view')").groupBy("case_id").agg(F.struct(F.max_by("token", "row_no").alias("token")).alias("patient"))
-    fu = nest(f.filter("kind in ('purchase', 'error')"), ["case_id"], [c("row_no")], ["row_no", "token"], "forms")
-    j = p.join(fu, "case_id", "left").withColumn("vals", sc.form_values(c("patient"), c("forms"), "token", "row_no"))
+    own = c("kind").isin("signup", "view")
+    last = f.filter(own).groupBy("case_id").agg(F.struct(F.max_by("token", "row_no").alias("token")).alias("patient"))
+    base = f.select("case_id").distinct().join(last, "case_id", "left")
+    j = nest_lists(base, "case_id", {"forms": Children(f.filter(~own), "case_id", [c("row_no")], ["row_no", "token"])})
+    j = j.withColumn("vals", sc.form_values(c("patient"), c("forms"), "token", "row_no"))
     return j.select("case_id", F.array_join("vals", "|").alias("vals"), sc.first_value(c("vals")).alias("first"), sc.any_of(c("vals"), "50").alias("any_hit"))
 
 

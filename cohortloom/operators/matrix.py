@@ -43,6 +43,39 @@ def pack(
     return out
 
 
+def build(
+    rows: DataFrame, axis: DataFrame, sample: str, gene: str, values: Sequence[str], index: str = "gene_index",
+    tallies: dict[str, str] | None = None, tally: str | None = None, strands: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Sample-major lists of several quantifications at once: one column per name in ``values``, in the order of ``axis``.
+
+    ``axis`` has each ``gene`` once with its ``index`` from 0. ``tallies`` maps the names of summary rows to output columns, which take
+    their ``tally`` value (null where a sample has no such row); ``strands`` adds ``strand_balance``, the first
+    one's share of both sums. All of it comes out of one aggregation, read once; a sample's state is its axis. A sample that
+    lacks a gene of the axis, or has one twice, is refused, and so is a gene that is neither on the axis nor a tally.
+    """
+    tallies = tallies or {}
+    a = axis.select(F.col(gene).alias("__g"), F.col(index).cast("bigint").alias("__i"))
+    n_genes = axis.agg(F.count(F.lit(1))).scalar()
+    j = rows.join(a, F.col(gene) == F.col("__g"), "left")
+    on = F.col("__i").isNotNull()
+    stray = ~on & ~F.coalesce(F.col(gene).isin(*tallies), F.lit(False))
+    out = j.groupBy(sample).agg(
+        F.array_sort(F.collect_list(F.when(on, F.struct("__i", *values)))).alias("__rows"), F.max(F.when(stray, F.coalesce(F.col(gene).cast("string"), F.lit("null")))).alias("__stray"),
+        *[F.max(F.when(F.col(gene) == g, F.col(tally))).alias(c) for g, c in tallies.items()],
+        *([F.sum(F.when(on, F.col(s))).alias(f"__{k}") for k, s in enumerate(strands)] if strands else []),
+    )
+    whole = (F.size("__rows") == n_genes) & F.forall(F.transform("__rows", lambda x, i: x["__i"] == i), lambda ok: ok)
+    kind = out.schema["__rows"].dataType.simpleString()
+    name = F.col(sample).cast("string")
+    sure = F.when(F.col("__stray").isNotNull(), F.raise_error(F.concat(F.lit("gene off the axis in sample "), name, F.lit(": "), F.col("__stray"))).cast(kind))
+    sure = sure.when(~whole, F.raise_error(F.concat(F.lit("incomplete sample "), name)).cast(kind)).otherwise(F.col("__rows"))
+    out = out.withColumn("__rows", sure)
+    lists = [F.col(f"__rows.{v}").alias(v) for v in values]
+    balance = [strand_balance(F.col("__0"), F.col("__1")).alias("strand_balance")] if strands else []
+    return out.select(sample, *lists, *tallies.values(), *balance)
+
+
 def unpack(df: DataFrame, sample: str, values: str, genes: DataFrame, index: str, offset: str | None = None) -> DataFrame:
     """List to long rows, joined to the gene axis by position; ``offset`` names the column
     that says where a page begins."""

@@ -64,6 +64,27 @@ def _matrix_pack(t: Tables):
     )
 
 
+SIX = ("unstranded", "stranded_first", "stranded_second", "tpm", "fpkm", "fpkm_uq")
+
+
+@query("matrix_build", "WITH " + EMB + ", s AS (SELECT vec_id, i, abs(round(v::DOUBLE * 1000))::BIGINT AS q FROM e) SELECT vec_id, count(*) AS width, sum(q * (i + 1))::BIGINT AS unstranded, sum((q + i) * (i + 1))::BIGINT AS stranded_first, "
+ + "sum((2 * q + 1) * (i + 1))::BIGINT AS stranded_second, round(sum(q / 8.0::DOUBLE * (i + 1)), 6) AS tpm, round(sum(q / 16.0::DOUBLE * (i + 1)), 6) AS fpkm, round(sum(q / 32.0::DOUBLE * (i + 1)), 6) AS fpkm_uq, "
+ + "CASE WHEN vec_id % 7 <> 0 THEN vec_id * 3 END AS n_unmapped, vec_id + 1 AS n_ambiguous, round(sum(q + i)::DOUBLE / sum(3 * q + i + 1), 6) AS balance FROM s GROUP BY vec_id")
+def _matrix_build(t: Tables):
+    q = F.abs(F.round(c("v").cast("double") * 1000)).cast("bigint")
+    gene = F.concat(F.lit("ENSG"), (63 - c("i")).cast("string"))
+    long = long_vectors(t).select("vec_id", gene.alias("gene_id"), q.alias("q"), "i").select(
+        "vec_id", "gene_id", c("q").alias(SIX[0]), (c("q") + c("i")).alias(SIX[1]), (2 * c("q") + 1).alias(SIX[2]), (c("q") / 8.0).alias(SIX[3]), (c("q") / 16.0).alias(SIX[4]), (c("q") / 32.0).alias(SIX[5]),
+    )
+    # The summary rows of a sample stand among its genes; one of them is missing in some samples.
+    extra = t.embeddings.select("vec_id", F.explode(F.array(F.lit("N_unmapped"), F.lit("N_ambiguous"))).alias("gene_id"))
+    extra = extra.withColumn(SIX[0], F.when(c("gene_id") == "N_unmapped", c("vec_id") * 3).otherwise(c("vec_id") + 1)).filter("gene_id <> 'N_unmapped' or vec_id % 7 <> 0")
+    axis = t.spark.range(64).select(F.concat(F.lit("ENSG"), (63 - c("id")).cast("string")).alias("gene_id"), c("id").alias("gene_index"))
+    m = mx.build(long.unionByName(extra, allowMissingColumns=True), axis, "vec_id", "gene_id", SIX, tallies={"N_unmapped": "n_unmapped", "N_ambiguous": "n_ambiguous"}, tally=SIX[0], strands=SIX[1:3])
+    weighted = lambda v: F.aggregate(F.transform(v, lambda x, i: x * (i + 1)), F.lit(0).cast("bigint" if v in SIX[:3] else "double"), lambda a, x: a + x)
+    return m.select("vec_id", F.size(SIX[0]).cast("bigint").alias("width"), *[weighted(v).alias(v) for v in SIX[:3]], *[F.round(weighted(v), 6).alias(v) for v in SIX[3:]], "n_unmapped", "n_ambiguous", r6(c("strand_balance")).alias("balance"))
+
+
 @query("matrix_unpack", "WITH " + EMB + """SELECT vec_id, i AS gene_index, p_name AS gene_name, round(v::DOUBLE, 6) AS value FROM e JOIN part ON p_partkey = i""")
 def _matrix_unpack(t: Tables):
     genes = t.part.select(c("p_partkey").alias("gene_index"), c("p_name").alias("gene_name"))

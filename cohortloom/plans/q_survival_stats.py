@@ -111,19 +111,22 @@ def _fold_balance(t: Tables):
 
 
 @query("fold_reproduce", with_("endpoints", body="," + STATUS + DEAL + """
-SELECT project_id, count(*) AS checked, 0::BIGINT AS moved FROM folds GROUP BY 1"""))
+SELECT project_id, count(*) AS checked, count_if(case_id % 97 = 3)::BIGINT AS moved, count_if(case_id % 89 = 5 AND case_id % 97 <> 3)::BIGINT AS lost FROM folds GROUP BY 1"""))
 def _fold_reproduce(t: Tables):
-    published = dealt(t)
-    # A second deal that starts from differently arranged rows.
-    again = fo.deal(
-        patients(t).repartition("case_id"), count_on=t.cohort.select(F.col("grp").alias("project_id"))
-    ).select(
-        F.col("case_id").alias("again_id"), F.col("fold_10").alias("again")
-    )
-    j = published.join(again, F.col("case_id") == F.col("again_id"), "left")
+    # The published folds are a stored table, in which some cases were moved and some left out.
+    from cohortloom.session import shared_dir
+    from cohortloom.sinks.writer import write_folds
+
+    f = dealt(t).select("case_id", "fold_10", "fold_5").filter("case_id % 89 <> 5 or case_id % 97 = 3")
+    path = shared_dir(t.spark, "folds")
+    write_folds(f.withColumn("fold_10", F.when(F.col("case_id") % 97 == 3, (F.col("fold_10") + 1) % 10).otherwise(F.col("fold_10"))), path)
+    published = t.spark.read.parquet(path).select(F.col("case_id").alias("published_id"), F.col("fold_10").alias("published"))
+    # The second deal starts from differently arranged rows.
+    again = fo.deal(patients(t).repartition("case_id"), count_on=t.cohort.select(F.col("grp").alias("project_id")))
+    j = again.join(published, F.col("case_id") == F.col("published_id"), "left")
+    there = F.col("published_id").isNotNull()
     return j.groupBy("project_id").agg(
-        F.count(F.lit(1)).alias("checked"),
-        F.count_if(~F.col("fold_10").eqNullSafe(F.col("again"))).alias("moved"),
+        F.count(F.lit(1)).alias("checked"), F.count_if(there & ~F.col("fold_10").eqNullSafe(F.col("published"))).alias("moved"), F.count_if(~there).alias("lost"),
     )
 
 

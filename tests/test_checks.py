@@ -86,7 +86,7 @@ def test_hashes(spark):
 def test_suite_and_gate(base):
     ok = dq.check_rows(base, "fine", F.lit(True), "k")
     bad = dq.check_rows(base, "broken", F.col("i") > 0, "k")
-    assert tuple(dq.gate(dq.suite([ok, bad])).first()) == (False, 2, 1)
+    assert tuple(dq.gate(dq.suite([ok, bad])).first()) == (False, 2, 1, ["broken"])
     dq.require(dq.suite([ok, ok]))
     with pytest.raises(ValueError, match="broken"):
         dq.require(dq.suite([ok, bad]))

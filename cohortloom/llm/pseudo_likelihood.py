@@ -12,9 +12,9 @@ itself being masked; a text's score is the sum of the log-probabilities of all i
    place, added up, a tanh layer, a softmax over classes. In a round each task takes stochastic
    gradient steps through all its documents, from the weights all tasks share; then the weights are
    averaged, by words. What tasks send is of the network's fixed size. Tasks hold ``shard`` words or
-   more each, by joining partitions of small inputs, and a corpus of fewer than ``enough`` words is
-   gone through several times. The seed is fixed, so equal input in equal partitions gives an equal
-   model (but for the last bits of sums).
+   more each, by joining partitions of small inputs. There are ``rounds`` of them, one unless the caller says
+   more, whatever the size. The seed is fixed, so equal input in equal partitions gives an equal
+   model (but for the last bits of sums); scores follow the partitioning in their second digit or so.
 3. All documents are scored in one map with the broadcast network, whose size is fixed. Counts of
    words, as many as the corpus has, are not broadcast: each block of documents sends the hashes of its
    distinct words of hashed classes, once and in buckets, to where the counts of a bucket are, and
@@ -43,8 +43,8 @@ from cohortloom.llm.registry import query, table
 SIDE = (-2, -1, 1, 2)
 #: Tasks that add up weights.
 ADDERS = 8
-#: Words of the corpus for each bucket of counts.
-BUCKET_WORDS = 2_000_000
+#: Distinct words of the corpus for each bucket of counts.
+BUCKET_WORDS = 50_000
 #: In place of a bucket: a document's row, and the row that tells which documents hold a block's words.
 DOC, HELD = -2, -1
 
@@ -120,54 +120,62 @@ class Network:
         self.learned = 0
         #: (word, n) of the corpus, a table of the driver's session; None: all words count as met once
         self.counts: DataFrame | None = None
-        self.total = 0
+        #: distinct words of the corpus
+        self.distinct = 0
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "counts": None}
 
     def hidden(self, near: np.ndarray) -> np.ndarray:
-        h = self.embed[0][near[:, 0]]
+        h = self.embed[0].take(near[:, 0], axis=0)
         for k in range(1, len(SIDE)):
-            h += self.embed[k][near[:, k]]
+            h += self.embed[k].take(near[:, k], axis=0)
         return np.tanh(h, out=h)
 
+    def _layer(self) -> np.ndarray:
+        """Weights with the bias as the row of a unit that is always 1."""
+        return np.concatenate([self.out, self.bias[None]])
+
+    def _with_one(self, h: np.ndarray) -> np.ndarray:
+        return np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
+
     def log_probs(self, ids: np.ndarray, near: np.ndarray, step: int = 2048) -> np.ndarray:
         """Of each class, given its neighbours."""
-        out = np.empty(len(ids))
+        out, layer, ones = np.empty(len(ids)), self._layer(), np.ones(len(self.bias), np.float32)
         for lo in range(0, len(ids), step):
             part = slice(lo, lo + step)
-            logits = self.hidden(near[part]) @ self.out
-            logits += self.bias
+            logits = self._with_one(self.hidden(near[part])) @ layer
             mine = logits[np.arange(len(logits)), ids[part]].astype(float)
             # Weights are bounded in training, so that no exponential overflows.
-            out[part] = mine - np.log(np.exp(logits, out=logits).sum(axis=1))
+            out[part] = mine - np.log(np.exp(logits, out=logits) @ ones)
         return out
 
     def fit(self, ids: np.ndarray, near: np.ndarray, rates: tuple[float, float], rng: np.random.Generator, batch: int = 512) -> None:
         """Stochastic gradient steps through all words once, at a rate that falls from the first to the second."""
         order = rng.permutation(len(ids))
         n, width = self.embed.shape[1:]
+        layer, ones = self._layer(), np.ones(len(self.bias), np.float32)
+        flat = self.embed.reshape(-1)
+        place = np.arange(len(SIDE))[:, None] * (n * width) + np.arange(width)
         for lo in range(0, len(ids), batch):
             at = order[lo : lo + batch]
             lr = rates[0] + (rates[1] - rates[0]) * lo / len(ids)
-            mine = near[at]
+            mine, share = near[at], np.float32(1 / len(at))
             h = self.hidden(mine)
-            p = h @ self.out
-            p += self.bias
+            one = self._with_one(h)
+            p = one @ layer
             np.exp(p, out=p)
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(at)), ids[at]] -= 1
-            p /= len(at)
-            back = (p @ self.out.T) * (1 - h * h)
-            self.out -= lr * (h.T @ p)
-            self.bias -= lr * p.sum(axis=0)
+            p *= (share / (p @ ones))[:, None]
+            p[np.arange(len(at)), ids[at]] -= share
+            back = (p @ layer[:-1].T) * (1 - h * h)
+            layer -= lr * (one.T @ p)
             back *= lr * len(SIDE) * 8
-            for k in range(len(SIDE)):
-                # Rows of one class are added up.
-                cell = (mine[:, k, None].astype(np.int64) * width + np.arange(width)).ravel()
-                self.embed[k] -= np.bincount(cell, back.ravel(), minlength=n * width).reshape(n, width).astype(np.float32)
-            np.clip(self.out, -3, 3, out=self.out)
-            np.clip(self.bias, -12, 12, out=self.bias)
+            # Rows of one class are added up, all sides at once.
+            cell = mine[:, :, None].astype(np.int64) * width + place
+            flat -= np.bincount(cell.ravel(), np.repeat(back[:, None], len(SIDE), axis=1).ravel(), minlength=len(flat)).astype(np.float32)
+            np.clip(layer[:-1], -3, 3, out=layer[:-1])
+            np.clip(layer[-1], -12, 12, out=layer[-1])
+        self.out, self.bias = layer[:-1].copy(), layer[-1].copy()
 
     def weights(self) -> np.ndarray:
         return np.concatenate([self.embed.ravel(), self.out.ravel(), self.bias])
@@ -218,7 +226,7 @@ def trained_round(texts: DataFrame, network: Network, words: float, rates: tuple
     return n
 
 
-def train(docs: DataFrame, *, kept: int = 192, rest: int = 64, shard: int = 200_000, enough: int = 3_000_000, rate: float = 0.4, text_col: str = "text") -> Network | None:
+def train(docs: DataFrame, *, kept: int = 192, rest: int = 64, shard: int = 200_000, rounds: int = 1, rate: float = 0.4, text_col: str = "text") -> Network | None:
     counts = cut(word_counts(docs, text_col), "words")
     total = counts.agg(F.sum("n")).first()[0]
     if not total:
@@ -236,7 +244,7 @@ def train(docs: DataFrame, *, kept: int = 192, rest: int = 64, shard: int = 200_
     for r in others.groupBy(class_of("word").alias("c")).agg(F.sum("n").alias("n")).collect():
         met[len(words) + r["c"]] = r["n"]
     network = Network(Vocabulary(words, met[len(words) :]))
-    network.counts, network.total = counts, total
+    network.counts, network.distinct = counts, counts.count()
     by_word = {r["word"]: r["n"] for r in top}
     met[: len(words)] = [by_word[w] for w in network.vocabulary.words.view(np.int64).tolist()]
     network.bias[:] = np.log((met + 1) / (total + len(met)))
@@ -245,7 +253,6 @@ def train(docs: DataFrame, *, kept: int = 192, rest: int = 64, shard: int = 200_
     # A plan's number of partitions is known without running it; joining some of them moves no rows.
     shards = min(shards, texts.rdd.getNumPartitions())
     texts = texts.coalesce(shards)
-    rounds = min(6, max(1, round(enough / total)))
     for k in range(rounds):
         falls = tuple(rate * (1 - (k + j) / rounds) + 0.01 for j in (0, 1))
         network.learned = trained_round(texts, network, total / shards, falls, 11 + k)
@@ -258,7 +265,7 @@ def score(docs: DataFrame, network: Network | None, *, id_col: str = "doc_id", t
     if network is None:
         return docs.select(F.col(id_col), F.lit(0).cast("bigint").alias("n_words"), F.lit(0.0).alias("log_prob"), F.lit(None).cast("double").alias("mean_log_prob"))
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    n_buckets = max(32, network.total // BUCKET_WORDS)
+    n_buckets = max(32, network.distinct // BUCKET_WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, g = shared.value, TaskContext.get().partitionId() << 32

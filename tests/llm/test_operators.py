@@ -401,7 +401,7 @@ def test_pseudo_likelihood(spark, docs, none):
     mixed = [(1000 + k, " ".join(rnd.sample(t.split(), len(t.split())))) for k, t in rows[:60]]
     odd = [(2000, None), (2001, ""), (2002, "unseen"), (2002, "unseen")]
     df = table(spark, [*rows, *odd])
-    net = pseudo_likelihood.train(df, kept=20, rest=4)
+    net = pseudo_likelihood.train(df, kept=20, rest=4, rounds=6)
     got = {r.doc_id: r for r in pseudo_likelihood.score(table(spark, [*rows, *mixed, *odd]), net).collect()}
     assert np.mean([got[k].mean_log_prob for k in range(60)]) > np.mean([got[1000 + k].mean_log_prob for k in range(60)]) + 1
     assert got[2000].n_words == 0 and got[2000].mean_log_prob is None and got[2001].log_prob == 0 and got[2002].log_prob < 0

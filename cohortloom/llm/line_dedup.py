@@ -55,7 +55,8 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # The text itself must not go along with each of its lines: it is hashed and split before they are told apart.
     # The outer form, as for the other one Spark splits again to see whether there is a line.
     rows = _documents(docs, id_col, text_col).select("id", "th", F.posexplode_outer("lines").alias("no", "line"))
-    return rows.filter(F.trim("line", F.lit(" \t\r")) != "").select("id", "th", "no", _normal(F.col("line")).alias("norm"))
+    # Trimming one side tells a blank line as well as both do, and reads up to the first other character only.
+    return rows.filter(F.ltrim("line", F.lit(" \t\r")) != "").select("id", "th", "no", _normal(F.col("line")).alias("norm"))
 
 
 def _digest(norm: str = "norm") -> Column:
@@ -63,15 +64,30 @@ def _digest(norm: str = "norm") -> Column:
     return F.struct(F.xxhash64(norm).alias("a"), F.hash(norm).alias("b"))
 
 
-def _halves(norm: Column, n: Column, min_words: int) -> Column:
-    """Hashes of the halves by which a line may meet one of as many, one fewer or one more words."""
+def _n_words(norm: str = "norm") -> Column:
+    """Words of a line that is not blank and has single blanks at its ends nowhere: its blanks and one."""
+    return F.octet_length(norm) - F.octet_length(F.replace(F.col(norm), F.lit(" "), F.lit(""))) + 1
 
-    def both(m: Column) -> Column:
-        k = F.floor((m - 1) / 2).cast("int")
-        half = lambda k: F.call_function("substring_index", norm, F.lit(" "), k)
-        return F.array(F.xxhash64(F.lit(0), m, half(k)), F.xxhash64(F.lit(1), m, half(-k)))
 
-    return F.when(n > min_words, F.concat(both(n), both(n - 1))).when(n == min_words, both(n)).otherwise(F.array().cast("array<bigint>"))
+def _with_halves(lines: DataFrame, min_words: int) -> DataFrame:
+    """Adds ``halves``: hashes of the halves by which a line may meet one of as many, one fewer or one more words.
+
+    Cutting a text at a word reads it, so the halves for n - 1 words are taken over where they are those for n.
+    """
+    n = F.col("n")
+    k, fewer = F.floor((n - 1) / 2).cast("int"), F.floor((n - 2) / 2).cast("int")
+
+    def cut_at(k: Column) -> Column:
+        part = lambda k: F.call_function("substring_index", F.col("norm"), F.lit(" "), k)
+        return F.struct(part(k).alias("head"), part(-k).alias("tail"))
+
+    def both(m: Column, s: str) -> Column:
+        return F.array(F.xxhash64(F.lit(0), m, F.col(f"{s}.head")), F.xxhash64(F.lit(1), m, F.col(f"{s}.tail")))
+
+    out = lines.withColumn("__own", F.when(n >= min_words, cut_at(k)))
+    out = out.withColumn("__fewer", F.when(n > min_words, F.when(k == fewer, F.col("__own")).otherwise(cut_at(fewer))))
+    hashes = F.when(n > min_words, F.concat(both(n, "__own"), both(n - 1, "__fewer"))).when(n == min_words, both(n, "__own"))
+    return out.withColumn("halves", hashes.otherwise(F.array().cast("array<bigint>"))).drop("__own", "__fewer")
 
 
 def _keys(lines: DataFrame) -> DataFrame:
@@ -134,8 +150,8 @@ def removed_lines(docs: DataFrame, *, min_words: int = 8, id_col: str = "doc_id"
     """(id, th, gone): for each document that loses lines, the sorted numbers of those lines."""
     lines = _lines(docs, id_col, text_col)
     place = F.struct("id", "th", "no")
-    counted = lines.withColumn("n", F.size(F.split("norm", " ", -1)))
-    counted = counted.select(_digest().alias("h"), place.alias("place"), "n", _halves(F.col("norm"), F.col("n"), min_words).alias("halves"))
+    counted = _with_halves(lines.withColumn("n", _n_words()), min_words)
+    counted = counted.select(_digest().alias("h"), place.alias("place"), "n", "halves")
     first = lambda c: F.first(c).alias(c)
     distinct = cut(counted.groupBy("h").agg(F.min("place").alias("ord"), F.count("*").alias("c"), first("n"), first("halves")), "lines")
     near = _near(distinct, _documents(docs, id_col, text_col)).withColumn("near", F.lit(True))

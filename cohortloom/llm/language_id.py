@@ -19,6 +19,7 @@ not held out. Repeated rows get the same answer each.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,9 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+LOTS = 1 << 53
+
+
 def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes with three blanks before each text, and where each byte of the texts now is."""
     n = np.diff(offsets)
@@ -49,12 +53,18 @@ def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def gram_counts(docs: DataFrame, *, sample_docs: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, gram, n): four-byte grams of the training sample, a gram being a big-endian number."""
+    """(lang, gram, n): four-byte grams of the training sample, a gram being a big-endian number.
+
+    Languages are counted first; their shares, a number for each column of the model, go to the scan, which picks texts
+    by the hash of their id. No text is shuffled.
+    """
     rows = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    sizes = rows.groupBy(F.col(lang_col).alias("name")).agg(F.count("*").alias("n"))
-    share = F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.col("n"))
-    picked = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(id_col), F.lit(1_000_000)).alias("lot"))
-    picked = picked.join(sizes, F.col("lang") == F.col("name")).filter(F.col("lot") < share * 1_000_000).select("lang", "text")
+    sizes = rows.groupBy(F.col(lang_col).alias("name")).agg(F.count("*").alias("n")).collect()
+    # Lots are fine enough for any number of rows: a whole long of lots would not fit a double.
+    below = {r["name"]: min(LOTS, int(LOTS * sample_docs / r["n"])) for r in sizes}
+    lot = F.pmod(F.xxhash64(id_col), F.lit(LOTS))
+    limit = F.try_element_at(F.from_json(F.lit(json.dumps(below)), "map<string,bigint>"), F.col(lang_col))
+    picked = rows.filter(lot < limit).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -454,7 +454,7 @@ def test_twins_on_whole_tables(spark):
     duckdb = pytest.importorskip("duckdb")
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     for name, sql in registry.ORACLES.items():
         got, want = registry.QUERIES[name](spark, sf).toPandas(), con.execute(sql).df()

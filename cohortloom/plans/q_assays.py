@@ -31,15 +31,15 @@ def write_files(t: Tables, rows: DataFrame, header: str | None, purpose: str) ->
     return path
 
 
-def manifest(t: Tables, prefix: str, paired) -> DataFrame:
-    """One file per supplier; ``paired`` says which name a second aliquot. All name a slide as well."""
+def manifest(t: Tables, prefix: str, two) -> DataFrame:
+    """One file per supplier; ``two`` says which name a second aliquot. All name a slide as well."""
     k = text("s_suppkey")
     entity = lambda a, b, kind: F.struct(F.concat(F.lit(a), k).alias("entity_id"), F.concat(F.lit(b), k).alias("entity_submitter_id"), F.lit(kind).alias("entity_type"))
     one = [entity("sl-", "SB-", "slide"), entity("al-", "AB-", "aliquot")]
     return t.supplier.select(
         name(prefix, "s_suppkey").alias("file_name"), F.concat(F.lit("f-"), k).alias("file_id"), F.concat(F.lit("c-"), text("s_nationkey")).alias("case_id"),
         F.when(c("s_suppkey") % 2 == 0, "ASCAT3").otherwise("ASCAT2").alias("workflow_type"), F.lit("WXS").alias("experimental_strategy"), F.lit("450").alias("platform"),
-        F.when(paired, F.array(*one, entity("no-", "NB-", "aliquot"))).otherwise(F.array(*one)).alias("entities"),
+        F.when(two, F.array(*one, entity("no-", "NB-", "aliquot"))).otherwise(F.array(*one)).alias("entities"),
     )
 
 
@@ -55,9 +55,15 @@ def aliquots(t: Tables) -> DataFrame:
     )
 
 
-PAIRED = c("s_suppkey") % 3 != 0
-#: Files whose aliquot column has a second value.
-MIXED = (c("l_suppkey") % 10 == 7) & (c("l_linenumber") > 1)
+def paired():
+    return c("s_suppkey") % 3 != 0
+
+
+def mixed():
+    """Files whose aliquot column has a second value."""
+    return (c("l_suppkey") % 10 == 7) & (c("l_linenumber") > 1)
+
+
 
 KEYS_SQL = """'c-' || s_nationkey AS case_id, 'C' || s_nationkey AS case_submitter_id, CASE WHEN s_suppkey % 11 <> 5 THEN 's-' || s_suppkey END AS sample_id,
  CASE WHEN s_suppkey % 11 <> 5 THEN 'S' || s_suppkey END AS sample_submitter_id, CASE WHEN s_suppkey % 11 <> 5 THEN CASE WHEN s_suppkey % 2 = 0 THEN 'Primary Tumor' ELSE 'Metastatic' END END AS sample_type,
@@ -71,7 +77,7 @@ ALLELE = "GDC_Aliquot\tChromosome\tStart\tEnd\tCopy_Number\tMajor_Copy_Number\tM
 
 
 def aliquot_cell(prefix: str):
-    return F.concat(F.when(MIXED, f"x{prefix}").otherwise(prefix), text("l_suppkey"))
+    return F.concat(F.when(mixed(), f"x{prefix}").otherwise(prefix), text("l_suppkey"))
 
 
 def allele_files(t: Tables) -> str:
@@ -83,7 +89,7 @@ def allele_files(t: Tables) -> str:
 @query("flat_allele_segments", f"""SELECT {KEYS_SQL}, {NORMAL_SQL}, {FLOW_SQL}, 'WXS' AS experimental_strategy, 'chr' || l_linenumber AS chromosome, l_partkey AS start, l_partkey + CAST(l_quantity AS BIGINT) AS "end",
  CAST(l_quantity AS BIGINT) % 7 AS copy_number, CAST(l_quantity AS BIGINT) % 7 - l_partkey % 2 AS major_copy_number, l_partkey % 2 AS minor_copy_number {FROM} {SURE}""")
 def _allele(t: Tables):
-    return ay.allele_segments(t.spark, allele_files(t), manifest(t, "allele", PAIRED), aliquots(t), **NAMED)
+    return ay.allele_segments(t.spark, allele_files(t), manifest(t, "allele", paired()), aliquots(t), **NAMED)
 
 
 def segment_rows(t: Tables, prefix: str, own, chromosome: str, flag: str | None = None) -> DataFrame:
@@ -109,9 +115,9 @@ def _segments(t: Tables):
     plain = F.concat(F.lit("al-"), text("l_suppkey"))
     barcode = F.concat(F.when(c("l_suppkey") % 10 == 3, "ZZ-").otherwise("AB-"), text("l_suppkey"))
     single = write_files(t, segment_rows(t, "dnacopy", plain, "", "l_returnflag <> 'N'"), "GDC_Aliquot" + SEGMENT_HEAD, "dnacopy")
-    paired = write_files(t, segment_rows(t, "gatk", barcode, "chr", "l_returnflag = 'N'"), "GDC_Aliquot_ID" + SEGMENT_HEAD, "gatk")
-    both = manifest(t, "dnacopy", PAIRED).unionByName(manifest(t, "gatk", PAIRED))
-    return ay.unmasked_segments(t.spark, single, paired, both, aliquots(t), **NAMED)
+    double = write_files(t, segment_rows(t, "gatk", barcode, "chr", "l_returnflag = 'N'"), "GDC_Aliquot_ID" + SEGMENT_HEAD, "gatk")
+    both = manifest(t, "dnacopy", paired()).unionByName(manifest(t, "gatk", paired()))
+    return ay.unmasked_segments(t.spark, single, double, both, aliquots(t), **NAMED)
 
 
 @query("flat_gene_level", f"""SELECT {KEYS_SQL}, {NORMAL_SQL}, {FLOW_SQL}, 'WXS' AS experimental_strategy, 'ENSG' || l_partkey AS gene_id, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linenumber::BIGINT END AS copy_number,
@@ -120,7 +126,7 @@ def _gene_level(t: Tables):
     line = tabbed(F.concat(F.lit("ENSG"), text("l_partkey")), F.lit("n"), F.lit("chr1"), F.lit("1"), F.lit("2"), F.when(c("l_returnflag") != "R", F.concat(text("l_linenumber"), F.lit(".0"))), text("l_suppkey"), text(c("l_quantity").cast("bigint")))
     header = "gene_id\tgene_name\tchromosome\tstart\tend\tcopy_number\tmin_copy_number\tmax_copy_number"
     path = write_files(t, t.lineitem.select(name("gene").alias("file"), line.alias("line")), header, "gene-level")
-    both = manifest(t, "gene", PAIRED).unionByName(manifest(t, "allele", PAIRED).withColumn("case_id", F.lit("none")))
+    both = manifest(t, "gene", paired()).unionByName(manifest(t, "allele", paired()).withColumn("case_id", F.lit("none")))
     return ay.gene_level(t.spark, path, both, aliquots(t), allele_files(t), **NAMED)
 
 
@@ -128,7 +134,7 @@ def _gene_level(t: Tables):
 def _methylation(t: Tables):
     line = tabbed(F.concat(F.lit("cg"), text("l_orderkey")), F.when(c("l_returnflag") == "R", "NA").otherwise(money("l_discount")))
     path = write_files(t, t.lineitem.select(name("beta").alias("file"), line.alias("line")), None, "methylation")
-    return ay.methylation(t.spark, path, manifest(t, "beta", PAIRED), aliquots(t), **NAMED)
+    return ay.methylation(t.spark, path, manifest(t, "beta", paired()), aliquots(t), **NAMED)
 
 
 @query("flat_expression", f"""SELECT 'c-' || s_nationkey AS case_id, 'C' || s_nationkey AS case_submitter_id, 'al-' || s_suppkey AS aliquot_id, CASE WHEN s_suppkey % 11 <> 5 THEN 'AB-' || s_suppkey END AS aliquot_submitter_id,
@@ -139,7 +145,7 @@ def _expression(t: Tables):
     line = tabbed(gene, F.lit("n"), F.lit("protein_coding"), text(c("l_quantity").cast("bigint")), text("l_orderkey"), text("l_linenumber"), money("l_discount"), money("l_tax"), money("l_extendedprice"))
     header = "gene_id\tgene_name\tgene_type\t" + "\t".join(ay.EXPRESSION_VALUES)
     path = write_files(t, t.lineitem.select(name("star").alias("file"), line.alias("line")), header, "expression")
-    return ay.expression(t.spark, path, manifest(t, "star", PAIRED), aliquots(t), **NAMED)
+    return ay.expression(t.spark, path, manifest(t, "star", paired()), aliquots(t), **NAMED)
 
 
 @query("flat_isoforms", f"""SELECT {KEYS_SQL}, 'mir-' || l_partkey AS mirna_id, 'hg38:chr1:' || l_orderkey AS isoform_coords, CAST(l_quantity AS BIGINT) AS read_count, l_extendedprice AS reads_per_million_mirna_mapped,
@@ -148,7 +154,7 @@ def _isoforms(t: Tables):
     region = F.when(c("l_linestatus") == "F", F.concat(F.lit("mature,MIMAT"), text("l_linenumber")))
     line = tabbed(F.concat(F.lit("mir-"), text("l_partkey")), F.concat(F.lit("hg38:chr1:"), text("l_orderkey")), text(c("l_quantity").cast("bigint")), money("l_extendedprice"), F.when(c("l_returnflag") == "A", "Y").otherwise("N"), region)
     path = write_files(t, t.lineitem.select(name("iso").alias("file"), line.alias("line")), "\t".join(ay.ISOFORM), "isoforms")
-    return ay.isoforms(t.spark, path, manifest(t, "iso", PAIRED), aliquots(t), **NAMED)
+    return ay.isoforms(t.spark, path, manifest(t, "iso", paired()), aliquots(t), **NAMED)
 
 
 @query("flat_gene_model", """SELECT 'ENSG' || coalesce(p_partkey, s_suppkey) AS gene_id, coalesce(p_name, 'g' || s_suppkey) AS gene_name, p_type AS gene_type, CASE WHEN s_suppkey IS NOT NULL THEN 'chr' || s_nationkey END AS chromosome, s_suppkey AS start, s_suppkey + 9 AS "end"

@@ -170,12 +170,15 @@ def _aligned(t: Tables):
     return shown(dq.aligned(configs, "chk_aligned", "at", "key"))
 
 
-SUITES = dq.Suites()
-SUITES.add("project", dq.Check("aliquot_ids", "aliquots", c("aliquot_id").rlike("^[0-9]+(-[0-9]+){4}$"), "aliquot_id"), dq.Check("quantities", "aliquots", c("quantity").between(1, 49), "aliquot_id"), dq.Check("segments", "cases", c("segment") != "MACHINERY", "case_id"))
-SUITES.add("expression", dq.Check("widths", "vectors", F.size("embedding") == 64, "vec_id"), dq.Check("labels", "vectors", c("label") < 9, "vec_id"), dq.Check("gene_sizes", "genes", c("size") > 0, "gene_id"))
-SUITES.add("curated", dq.Check("statuses", "samples", c("sample_type").isin("F", "O", "P"), "sample_id"), dq.Check("weights", "samples", c("weight") > 0, "sample_id"))
-SUITES.add("study", dq.Check("sizes", "files", c("file_size") > 20, "file_id"), dq.Check("checksums", "files", c("md5sum").rlike("^[0-9a-f]{32}$"), "file_id"), dq.Check("languages", "files", c("data_type") != "de", "file_id", 10))
-SUITES.add("folds", dq.Check("fold_10", "folds", c("fold_10").between(0, 9), "case_id"), dq.Check("nested", "folds", c("fold_5") == c("fold_10") % 5, "case_id"), dq.Check("first", "folds", c("fold_10") > 0, "case_id"))
+def suites() -> dq.Suites:
+    """The five suites by name."""
+    out = dq.Suites()
+    out.add("project", dq.Check("aliquot_ids", "aliquots", c("aliquot_id").rlike("^[0-9]+(-[0-9]+){4}$"), "aliquot_id"), dq.Check("quantities", "aliquots", c("quantity").between(1, 49), "aliquot_id"), dq.Check("segments", "cases", c("segment") != "MACHINERY", "case_id"))
+    out.add("expression", dq.Check("widths", "vectors", F.size("embedding") == 64, "vec_id"), dq.Check("labels", "vectors", c("label") < 9, "vec_id"), dq.Check("gene_sizes", "genes", c("size") > 0, "gene_id"))
+    out.add("curated", dq.Check("statuses", "samples", c("sample_type").isin("F", "O", "P"), "sample_id"), dq.Check("weights", "samples", c("weight") > 0, "sample_id"))
+    out.add("study", dq.Check("sizes", "files", c("file_size") > 20, "file_id"), dq.Check("checksums", "files", c("md5sum").rlike("^[0-9a-f]{32}$"), "file_id"), dq.Check("languages", "files", c("data_type") != "de", "file_id", 10))
+    out.add("folds", dq.Check("fold_10", "folds", c("fold_10").between(0, 9), "case_id"), dq.Check("nested", "folds", c("fold_5") == c("fold_10") % 5, "case_id"), dq.Check("first", "folds", c("fold_10") > 0, "case_id"))
+    return out
 
 
 def suite_sql(table: str, checks: dict[str, tuple[str, str]]) -> str:
@@ -198,7 +201,8 @@ query("chk_suites", with_("endpoints", "aliquots", "genes", body="," + STATUS +
 
 def _all_suites(t: Tables):
     tables = {"aliquots": t.aliquots, "cases": t.cases, "vectors": t.embeddings, "genes": t.genes, "samples": t.samples, "files": t.files, "folds": dealt(t)}
-    parts = [SUITES.run(n, tables).withColumn("suite", F.lit(n)) for n in SUITES.names()]
+    made = suites()
+    parts = [made.run(n, tables).withColumn("suite", F.lit(n)) for n in made.names()]
     return shown(dq.suite(parts))
 
 

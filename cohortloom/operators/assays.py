@@ -5,7 +5,8 @@ A manifest has one row per file: ``file_name``, ``file_id``, ``case_id``, ``work
 An aliquot table has one row per aliquot: ``case_id``, ``case_submitter_id``, ``sample_id``,
 ``sample_submitter_id``, ``sample_type``, ``aliquot_id``, ``aliquot_submitter_id``. Which aliquot a file measures is
 settled per file, in a table of one row a file, and joined to the measurements once; a file whose
-aliquot cannot be told is left out, never guessed at.
+aliquot cannot be told is left out, never guessed at. With ``under``, the files of a name are those in the folder ``under`` + name below
+``path``, and tasks look them up by the manifest; without, the driver lists ``path``.
 """
 
 from __future__ import annotations
@@ -38,6 +39,12 @@ NA = (
 MIRNA = {k: v for k, v in ISOFORM.items() if k not in ("isoform_coords", "miRNA_region")}
 
 
+def read_files(spark: SparkSession, path: str, manifest: DataFrame, columns: list[str], *, under: str | None = None, **read) -> DataFrame:
+    """Text cells of the manifest's files; see :func:`cohortloom.sources.splits.read_delimited`."""
+    where = path if under is None else manifest.select(F.concat(F.lit(f"{path.rstrip('/')}/{under}"), "file_name").alias("path"))
+    return read_delimited(spark, where, columns, nulls=NA, **read)
+
+
 def aliquot_entities(manifest: DataFrame) -> DataFrame:
     """Manifest with ``aliquots``: its entities of type aliquot that have an id."""
     return manifest.withColumn("aliquots", F.filter("entities", lambda e: (e["entity_type"] == "aliquot") & e["entity_id"].isNotNull()))
@@ -112,10 +119,14 @@ def with_keys(files: DataFrame, aliquots: DataFrame, tumor: str = "tumor") -> Da
 
 
 def measured(rows: DataFrame, files: DataFrame, columns: list[str]) -> DataFrame:
-    """Measurements with their file's columns; rows of unresolved files go."""
+    """Measurements with their file's columns; rows of unresolved files go.
+
+    Rows meet their files in a shuffle. Left to itself Spark would send the measurements to every
+    task through the driver, for it sees only how few file names they come from.
+    """
     f = files.select(F.col("file_name").alias("__file"), *columns, "source_file_id")
     values = [c for c in rows.columns if c not in ("file_name", "at")]
-    return rows.join(f, F.col("file_name") == F.col("__file")).select(*columns, "source_file_id", *values)
+    return rows.join(f.hint("shuffle_hash"), F.col("file_name") == F.col("__file")).select(*columns, "source_file_id", *values)
 
 
 def allele_segments(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, **read) -> DataFrame:
@@ -124,7 +135,7 @@ def allele_segments(spark: SparkSession, path: str, manifest: DataFrame, aliquot
 
 
 def _allele(spark, path, manifest, aliquots, **read):
-    rows = read_delimited(spark, path, ["GDC_Aliquot", *SEGMENT, *COPIES], rename={**SEGMENT, **COPIES}, nulls=NA, **read)
+    rows = read_files(spark, path, manifest, ["GDC_Aliquot", *SEGMENT, *COPIES], rename={**SEGMENT, **COPIES}, **read)
     files = tumor_by_id(manifest, rows, "GDC_Aliquot")
     keyed = with_keys(with_normal(files), aliquots)
     out = coerce(rows.drop("GDC_Aliquot"), ["start", "end", *COPIES.values()])
@@ -133,7 +144,7 @@ def _allele(spark, path, manifest, aliquots, **read):
 
 def masked_segments(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, **read) -> DataFrame:
     """Masked segments of single-aliquot files; chromosomes as written."""
-    rows = read_delimited(spark, path, ["GDC_Aliquot", *SEGMENT, *MEASURED], rename={**SEGMENT, **MEASURED}, nulls=NA, **read)
+    rows = read_files(spark, path, manifest, ["GDC_Aliquot", *SEGMENT, *MEASURED], rename={**SEGMENT, **MEASURED}, **read)
     keyed = with_keys(tumor_by_id(manifest, rows, "GDC_Aliquot"), aliquots)
     return measured(coerce(rows.drop("GDC_Aliquot"), ["start", "end", "num_probes"], ["segment_mean"]), keyed, [*KEYS, "workflow_type"])
 
@@ -143,7 +154,7 @@ def unmasked_segments(spark: SparkSession, single: str, paired: str, manifest: D
     fields = [*KEYS, *NORMAL, "workflow_type", "experimental_strategy"]
     parts = []
     for path, column, settle in ((single, "GDC_Aliquot", tumor_by_id), (paired, "GDC_Aliquot_ID", tumor_by_barcode)):
-        rows = read_delimited(spark, path, [column, *SEGMENT, *MEASURED], rename={**SEGMENT, **MEASURED}, nulls=NA, **read)
+        rows = read_files(spark, path, manifest, [column, *SEGMENT, *MEASURED], rename={**SEGMENT, **MEASURED}, **read)
         files = settle(manifest, rows, column)
         if settle is tumor_by_barcode:
             files = with_normal(files)
@@ -156,21 +167,21 @@ def unmasked_segments(spark: SparkSession, single: str, paired: str, manifest: D
 
 def gene_level(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, allele: str, **read) -> DataFrame:
     """Copy number by gene: three value columns, gene annotation left out; tumors of paired files by their segment file."""
-    segments = read_delimited(spark, allele, ["GDC_Aliquot"], nulls=NA, **read)
+    segments = read_files(spark, allele, manifest, ["GDC_Aliquot"], **read)
     files = with_normal(tumor_by_pair(manifest, tumor_by_id(manifest, segments, "GDC_Aliquot")))
-    rows = read_delimited(spark, path, ["gene_id", *GENE_LEVEL_VALUES], nulls=NA, **read)
+    rows = read_files(spark, path, manifest, ["gene_id", *GENE_LEVEL_VALUES], **read)
     return measured(coerce(rows, GENE_LEVEL_VALUES), with_keys(files, aliquots), [*KEYS, *NORMAL, "workflow_type", "experimental_strategy"])
 
 
 def methylation(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, **read) -> DataFrame:
     """Beta values of headerless two-column files; masked probes are null."""
-    rows = read_delimited(spark, path, ["probe_id", "beta_value"], header=["probe_id", "beta_value"], nulls=NA, **read)
+    rows = read_files(spark, path, manifest, ["probe_id", "beta_value"], header=["probe_id", "beta_value"], **read)
     return measured(coerce(rows, floats=["beta_value"]), with_keys(tumor_by_only_entity(manifest), aliquots), [*KEYS, "platform"])
 
 
 def expression(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, **read) -> DataFrame:
     """Expression by gene: six value columns, the ``N_`` summary rows left out, gene annotation not repeated."""
-    rows = read_delimited(spark, path, ["gene_id", *EXPRESSION_VALUES], nulls=NA, **read)
+    rows = read_files(spark, path, manifest, ["gene_id", *EXPRESSION_VALUES], **read)
     rows = rows.filter(~F.coalesce(F.col("gene_id").startswith("N_"), F.lit(False)))
     out = coerce(rows, EXPRESSION_VALUES[:3], EXPRESSION_VALUES[3:])
     return measured(out, with_keys(tumor_by_only_entity(manifest), aliquots), ["case_id", "case_submitter_id", "aliquot_id", "aliquot_submitter_id"])
@@ -178,14 +189,14 @@ def expression(spark: SparkSession, path: str, manifest: DataFrame, aliquots: Da
 
 def isoforms(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, **read) -> DataFrame:
     """miRNA isoforms with their coordinates and region."""
-    rows = read_delimited(spark, path, list(ISOFORM), rename=ISOFORM, nulls=NA, **read)
+    rows = read_files(spark, path, manifest, list(ISOFORM), rename=ISOFORM, **read)
     out = coerce(rows, ["read_count"], ["reads_per_million_mirna_mapped"])
     return measured(out, with_keys(tumor_by_only_entity(manifest), aliquots), KEYS)
 
 
 def mirnas(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, **read) -> DataFrame:
     """Mature miRNAs."""
-    rows = read_delimited(spark, path, list(MIRNA), rename=MIRNA, nulls=NA, **read)
+    rows = read_files(spark, path, manifest, list(MIRNA), rename=MIRNA, **read)
     out = coerce(rows, ["read_count"], ["reads_per_million_mirna_mapped"])
     return measured(out, with_keys(tumor_by_only_entity(manifest), aliquots), KEYS)
 

@@ -37,6 +37,28 @@ def _open(path: str):
     return (fs.open_input_stream(where, compression="detect"), True) if packed else (fs.open_input_file(where), False)
 
 
+def files_below(path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of a file, or of the files anywhere below a folder; hidden ones are none, nor is what is not there."""
+    path = path.rstrip("/")
+    fs, where = pafs.FileSystem.from_uri(path)
+    if fs.get_file_info(where).type == pafs.FileType.File:
+        return [(path, fs.get_file_info(where).size)]
+    found = fs.get_file_info(pafs.FileSelector(where, recursive=True, allow_not_found=True))
+    named = [(f.path[len(where):], f) for f in found if f.type == pafs.FileType.File]
+    return [(path + rest, f.size) for rest, f in named if not any(p.startswith((".", "_")) for p in rest.split("/"))]
+
+
+def _listed(names: DataFrame) -> DataFrame:
+    """(path, length) of the files under each name, listed by the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [f for p in batch.column(0).to_pylist() if p is not None for f in files_below(p)]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64())], names=["path", "length"])
+
+    return names.distinct().mapInArrow(run, "path string, length bigint")
+
+
 def layout_of(path: str, columns: Sequence[str], header: Sequence[str] | None, comment: str | None, sep: str) -> Layout | None:
     """Reads leading bytes until the header is whole; None for a file without one."""
     if header is not None:
@@ -135,7 +157,7 @@ def cells_of(buf: bytes, cells: Sequence[int], sep: str, nulls: Sequence[str]) -
 
 
 def read_delimited(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str], *, header: Sequence[str] | None = None, comment: str | None = "#",
+    spark: SparkSession, path: str | list[str] | DataFrame, columns: Sequence[str], *, header: Sequence[str] | None = None, comment: str | None = "#",
     nulls: Sequence[str] = ("",), rename: dict[str, str] | None = None, sep: str = "\t", name: str = r"([^/]+)$", range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """(file_name, at, columns...): text cells of whole files; ``at`` orders the lines of a file.
@@ -144,8 +166,12 @@ def read_delimited(
     stand, and a file that lacks one is refused. Comment lines count as such only before the header. With ``header``,
     files have no header line and these columns. Blank lines are no rows, cells a short line lacks are null, as are ``nulls``.
     ``rename`` maps header names to output names, ``name`` picks the file's name from its path.
+
+    Spark's driver lists ``path``, a folder or several, and holds that list. Where there are many files, ``path`` is a table of one
+    column, each a file or folder: then the tasks list them. Spark takes the rows to be as few as the files' names, so
+    a join to them has to say that they are not sent around.
     """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    listing = _listed(path) if isinstance(path, DataFrame) else spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
     total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     whole = F.lit(False)
     for suffix in PACKED:

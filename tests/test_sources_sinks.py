@@ -316,3 +316,25 @@ def test_catalog(spark, tmp_path):
     assert [r["x.y"] for r in catalog.patients(catalog.table(spark, root, "timeline_labs"), "PATIENT_ID")] == [0, -1, -2, -3, -4]
     files = [r.file for r in catalog.listing(spark, root).collect()]
     assert files and all(f.split("/")[0] in ("clinical_patient", "timeline_labs", "timeline_surgery") for f in files)
+
+
+def test_flat_assays_are_listed_by_tasks_and_never_broadcast(spark, tmp_path):
+    from cohortloom.operators import assays as ay
+
+    for i in (1, 2, 3):
+        (tmp_path / f"file=iso_{i}" / "deep").mkdir(parents=True)
+        (tmp_path / f"file=iso_{i}" / "deep" / "part.txt").write_text("\t".join(ay.ISOFORM) + "\n" + f"mir-{i}\tx:{i}\t{i}.0\t0.5\tY\tmature\n")
+        (tmp_path / f"file=iso_{i}" / "_SUCCESS").write_text("")
+    entity = F.array(F.struct(F.concat(F.lit("al-"), "id").alias("entity_id"), F.lit("AB").alias("entity_submitter_id"), F.lit("aliquot").alias("entity_type")))
+    ids = spark.range(1, 5).select(F.col("id").cast("string").alias("id"))
+    manifest = ids.select(F.concat(F.lit("iso_"), "id").alias("file_name"), F.concat(F.lit("f-"), "id").alias("file_id"), F.lit("c").alias("case_id"), F.lit("w").alias("workflow_type"), entity.alias("entities"))
+    aliquots = ids.filter("id <> '3'").select(
+        F.lit("c").alias("case_id"), F.lit("C").alias("case_submitter_id"), F.lit("s").alias("sample_id"), F.lit("S").alias("sample_submitter_id"), F.lit("t").alias("sample_type"),
+        F.concat(F.lit("al-"), "id").alias("aliquot_id"), F.lit("AB").alias("aliquot_submitter_id"),
+    )
+    out = ay.isoforms(spark, str(tmp_path), manifest, aliquots, name=r"file=([^/]+)/", under="file=")
+    got = {r.mirna_id: (r.aliquot_id, r.sample_id, r.source_file_id, r.read_count) for r in out.collect()}
+    # The fourth file is not there.
+    assert got == {"mir-1": ("al-1", "s", "f-1", 1), "mir-2": ("al-2", "s", "f-2", 2), "mir-3": ("al-3", None, "f-3", 3)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "binaryFile" not in plan

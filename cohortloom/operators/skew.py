@@ -8,8 +8,8 @@ small table of slice totals is added back as an offset, so results are exact.
 
 Bounds: there are at most ``rows / slice_rows`` heavy keys, and about four cut points
 for each ``slice_rows`` rows of one, so every heavy key is cut and every slice stays
-near that size. The small tables (cut points, slice totals) are joined without a hint:
-Spark broadcasts them by their size at run time or splits the skewed join.
+near that size. The small tables (heavy keys, cut points, slice totals) are broadcast: none has more rows
+than cut points and heavy keys together, so rows are shuffled once, by slice.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 1_000_000
+#: Cut points a row is compared with at once.
+FAN_OUT = 16
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -47,34 +49,38 @@ def _slice(
     """Add ``__slice``: position of the row's order key among its key's cut points.
 
     Cut points are order keys picked by hash, so a recomputed task picks the same
-    ones. The lookup goes over every ``B``-th cut first, then over one block of ``B``.
+    ones. They form a tree: a row is compared with ``FAN_OUT`` of them a level, and only the
+    branch it falls in is joined to it next. So its work grows with the number of levels, not of cut points.
     """
     spark = df.sparkSession
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join([f"`__k_{k}` {types[k]}" for k in keys] + ["__every bigint"])
-    every = [(*r[:-1], max(1, r[-1] // max(4, 4 * r[-1] // slice_rows))) for r in hot]
-    hot_df = spark.createDataFrame(every, schema)
+    picked = [max(4, 4 * r[-1] // slice_rows) for r in hot]
+    every = [(*r[:-1], max(1, r[-1] // n)) for r, n in zip(hot, picked, strict=True)]
+    hot_df = F.broadcast(spark.createDataFrame(every, schema))
     okey = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     keyed = df.withColumn("__o", okey)
+    names = [f"__k_{k}" for k in keys]
     sampled = keyed.join(hot_df, _same(keyed, hot_df, keys)).filter(
         F.pmod(F.xxhash64("__o"), F.col("__every")) == 0
     )
-    names = [f"__k_{k}" for k in keys]
-    block = F.ceil(F.sqrt(F.size("__cuts"))).cast("int")
-    cuts = (
-        sampled.groupBy(*names)
-        .agg(F.array_sort(F.collect_set("__o")).alias("__cuts"))
-        .withColumn("__b", block)
-        .select(*names, "__cuts", "__b", F.filter("__cuts", lambda _, i: i % F.col("__b") == 0).alias("__coarse"))
-    )
-    joined = keyed.join(cuts, _same(keyed, cuts, keys), "left")
-    at_most = lambda s: s <= F.col("__o")
-    blocks = F.size(F.filter("__coarse", at_most))
-    start = (F.col("__blocks") - 1) * F.col("__b")
-    fine = F.size(F.filter(F.slice("__cuts", start + 1, F.col("__b")), at_most))
-    cut = F.when(F.coalesce("__blocks", F.lit(0)) < 1, 0).otherwise(start + fine)
-    placed = joined.withColumn("__blocks", F.when(F.col("__cuts").isNotNull(), blocks)).withColumn("__slice", cut)
-    return placed.drop("__o", "__cuts", "__coarse", "__b", "__blocks", *names)
+    cuts = sampled.select(*names, "__o").distinct()
+    cuts = cuts.withColumn("__at", F.row_number().over(Window.partitionBy(*names).orderBy("__o")) - 1)
+    levels = 1
+    while FAN_OUT**levels < max(picked):
+        levels += 1
+    placed = keyed.withColumn("__node", F.lit(0))
+    for level in range(levels):
+        # Place of the last cut point up to the row among those of this level; the first level is one branch.
+        step = FAN_OUT ** (levels - 1 - level)
+        of_level = cuts.filter(F.col("__at") % step == 0)
+        branch = F.lit(0) if level == 0 else F.expr(f"int(__at div {step * FAN_OUT})")
+        branches = of_level.groupBy(*names, branch.alias("__branch")).agg(F.array_sort(F.collect_list("__o")).alias("__cuts"))
+        joined = placed.join(F.broadcast(branches), _same(placed, branches, keys) & (F.col("__node") == F.col("__branch")), "left")
+        upto = F.size(F.filter("__cuts", lambda s: s <= F.col("__o"))) - 1
+        node = F.when(F.col("__cuts").isNull(), -1).otherwise(upto + (0 if level == 0 else F.col("__node") * FAN_OUT))
+        placed = joined.withColumn("__node", node).drop("__cuts", "__branch", *names)
+    return placed.withColumn("__slice", F.col("__node") + 1).drop("__o", "__node")
 
 
 def running(
@@ -112,7 +118,7 @@ def running(
     )
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.repartition(*part).withColumns({f"__l_{n}": F.sum(f"__v_{n}").over(w) for n in sums})
-    joined = local.join(offsets, _same(local, offsets, part), "left")
+    joined = local.join(F.broadcast(offsets), _same(local, offsets, part), "left")
     # A sum is null only while neither this slice nor an earlier one has had a value.
     plus = lambda n: F.coalesce(F.col(f"__l_{n}") + F.col(f"__off_{n}"), F.col(f"__l_{n}"), F.col(f"__off_{n}"))
     out = {n: plus(n) for n in sums}

@@ -38,6 +38,17 @@ def test_running_sum_and_global_rank(rows):
     assert index == {d[1]: d[1] for d in data}
 
 
+def test_a_row_is_compared_with_few_of_many_cut_points(spark, monkeypatch):
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("i"))
+    monkeypatch.setattr(skew, "FAN_OUT", 4)
+    out = skew.ranked(df, [], [F.col("i")], "rn", slice_rows=200)
+    assert out.filter("rn <> i + 1").count() == 0 and out.count() == 20_000
+    sliced = skew._slice(df, [], [F.col("i")], [(20_000,)], 200)
+    assert sliced.agg(F.countDistinct("__slice").alias("n")).first().n > 200
+    # About 400 cut points: five levels of four.
+    assert sliced._jdf.queryExecution().analyzed().toString().count("__branch") >= 5
+
+
 @pytest.mark.parametrize("slice_rows", [20, 1_000_000, None])
 def test_percentiles_match_numpy(rows, slice_rows):
     df, data = rows

@@ -225,6 +225,8 @@ def zscore(scores: DataFrame, stats: DataFrame, keys: list[str], value: str) ->
 
 #: Memberships sent to the tasks at once, 4 bytes each; more sets are scored in further passes.
 MEMBERSHIPS = 5_000_000
+#: Scores a task hands over at once.
+ROWS_OUT = 50_000
 
 
 class SetBlock:
@@ -233,14 +235,20 @@ class SetBlock:
     def __init__(self, names: list, members: list, n_axis: int):
         self.names, self.n_axis = names, n_axis
         self.first = np.cumsum([0, *map(len, members)])[:-1]
-        self.places = np.concatenate([np.zeros(0, np.int64), *[np.asarray(m, np.int64) for m in members]])
+        self.places = np.concatenate([np.zeros(0, np.int64), *[np.sort(np.asarray(m, np.int64)) for m in members]])
         self.size = np.array([len(m) for m in members], np.int64)
+        # Places in one rising order over all sets, and each set's sum of the axis genes after its members.
+        self.begin = np.arange(len(names), dtype=np.int64) * n_axis
+        self.keys = self.places + np.repeat(self.begin, self.size)
+        self.after = np.add.reduceat(n_axis - 1 - self.places, self.first) if names else np.zeros(0, np.int64)
 
     def scores(self, place: np.ndarray, value: np.ndarray) -> np.ndarray:
         """Raw score of every set for one sample that has ``value`` at ``place``; the axis' other genes are 0.
 
         The genes a sample lacks are one block of ties with its zeros: they share a rank, and a gene's position in the block is
-        the number of axis genes after it less the non-zero ones, so they are never listed.
+        the number of axis genes after it less the non-zero ones, so they are never listed. Where the sets
+        have more members than the sample has pairs of a set and a non-zero gene, members are not listed either: their sums are taken
+        over the sets, less what the sample's own genes take away.
         """
         order = np.argsort(place)
         place, value = place[order], value[order].astype(np.float32)
@@ -256,15 +264,33 @@ class SetBlock:
         rank, q = np.where(value > 0, rank + lacking, rank), np.where(value > 0, q + lacking, q)
         tie = below + (zeros + lacking + 1) / 2
         rank, q = np.where(value == 0, tie, rank), np.where(value == 0, below + 1 + later(place), q)
+        if len(self.names) * len(nonzero) < len(self.places):
+            own = value != 0
+            return self._by_own_genes(nonzero, q[own], np.floor(rank[own]) ** ALPHA, below + 1, np.floor(tie) ** ALPHA)
         at = np.minimum(np.searchsorted(place, self.places), max(m - 1, 0))
         has = place[at] == self.places if m else np.zeros(len(self.places), bool)
         some = lambda own, other: np.where(has, own[at] if m else 0, other)
         q = some(q, below + 1 + later(self.places))
         w = np.floor(some(rank, tie)) ** ALPHA
         total = lambda x: np.add.reduceat(x.astype(np.float64), self.first)
+        return self._score(total(w * q), total(w), total(q))
+
+    def _by_own_genes(self, place: np.ndarray, q: np.ndarray, w: np.ndarray, least: int, tied: float) -> np.ndarray:
+        """The same from the sample's non-zero genes; the block of ties begins at position ``least`` with weight ``tied``."""
+        n, m = self.n_axis, len(place)
+        asked = self.begin[:, None] + place
+        at = np.searchsorted(self.keys, asked)
+        member = self.keys[np.minimum(at, len(self.keys) - 1)] == asked
+        # Pairs of a member and a non-zero gene after it, by the gene; those of two non-zero genes are no pairs of the block.
+        pairs = (at - self.first[:, None]).sum(axis=1) - member @ np.arange(m - 1, -1, -1)
+        others = self.size - member.sum(axis=1)
+        block = others * least + self.after - member @ (n - 1 - place) - pairs
+        return self._score(member @ (w * q) + tied * block, member @ w + tied * others, member @ q + block)
+
+    def _score(self, wq: np.ndarray, w: np.ndarray, q: np.ndarray) -> np.ndarray:
+        n = self.n_axis
         rest = (n - self.size).astype(np.float64)
-        miss = np.divide(n * (n + 1) / 2 - total(q), rest, out=np.full(len(rest), np.nan), where=rest > 0)
-        return total(w * q) / total(w) - miss
+        return wq / w - np.divide(n * (n + 1) / 2 - q, rest, out=np.full(len(rest), np.nan), where=rest > 0)
 
 
 def ssgsea_scores_on_axis(
@@ -298,10 +324,13 @@ def ssgsea_scores_on_axis(
 
         def run(batches, sent=sent):
             sets_ = sent.value
+            k = len(sets_.names)
+            step = max(1, ROWS_OUT // max(k, 1))
             for pdf in batches:
-                for s, places, values in zip(pdf[sample], pdf["places"], pdf["values"], strict=True):
-                    if sets_.names:
-                        yield pd.DataFrame({sample: [s] * len(sets_.names), "pathway": sets_.names, "n_genes": sets_.size, "score_raw": sets_.scores(np.asarray(places), np.asarray(values))})
+                for i in range(0, len(pdf) if k else 0, step):
+                    some = pdf.iloc[i:i + step]
+                    scored = [sets_.scores(np.asarray(p), np.asarray(v)) for p, v in zip(some["places"], some["values"], strict=True)]
+                    yield pd.DataFrame({sample: some[sample].repeat(k).array, "pathway": sets_.names * len(some), "n_genes": np.tile(sets_.size, len(some)), "score_raw": np.concatenate(scored)})
 
         part = rows.mapInPandas(run, f"`{sample}` {kind}, pathway {names}, n_genes bigint, score_raw double")
         out = part if out is None else out.unionAll(part)

@@ -156,3 +156,19 @@ def test_digest_ignores_order(spark):
     import hashlib
     lines = sorted(f"{i}\t{hashlib.md5(str(i).encode()).hexdigest()}\n" for i in range(0, 100, 2))
     assert (0, 50, hashlib.sha256("".join(lines).encode()).hexdigest()) in one
+
+
+def test_scores_on_axis_do_not_grow_with_the_sets():
+    rnd = np.random.default_rng(3)
+    n = 5_000
+    members = [rnd.choice(n, k, replace=False) for k in (1, 40, 900, 4_999, n)]
+    block = pathway.SetBlock(list("abcde"), members, n)
+    dense = pathway.SetBlock(list("abcde"), members, n)
+    dense.names = range(10**9)  # So many sets that members are listed.
+    for m in (0, 1, 30, 400):
+        place = rnd.choice(n, m, replace=False)
+        value = rnd.integers(-4, 5, m).astype(np.float32)
+        assert np.allclose(block.scores(place, value), dense.scores(place, value), rtol=0, atol=1e-8, equal_nan=True)
+    # Members are not read one by one: only the sums over them are at hand.
+    block.places = range(len(block.places))
+    assert len(block.scores(place, value)) == 5

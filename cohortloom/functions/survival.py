@@ -84,9 +84,14 @@ def follow_up_facts(follow_ups: DataFrame) -> DataFrame:
 
 
 def treatment_facts(treatments: DataFrame, primary: DataFrame) -> DataFrame:
-    """Per case, over the primary diagnosis's treatments."""
+    """Per case, over the primary diagnosis's treatments.
+
+    A diagnosis id belongs to one case. Rows meet by it alone and the case is compared afterwards, so
+    treatments that already lie by diagnosis are not shuffled again.
+    """
     p = primary.select(F.col("case_id").alias("__c"), F.col("primary.dx_id").alias("__dx"))
-    own = treatments.join(p, (F.col("case_id") == F.col("__c")) & (F.col("dx_id") == F.col("__dx")))
+    same_case = F.coalesce(F.col("case_id") == F.col("__c"), F.lit(False))
+    own = treatments.join(p, (F.col("dx_id") == F.col("__dx")) & same_case)
     order = _key(*_temporal("days_to_start", "tx_id"))
 
     def first(c: str) -> Column:

@@ -188,3 +188,15 @@ def test_reference_distribution_against_sorted_lists(spark):
         assert [r.q25, r.median, r.q75] == pytest.approx(np.percentile(x, [25, 50, 75]).tolist(), rel=1e-12, abs=1e-15)
         assert r.sd is None if len(x) == 1 else r.sd == pytest.approx(np.std(x, ddof=1))
     assert got["D", "t", "same"].sd == 0.0
+
+
+def test_treatments_lying_by_diagnosis_are_not_shuffled_again(spark):
+    from cohortloom.functions import survival as sv
+
+    cols = "case_id bigint, dx_id bigint, tx_id string, days_to_start bigint, outcome string, margin_status string"
+    tx = spark.createDataFrame([(1, 10, "a", 3, "Complete Response", ""), (1, 10, "b", 1, "", "Involved"), (2, 10, "c", 0, "x", "y"), (1, 11, "d", 0, "x", "y")], cols)
+    primary = spark.createDataFrame([(1, (10,)), (2, (20,))], "case_id bigint, primary struct<dx_id: bigint>")
+    out = sv.treatment_facts(tx.repartition(4, "dx_id").hint("merge"), primary)
+    assert [tuple(r) for r in out.collect()] == [(1, "Involved", "Complete Response", True)]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [dx_id" in plan and "SortMergeJoin [case_id" not in plan

@@ -64,8 +64,11 @@ def _attach_variants(t: Tables):
         (F.col("center_id") % 24 + 1).cast("string").alias("chromosome"), F.col("gene_id").alias("pos"), "aliquot_id",
     )
     s = t.samples
-    owned = rs.lookup(v, s, "tumor", "sample_id", {"case_id": "case_id"})
-    v = rs.lookup(owned, s, "normal", "sample_id", {"sample_id": "normal_sample"})
+    owned = rs.lookup(v.select("tumor"), s, "tumor", "sample_id", {"case_id": "case_id"})
+    # Both samples are looked up once a pair, so that whole variants are shuffled by pair and by case alone.
+    pairs = rs.lookup(v.select("tumor", "normal").distinct(), s, "tumor", "sample_id", {"case_id": "case_id"})
+    pairs = rs.lookup(pairs, s, "normal", "sample_id", {"sample_id": "normal_sample"}).withColumnsRenamed({"tumor": "__t", "normal": "__n"})
+    v = v.join(pairs, F.col("tumor").eqNullSafe(F.col("__t")) & F.col("normal").eqNullSafe(F.col("__n")))
     order = [F.col("chromosome"), F.col("pos"), F.col("aliquot_id")]
     out = ranked(v, ["case_id"], order, count_on=owned.select("case_id"))
     return out.select("case_id", "chromosome", "pos", "aliquot_id", "normal_sample", "rn")

@@ -137,3 +137,14 @@ def test_timeline_drops_undated(spark):
     cases = spark.createDataFrame([("a", 5, "Dead"), ("b", None, "Alive")], "case_id string, d int, v string")
     out = timeline.timeline([timeline.events_of(cases, [timeline.Event("death", F.col("d"), F.col("v"), "closing"), timeline.Event("consent", F.lit(-3), F.lit("x"), "opening")])])
     assert [(r.case_id, r.day, r.category) for r in out.orderBy("case_id", *timeline.READING).collect()] == [("a", -3.0, "consent"), ("a", 5.0, "death"), ("b", -3.0, "consent")]
+
+
+def test_foreign_keys_need_no_join(spark):
+    a = spark.createDataFrame([(1,), (1,), (9,), (None,)], "id bigint")
+    b = spark.createDataFrame([(2,), (9,)], "id bigint")
+    dim = spark.createDataFrame([(1,), (2,), (3,), (None,)], "id bigint")
+    out = dq.foreign_keys({"a": a, "b": b, "none": spark.range(2).toDF("x")}, "id", dim, "fk")
+    r = out.first()
+    # Distinct ids: 1, 9 and null of the first, 2 and 9 of the second; a null is no key, even if the dimension has one.
+    assert (r.n_checked, r.n_bad, r.passed, r.examples) == (5, 3, False, ["a:9", "b:9"])
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()

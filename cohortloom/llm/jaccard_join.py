@@ -341,34 +341,35 @@ def join_components(docs: DataFrame, *, n: int = 4, num: int = 85, den: int = 10
     n_buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        kept = cut(_bitmap_test(cut(pairs.distinct(), "pairs"), nodes, num, den), "pairs")
+        kept = cut(_bitmap_test(pairs.distinct(), nodes, num, den), "pairs")
         return cut(verified(kept, texts, nodes, n, num, den), "links")
 
+    def grown(new: DataFrame) -> DataFrame:
+        """``roots`` with the links of a written table added: a component so far is a star, its old links are not needed."""
+        return roots if new.isEmpty() else components(roots.select(F.col("u").alias("a"), F.col("root").alias("b")).union(new))
+
     def rooted(some: DataFrame) -> DataFrame:
         return some.join(roots, some["node"] == roots["u"], "left").withColumn("root", F.coalesce("root", "node")).drop("u")
 
     links = linked(_dealt(nodes.withColumn("root", F.col("node")), n_buckets).groupBy("bucket").applyInArrow(_leaders(num, den), PAIRS))
-    roots = cut(components(links), "roots")
+    roots = components(links)
     mixed = _dealt(rooted(nodes.select("node", "n", "keys")), n_buckets).groupBy("bucket").applyInArrow(_mixed(num, den), "key bigint, node bigint, n bigint, room bigint")
     mixed = cut(mixed, "mixed")
     by_key = F.pmod(F.xxhash64("key"), F.lit(n_buckets)).alias("bucket")
     for seed in range(ROUNDS):
         rows_now = rooted(mixed).select("*", by_key)
-        links = links.union(linked(rows_now.groupBy("bucket").applyInArrow(_some_leaders(seed, num, den), PAIRS)))
-        roots = cut(components(links), "roots")
+        roots = grown(linked(rows_now.groupBy("bucket").applyInArrow(_some_leaders(seed, num, den), PAIRS)))
     now = cut(rooted(mixed), "mixed")
     several = now.groupBy("key").agg(F.count("*").alias("members"), F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
     sides = F.ceil(F.col("members") / SIDE).cast("int")
     block = F.pmod(F.xxhash64("node"), sides).cast("int")
-    placed = now.join(cut(several.select("key", "members"), "mixed"), "key").select("key", "node", "room", "root", sides.alias("s"), block.alias("own"))
+    placed = now.join(several.select("key", "members"), "key").select("key", "node", "room", "root", sides.alias("s"), block.alias("own"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
     placed = placed.select("key", "node", "room", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
     tiles = placed.join(nodes.select("node", "n", "bitmap"), "node").withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(n_buckets)))
     across = cut(tiles.groupBy("bucket").applyInArrow(_tiles(num, den), PAIRS).distinct(), "pairs")
-    more = cut(verified(across, texts, nodes, n, num, den), "links")
-    roots2 = components(links.union(more))
-    of_node = nodes.select("node", "doc_id").join(roots2, F.col("node") == F.col("u"), "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
-    of_node = cut(of_node, "roots")
+    roots = grown(cut(verified(across, texts, nodes, n, num, den), "links"))
+    of_node = rooted(nodes.select("node", "doc_id"))
     least = of_node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     label = cut(of_node.join(least, "root").select("node", "component_id"), "labels")
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("node")).join(label, "node", "left")

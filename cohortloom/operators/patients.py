@@ -13,41 +13,63 @@ from pyspark.sql import types as T
 
 @dataclass
 class Children:
-    """A child table: which column names the parent, what orders a parent's rows, which columns they keep."""
+    """A child table: which column names the parent, what orders a parent's rows (expressions, or names), which columns they
+    keep, and which rows are in the list."""
 
     rows: DataFrame
     key: str
-    order: Sequence[Column]
+    order: Sequence[Column | str]
     fields: Sequence[str]
+    where: Column | None = None
 
 
 def nest_lists(parents: DataFrame, key: str, lists: dict[str, Children]) -> DataFrame:
     """``parents`` with one ordered array column per child table; no children is an empty array.
 
     Parents and all children go through one exchange by the parent's key and one aggregation, however many lists
-    there are. A child whose parent does not exist is an error when the rows are reached, a null
+    there are. Lists of one table (the same frame and key) are read, sent and gathered together: a row goes once, with its columns and the
+    lists it is in, and each list is picked out of its parent's rows. A child whose parent does not exist is an error when the rows are reached, a null
     key among the children is one too; repeated parent rows each get the lists. A row holds all children of its parent, which
     bounds what a parent may have; parents without such a bound are for :func:`cohortloom.operators.skew.nest` in pages.
     """
     own = [c for c in parents.columns if c != key]
     parts = [parents.select(F.col(key).alias("__key"), F.struct(F.lit(True).alias("__known"), *own).alias("__parent"))]
-    for n, (name, child) in enumerate(lists.items()):
-        order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(child.order)]).alias("__o")
-        row = F.struct(order, *[F.col(f).alias(f) for f in child.fields]).alias(f"__c{n}")
-        parts.append(child.rows.select(F.col(child.key).alias("__key"), row))
+    together: dict[tuple[int, str], dict[str, Children]] = {}
+    for name, child in lists.items():
+        together.setdefault((id(child.rows), child.key), {})[name] = child
+    picked = {}
+    for n, some in enumerate(together.values()):
+        child = next(iter(some.values()))
+        kept, asked = {}, []
+        for k, (name, c) in enumerate(some.items()):
+            kept |= {f: F.col(f) for f in [*c.fields, *[o for o in c.order if isinstance(o, str)]]}
+            kept |= {f"__o{k}_{i}": o for i, o in enumerate(c.order) if not isinstance(o, str)}
+            if c.where is not None:
+                kept[f"__in{k}"] = c.where
+                asked.append(c.where)
+            picked[name] = (f"__c{n}", k)
+        rows = child.rows.filter(reduce(lambda a, b: a | b, asked)) if len(asked) == len(some) else child.rows
+        parts.append(rows.select(F.col(child.key).alias("__key"), F.struct(*[v.alias(f) for f, v in kept.items()]).alias(f"__c{n}")))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     found = both.groupBy("__key").agg(
-        F.collect_list("__parent").alias("__parents"), *[F.array_sort(F.collect_list(f"__c{n}")).alias(f"__c{n}") for n in range(len(lists))]
+        F.collect_list("__parent").alias("__parents"), *[F.collect_list(f"__c{n}").alias(f"__c{n}") for n in range(len(together))]
     )
     kind = parents.schema[key].dataType.simpleString()
     lost = F.raise_error(F.concat(F.lit(f"children refer to a {key} that does not exist: "), F.coalesce(F.col("__key").cast("string"), F.lit("null"))))
     # The guard sits in the array that makes the rows, so no row can be made without it.
     known = F.when(F.size("__parents") == 0, lost.cast(both.schema["__parent"].dataType.simpleString().join(("array<", ">")))).otherwise(F.col("__parents"))
     rows = found.withColumn("__row", F.explode(known))
-    kept = lambda fields: lambda x: F.struct(*[x[f].alias(f) for f in fields])
-    out = {name: F.transform(f"__c{n}", kept(child.fields)) for n, (name, child) in enumerate(lists.items())}
+
+    def listed(name: str) -> Column:
+        child, (column, k) = lists[name], picked[name]
+        items = F.col(column) if child.where is None else F.filter(column, lambda x: x[f"__in{k}"])
+        place = lambda x: F.struct(*[x[o if isinstance(o, str) else f"__o{k}_{i}"].alias(f"o{i}") for i, o in enumerate(child.order)]).alias("__o")
+        fields = lambda x: [x[f].alias(f) for f in child.fields]
+        keyed = F.array_sort(F.transform(items, lambda x: F.struct(place(x), *fields(x))))
+        return F.transform(keyed, lambda x: F.struct(*fields(x)))
+
     return rows.select(
-        F.col("__key").cast(kind).alias(key), *[F.col(f"__row.{c}").alias(c) for c in own], *[v.alias(name) for name, v in out.items()]
+        F.col("__key").cast(kind).alias(key), *[F.col(f"__row.{c}").alias(c) for c in own], *[listed(name).alias(name) for name in lists]
     ).select(*parents.columns, *lists)
 
 

@@ -210,7 +210,7 @@ def _supplement_attach(t: Tables):
     f = t.forms
     last = f.filter("kind = 'signup'").groupBy("case_id").agg(F.max_by("k", "row_no").alias("patient_form"))
     base = rs.lookup(t.cases.select("case_id"), last, "case_id", "case_id", {"patient_form": "patient_form"})
-    forms = {k: pt.Children(f.filter(F.col("kind") == k), "case_id", [F.col("row_no")], ["row_no", "k"]) for k in LISTED}
+    forms = {k: pt.Children(f, "case_id", ["row_no"], ["row_no", "k"], F.col("kind") == k) for k in LISTED}
     out = pt.nest_lists(base, "case_id", forms)
     return out.select("case_id", "patient_form", *[join_text(k, "row_no", "k").alias(k) for k in LISTED])
 
@@ -220,7 +220,8 @@ packed AS (SELECT case_id, kind, string_agg(CAST(row_no AS VARCHAR), '|' ORDER B
 SELECT c.case_id, """ + ", ".join(f"coalesce(max(rows) FILTER (WHERE kind = '{k}'), '') AS {k}" for k in KINDS) + """
  FROM cases c LEFT JOIN packed p USING (case_id) GROUP BY 1"""))
 def _specimen_attach(t: Tables):
-    forms = {k: pt.Children(t.forms.filter(F.col("kind") == k), "case_id", [F.col("row_no")], ["row_no"]) for k in KINDS}
+    f = t.forms
+    forms = {k: pt.Children(f, "case_id", ["row_no"], ["row_no"], F.col("kind") == k) for k in KINDS}
     out = pt.nest_lists(t.cases.select("case_id"), "case_id", forms)
     return out.select("case_id", *[join_text(k, "row_no").alias(k) for k in KINDS])
 
@@ -294,15 +295,16 @@ SELECT c.case_id, any_value(coalesce(samples, '')) AS samples, """ + TABLE_LISTS
 def _patient_table(t: Tables):
     # Five lists in every sample, and one list for each kind of event.
     a = t.aliquots.withColumns({"pair": F.concat_ws("/", "gene_id", "center_id"), "whole": F.col("quantity").cast("bigint")})
-    of = lambda rows, order, field: pt.Children(rows, "sample_id", [F.col(c) for c in (order, "aliquot_id", "ship_day")], [field])
+    of = lambda field, order, where=None: pt.Children(a, "sample_id", [order, "aliquot_id", "ship_day"], [field], where)
+    kind = F.col("analyte_type")
     inner = {
-        "aliquots": of(a, "aliquot_id", "aliquot_id"), "genes": of(a.filter("analyte_type = 'A'"), "portion_no", "pair"),
-        "sv": of(a.filter("analyte_type = 'N'"), "portion_no", "gene_id"), "seg": of(a.filter("analyte_type = 'R'"), "portion_no", "whole"),
-        "cna": of(a.filter("status = 'F'"), "portion_no", "ship_day"),
+        "aliquots": of("aliquot_id", "aliquot_id"), "genes": of("pair", "portion_no", kind == "A"), "sv": of("gene_id", "portion_no", kind == "N"),
+        "seg": of("whole", "portion_no", kind == "R"), "cna": of("ship_day", "portion_no", F.col("status") == "F"),
     }
     samples = pt.nest_lists(t.samples.select("sample_id", "case_id"), "sample_id", inner)
     lists = {"samples": pt.Children(samples, "case_id", [F.col("sample_id")], ["sample_id", *inner])}
-    lists |= {f"timeline_{k}": pt.Children(t.forms.filter(F.col("kind") == k), "case_id", [F.col("day"), F.col("row_no")], ["day", "row_no"]) for k in KINDS}
+    f = t.forms
+    lists |= {f"timeline_{k}": pt.Children(f, "case_id", ["day", "row_no"], ["day", "row_no"], F.col("kind") == k) for k in KINDS}
     whole = pt.nest_lists(t.cases.select("case_id"), "case_id", lists)
 
     def text(s, name: str):

@@ -52,3 +52,17 @@ def test_flex_column_has_the_forms_there_are(spark):
     got = {r.id: r.flex for r in out.collect()}
     assert got[1].p.x == 1 and got[1].a[0].x == 1 and got[2] is None and got[3].p is None and got[3].a == []
     assert pt.flex_column(df.filter("id > 1"), ["p", "a", "b"], "flex", single=["p"]).columns == ["id"]
+
+
+def test_lists_of_one_table_read_it_once(spark):
+    rows = spark.createDataFrame([(1, "a", 2, "x"), (1, "b", 1, "y"), (1, "a", 1, None), (2, None, 5, "z")], "p int, kind string, n int, v string")
+    parents = spark.createDataFrame([(1,), (2,), (3,)], "p int")
+    lists = {
+        "a": pt.Children(rows, "p", ["n"], ["v"], F.col("kind") == "a"), "b": pt.Children(rows, "p", [F.col("n")], ["n", "v"], F.col("kind") == "b"),
+        "down": pt.Children(rows, "p", [-F.col("n"), "v"], ["n"]),
+    }
+    out = pt.nest_lists(parents, "p", lists)
+    got = {r.p: ([x.v for x in r.a], [tuple(x) for x in r.b], [x.n for x in r.down]) for r in out.collect()}
+    assert got == {1: ([None, "x"], [(1, "y")], [2, 1, 1]), 2: ([], [], [5]), 3: ([], [], [])}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 2

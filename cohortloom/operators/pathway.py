@@ -295,7 +295,7 @@ class SetBlock:
 
 def ssgsea_scores_on_axis(
     expr: DataFrame, axis: DataFrame, sets: DataFrame, sample: str = "sample_id", gene: str = "gene_id", value: str = "value",
-    gene_order: str = "gene_id", memberships: int = MEMBERSHIPS,
+    gene_order: str = "gene_id", memberships: int = MEMBERSHIPS, slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Raw enrichment score per (sample, pathway) over all genes of ``axis``; a gene without a value counts as 0.
 
@@ -304,7 +304,7 @@ def ssgsea_scores_on_axis(
     product is built. Sets go to the tasks in blocks of ``memberships`` entries at most (or one set).
     """
     spark = expr.sparkSession
-    placed = ranked(axis.select(F.col(gene).alias("__g"), F.col(gene_order).alias("__o")), [], [F.col("__o")], "__place")
+    placed = ranked(axis.select(F.col(gene).alias("__g"), F.col(gene_order).alias("__o")), [], [F.col("__o")], "__place", slice_rows)
     placed = placed.select("__g", (F.col("__place") - 1).alias("place"))
     n_axis = axis.count()
     v = F.col(value).cast("float")

@@ -31,6 +31,14 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], slice_rows: int | None) -> list[tuple]:
     """Keys with more than ``slice_rows`` rows: ``[(key values..., n)]``.
 
@@ -53,34 +61,36 @@ def _slice(
     branch it falls in is joined to it next. So its work grows with the number of levels, not of cut points.
     """
     spark = df.sparkSession
+    # Columns of ``df`` keep their names and values, whatever they are called.
+    o, at, here, among, of = (_free(df, n) for n in ("__o", "__at", "__node", "__cuts", "__branch"))
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join([f"`__k_{k}` {types[k]}" for k in keys] + ["__every bigint"])
     picked = [max(4, 4 * r[-1] // slice_rows) for r in hot]
     every = [(*r[:-1], max(1, r[-1] // n)) for r, n in zip(hot, picked, strict=True)]
     hot_df = F.broadcast(spark.createDataFrame(every, schema))
     okey = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    keyed = df.withColumn("__o", okey)
+    keyed = df.withColumn(o, okey)
     names = [f"__k_{k}" for k in keys]
     sampled = keyed.join(hot_df, _same(keyed, hot_df, keys)).filter(
-        F.pmod(F.xxhash64("__o"), F.col("__every")) == 0
+        F.pmod(F.xxhash64(o), F.col("__every")) == 0
     )
-    cuts = sampled.select(*names, "__o").distinct()
-    cuts = cuts.withColumn("__at", F.row_number().over(Window.partitionBy(*names).orderBy("__o")) - 1)
+    cuts = sampled.select(*names, o).distinct()
+    cuts = cuts.withColumn(at, F.row_number().over(Window.partitionBy(*names).orderBy(o)) - 1)
     levels = 1
     while FAN_OUT**levels < max(picked):
         levels += 1
-    placed = keyed.withColumn("__node", F.lit(0))
+    placed = keyed.withColumn(here, F.lit(0))
     for level in range(levels):
         # Place of the last cut point up to the row among those of this level; the first level is one branch.
         step = FAN_OUT ** (levels - 1 - level)
-        of_level = cuts.filter(F.col("__at") % step == 0)
-        branch = F.lit(0) if level == 0 else F.expr(f"int(__at div {step * FAN_OUT})")
-        branches = of_level.groupBy(*names, branch.alias("__branch")).agg(F.array_sort(F.collect_list("__o")).alias("__cuts"))
-        joined = placed.join(F.broadcast(branches), _same(placed, branches, keys) & (F.col("__node") == F.col("__branch")), "left")
-        upto = F.size(F.filter("__cuts", lambda s: s <= F.col("__o"))) - 1
-        node = F.when(F.col("__cuts").isNull(), -1).otherwise(upto + (0 if level == 0 else F.col("__node") * FAN_OUT))
-        placed = joined.withColumn("__node", node).drop("__cuts", "__branch", *names)
-    return placed.withColumn("__slice", F.col("__node") + 1).drop("__o", "__node")
+        of_level = cuts.filter(F.col(at) % step == 0)
+        branch = F.lit(0) if level == 0 else F.expr(f"int({at} div {step * FAN_OUT})")
+        branches = of_level.groupBy(*names, branch.alias(of)).agg(F.array_sort(F.collect_list(o)).alias(among))
+        joined = placed.join(F.broadcast(branches), _same(placed, branches, keys) & (F.col(here) == F.col(of)), "left")
+        upto = F.size(F.filter(among, lambda s: s <= F.col(o))) - 1
+        node = F.when(F.col(among).isNull(), -1).otherwise(upto + (0 if level == 0 else F.col(here) * FAN_OUT))
+        placed = joined.withColumn(here, node).drop(among, of, *names)
+    return placed.withColumn("__slice", F.col(here) + 1).drop(o, here)
 
 
 def running(

@@ -172,3 +172,15 @@ def test_scores_on_axis_do_not_grow_with_the_sets():
     # Members are not read one by one: only the sums over them are at hand.
     block.places = range(len(block.places))
     assert len(block.scores(place, value)) == 5
+
+
+def test_a_long_axis_is_cut_whatever_its_columns_are_called(spark):
+    rnd = random.Random(7)
+    expr = spark.createDataFrame([(s, g, float(rnd.randrange(-3, 9))) for s in range(3) for g in rnd.sample(range(300), 60)], "sample_id int, gene_id int, value double")
+    axis = spark.range(300).select(F.col("id").cast("int").alias("gene_id"))
+    sets_ = spark.createDataFrame([(g, f"p{g % 7}") for g in range(0, 300, 2)], "gene_id int, pathway string")
+    scores = lambda **how: {(r.sample_id, r.pathway): (r.n_genes, r.score_raw) for r in pathway.ssgsea_scores_on_axis(expr, axis, sets_, **how).collect()}
+    assert scores(slice_rows=40, memberships=50) == scores() and len(scores()) == 21
+    named = spark.range(200).select(*[(F.lit(199) - F.col("id")).alias(n) for n in ("__o", "__node", "__at", "__cuts", "__branch")])
+    got = skew.ranked(named, [], [F.col("__o")], "rn", 20)
+    assert {tuple(r) for r in got.collect()} == {(k, k, k, k, k, k + 1) for k in range(200)}

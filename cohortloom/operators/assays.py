@@ -45,6 +45,11 @@ def read_files(spark: SparkSession, path: str, manifest: DataFrame, columns: lis
     return read_delimited(spark, where, columns, nulls=NA, **read)
 
 
+def own_values(spark: SparkSession, path: str, manifest: DataFrame, column: str, **read) -> DataFrame:
+    """(file_name, column) of the values that each file's rows have in ``column``: a look at one column, for which no row leaves its task."""
+    return read_files(spark, path, manifest, [column], distinct=True, **read)
+
+
 def aliquot_entities(manifest: DataFrame) -> DataFrame:
     """Manifest with ``aliquots``: its entities of type aliquot that have an id."""
     return manifest.withColumn("aliquots", F.filter("entities", lambda e: (e["entity_type"] == "aliquot") & e["entity_id"].isNotNull()))
@@ -135,18 +140,18 @@ def allele_segments(spark: SparkSession, path: str, manifest: DataFrame, aliquot
 
 
 def _allele(spark, path, manifest, aliquots, **read):
-    rows = read_files(spark, path, manifest, ["GDC_Aliquot", *SEGMENT, *COPIES], rename={**SEGMENT, **COPIES}, **read)
-    files = tumor_by_id(manifest, rows, "GDC_Aliquot")
+    rows = read_files(spark, path, manifest, [*SEGMENT, *COPIES], rename={**SEGMENT, **COPIES}, **read)
+    files = tumor_by_id(manifest, own_values(spark, path, manifest, "GDC_Aliquot", **read), "GDC_Aliquot")
     keyed = with_keys(with_normal(files), aliquots)
-    out = coerce(rows.drop("GDC_Aliquot"), ["start", "end", *COPIES.values()])
+    out = coerce(rows, ["start", "end", *COPIES.values()])
     return measured(out, keyed, [*KEYS, *NORMAL, "workflow_type", "experimental_strategy"]), files
 
 
 def masked_segments(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, **read) -> DataFrame:
     """Masked segments of single-aliquot files; chromosomes as written."""
-    rows = read_files(spark, path, manifest, ["GDC_Aliquot", *SEGMENT, *MEASURED], rename={**SEGMENT, **MEASURED}, **read)
-    keyed = with_keys(tumor_by_id(manifest, rows, "GDC_Aliquot"), aliquots)
-    return measured(coerce(rows.drop("GDC_Aliquot"), ["start", "end", "num_probes"], ["segment_mean"]), keyed, [*KEYS, "workflow_type"])
+    rows = read_files(spark, path, manifest, [*SEGMENT, *MEASURED], rename={**SEGMENT, **MEASURED}, **read)
+    keyed = with_keys(tumor_by_id(manifest, own_values(spark, path, manifest, "GDC_Aliquot", **read), "GDC_Aliquot"), aliquots)
+    return measured(coerce(rows, ["start", "end", "num_probes"], ["segment_mean"]), keyed, [*KEYS, "workflow_type"])
 
 
 def unmasked_segments(spark: SparkSession, single: str, paired: str, manifest: DataFrame, aliquots: DataFrame, **read) -> DataFrame:
@@ -154,20 +159,20 @@ def unmasked_segments(spark: SparkSession, single: str, paired: str, manifest: D
     fields = [*KEYS, *NORMAL, "workflow_type", "experimental_strategy"]
     parts = []
     for path, column, settle in ((single, "GDC_Aliquot", tumor_by_id), (paired, "GDC_Aliquot_ID", tumor_by_barcode)):
-        rows = read_files(spark, path, manifest, [column, *SEGMENT, *MEASURED], rename={**SEGMENT, **MEASURED}, **read)
-        files = settle(manifest, rows, column)
+        rows = read_files(spark, path, manifest, [*SEGMENT, *MEASURED], rename={**SEGMENT, **MEASURED}, **read)
+        files = settle(manifest, own_values(spark, path, manifest, column, **read), column)
         if settle is tumor_by_barcode:
             files = with_normal(files)
         else:
             files = files.withColumns({c: F.lit(None).cast("string") for c in NORMAL})
-        out = coerce(rows.drop(column), ["start", "end", "num_probes"], ["segment_mean"])
+        out = coerce(rows, ["start", "end", "num_probes"], ["segment_mean"])
         parts.append(measured(out, with_keys(files, aliquots), fields))
     return union_pad(parts)
 
 
 def gene_level(spark: SparkSession, path: str, manifest: DataFrame, aliquots: DataFrame, allele: str, **read) -> DataFrame:
     """Copy number by gene: three value columns, gene annotation left out; tumors of paired files by their segment file."""
-    segments = read_files(spark, allele, manifest, ["GDC_Aliquot"], **read)
+    segments = own_values(spark, allele, manifest, "GDC_Aliquot", **read)
     files = with_normal(tumor_by_pair(manifest, tumor_by_id(manifest, segments, "GDC_Aliquot")))
     rows = read_files(spark, path, manifest, ["gene_id", *GENE_LEVEL_VALUES], **read)
     return measured(coerce(rows, GENE_LEVEL_VALUES), with_keys(files, aliquots), [*KEYS, *NORMAL, "workflow_type", "experimental_strategy"])

@@ -10,9 +10,10 @@ from cohortloom.plans.q_sources import money, tabbed, text
 from cohortloom.plans.registry import query
 from cohortloom.plans.views import Tables
 from cohortloom.session import shared_dir
+from cohortloom.sinks.texts import write_texts
 
 c = F.col
-NAMED = {"name": r"file=([^/]+)/", "under": "file="}
+NAMED = {"name": r"file=([^/]+)$", "under": "file="}
 
 
 def name(prefix: str, key: str = "l_suppkey"):
@@ -20,18 +21,9 @@ def name(prefix: str, key: str = "l_suppkey"):
 
 
 def write_files(t: Tables, rows: DataFrame, header: str | None, purpose: str) -> str:
-    """(file, line) rows as one file each, in a folder of its name, below ``header``.
-
-    Tasks put their files in place themselves (Hadoop's second way to commit), for there may be many: the driver would
-    move one after the other. Nothing reads the new folder before the job has succeeded.
-    """
+    """(file, line) rows as one file each, of its name, below ``header``. Nothing reads the new folder before the job has succeeded."""
     path = shared_dir(t.spark, purpose)
-    rows = rows.select("file", F.lit(1).alias("ord"), "line")
-    if header is not None:
-        top = F.explode(F.array(F.lit("# made by a test"), F.lit(header)))
-        rows = rows.unionByName(rows.select("file").distinct().select("file", F.lit(0).alias("ord"), top.alias("line")))
-    placed = rows.repartition("file").sortWithinPartitions("file", "ord").select("file", "line")
-    placed.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("file").text(path)
+    write_texts(rows, path, "" if header is None else f"# made by a test\n{header}\n", NAMED["under"])
     return path
 
 

@@ -7,6 +7,7 @@ there is one full read, no sort, no join, and a large file is spread over tasks.
 
 from __future__ import annotations
 
+import io
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -19,6 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RANGE_BYTES, BLOCK_BYTES, LEAD_BYTES = 64 << 20, 8 << 20, 1 << 16
+#: Files up to this size are read in one piece, and the lines of several are cut into cells together, some such size at once.
+SMALL_BYTES = 1 << 20
+#: Files a task reads, or some more.
+FILES_A_TASK = 2_000
 PACKED = (".gz", ".bz2", ".zst")
 
 
@@ -41,29 +46,32 @@ def files_below(path: str) -> list[tuple[str, int]]:
     """(path, bytes) of a file, or of the files anywhere below a folder; hidden ones are none, nor is what is not there."""
     path = path.rstrip("/")
     fs, where = pafs.FileSystem.from_uri(path)
-    if fs.get_file_info(where).type == pafs.FileType.File:
-        return [(path, fs.get_file_info(where).size)]
+    info = fs.get_file_info(where)
+    if info.type == pafs.FileType.File:
+        return [(path, info.size)]
+    if info.type == pafs.FileType.NotFound:
+        return []
     found = fs.get_file_info(pafs.FileSelector(where, recursive=True, allow_not_found=True))
     named = [(f.path[len(where):], f) for f in found if f.type == pafs.FileType.File]
     return [(path + rest, f.size) for rest, f in named if not any(p.startswith((".", "_")) for p in rest.split("/"))]
 
 
-def _listed(names: DataFrame) -> DataFrame:
-    """(path, length) of the files under each name, listed by the tasks."""
+def _listed(names: DataFrame, n_tasks: int) -> DataFrame:
+    """(path, length) of the files under each name, listed by ``n_tasks`` tasks: Spark left to itself takes one, for names are few bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [f for p in batch.column(0).to_pylist() if p is not None for f in files_below(p)]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64())], names=["path", "length"])
 
-    return names.distinct().mapInArrow(run, "path string, length bigint")
+    return names.repartition(n_tasks, *names.columns).distinct().mapInArrow(run, "path string, length bigint")
 
 
-def layout_of(path: str, columns: Sequence[str], header: Sequence[str] | None, comment: str | None, sep: str) -> Layout | None:
-    """Reads leading bytes until the header is whole; None for a file without one."""
+def layout_of(path: str, columns: Sequence[str], header: Sequence[str] | None, comment: str | None, sep: str, stream=None) -> Layout | None:
+    """Reads leading bytes, of ``stream`` if it is given, until the header is whole; None for a file without one."""
     if header is not None:
         return Layout(0, [list(header).index(c) for c in columns])
-    stream, _ = _open(path)
+    stream = stream or _open(path)[0]
     mark, lead, begin = comment.encode() if comment else None, b"", 0
     with stream:
         while True:
@@ -156,9 +164,20 @@ def cells_of(buf: bytes, cells: Sequence[int], sep: str, nulls: Sequence[str]) -
     return starts, out
 
 
+def _joined(parts: list[tuple[str, int, bytes]], cells: Sequence[int], sep: str, nulls: Sequence[str]) -> tuple[pa.Array, np.ndarray, list[pa.Array]]:
+    """(label, offset, cells) of the lines of several (label, offset, lines)."""
+    lines = [b if b.endswith(b"\n") else b + b"\n" for _, _, b in parts]
+    first = np.cumsum([0, *map(len, lines)])[:-1]
+    starts, found = cells_of(b"".join(lines), cells, sep, nulls)
+    of = np.searchsorted(first, starts, "right") - 1
+    at = starts - first[of] + np.array([begin for _, begin, _ in parts], np.int64)[of]
+    return pa.array([label for label, _, _ in parts], pa.string()).take(pa.array(of)), at, found
+
+
 def read_delimited(
     spark: SparkSession, path: str | list[str] | DataFrame, columns: Sequence[str], *, header: Sequence[str] | None = None, comment: str | None = "#",
     nulls: Sequence[str] = ("",), rename: dict[str, str] | None = None, sep: str = "\t", name: str = r"([^/]+)$", range_bytes: int = RANGE_BYTES,
+    distinct: bool = False,
 ) -> DataFrame:
     """(file_name, at, columns...): text cells of whole files; ``at`` orders the lines of a file.
 
@@ -166,38 +185,68 @@ def read_delimited(
     stand, and a file that lacks one is refused. Comment lines count as such only before the header. With ``header``,
     files have no header line and these columns. Blank lines are no rows, cells a short line lacks are null, as are ``nulls``.
     ``rename`` maps header names to output names, ``name`` picks the file's name from its path.
+    With ``distinct`` rows are (file_name, columns...), and a task gives equal rows of what it cuts at once only once: what goes to
+    a ``distinct()`` need not leave the task line by line.
 
     Spark's driver lists ``path``, a folder or several, and holds that list. Where there are many files, ``path`` is a table of one
     column, each a file or folder: then the tasks list them. Spark takes the rows to be as few as the files' names, so
     a join to them has to say that they are not sent around.
     """
-    listing = _listed(path) if isinstance(path, DataFrame) else spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    cores = spark.sparkContext.defaultParallelism
+    listing = _listed(path, cores) if isinstance(path, DataFrame) else spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    total, n_files = listing.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
     whole = F.lit(False)
     for suffix in PACKED:
         whole = whole | F.col("path").endswith(suffix)
     begins = F.when(whole, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint")))
-    ranges = listing.select("path", whole.alias("whole"), F.explode(begins).alias("start"))
-    n_tasks = max(spark.sparkContext.defaultParallelism, -(-int(total) // range_bytes))
+    ranges = listing.select("path", whole.alias("whole"), (~whole & (F.col("length") <= min(SMALL_BYTES, range_bytes))).alias("small"), F.explode(begins).alias("start"))
+    n_tasks = max(cores, -(-int(total) // range_bytes), -(-n_files // FILES_A_TASK))
     rename, columns = rename or {}, list(columns)
     out_names = ["file_name", "at", *[rename.get(c, c) for c in columns]]
     pattern = re.compile(name)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def label_of(path: str) -> str:
+        found = pattern.search(path)
+        return found[1] if found else path
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[tuple[str, int, bytes]]]]:
+        """Cells, and (label, offset, lines) of a block of a file or of several small files that have those cells."""
         known: tuple[str, Layout | None] = ("", None)
+        cells, parts, held = [], [], 0
         for batch in batches:
             for r in batch.to_pylist():
+                if r["small"]:
+                    stream, _ = _open(r["path"])
+                    with stream:
+                        data = stream.read()
+                    layout = layout_of(r["path"], columns, header, comment, sep, io.BytesIO(data))
+                    if layout is None or layout.begin >= len(data):
+                        continue
+                    if parts and (layout.cells != cells or held >= SMALL_BYTES):
+                        yield cells, parts
+                        parts, held = [], 0
+                    cells = layout.cells
+                    parts.append((label_of(r["path"]), layout.begin, data[layout.begin:]))
+                    held += len(data)
+                    continue
                 if r["path"] != known[0]:
                     known = (r["path"], layout_of(r["path"], columns, header, comment, sep))
-                layout = known[1]
-                if layout is None:
+                if known[1] is None:
                     continue
                 end = None if r["whole"] else r["start"] + range_bytes
-                for at, lines in _blocks(r["path"], r["start"], end, layout.begin):
-                    where, cells = cells_of(lines, layout.cells, sep, nulls)
-                    found = pattern.search(r["path"])
-                    label = pa.array([found[1] if found else r["path"]] * len(where), pa.string())
-                    yield pa.RecordBatch.from_arrays([label, pa.array(where + at, pa.int64()), *cells], names=out_names)
+                for at, lines in _blocks(r["path"], r["start"], end, known[1].begin):
+                    yield known[1].cells, [(label_of(r["path"]), at, lines)]
+        if parts:
+            yield cells, parts
 
-    schema = "file_name string, at bigint" + "".join(f", `{n}` string" for n in out_names[2:])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cells, parts in pieces(batches):
+            label, at, found = _joined(parts, cells, sep, nulls)
+            if distinct:
+                names = [out_names[0], *out_names[2:]]
+                yield from pa.table([label, *found], names=names).group_by(names).aggregate([]).select(names).to_batches()
+            else:
+                yield pa.RecordBatch.from_arrays([label, pa.array(at), *found], names=out_names)
+
+    schema = "file_name string" + ("" if distinct else ", at bigint") + "".join(f", `{n}` string" for n in out_names[2:])
     return ranges.repartition(n_tasks).mapInArrow(run, schema)

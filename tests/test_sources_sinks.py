@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import tarfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -338,3 +339,59 @@ def test_flat_assays_are_listed_by_tasks_and_never_broadcast(spark, tmp_path):
     assert got == {"mir-1": ("al-1", "s", "f-1", 1), "mir-2": ("al-2", "s", "f-2", 2), "mir-3": ("al-3", None, "f-3", 3)}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "binaryFile" not in plan
+
+
+def test_texts_of_many_names_are_plain_files_whatever_the_batches(spark, tmp_path):
+    from cohortloom.sinks.texts import NAMELESS, write_texts
+
+    rows = [(f"n{i % 7}", f"{i}\tä") for i in range(100)] + [(None, "x"), ("empty", None), ("empty", "")]
+    df = spark.createDataFrame(rows, "file string, line string").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        # A second run puts its files in the place of the first one's.
+        counts = [write_texts(df, f"file://{tmp_path}/out", "#c\nid\tw\n", "file=") for _ in range(2)]
+        nothing = write_texts(df.limit(0), f"file://{tmp_path}/none")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert counts == [9, 9] and nothing == 0 and not list((tmp_path / "none").iterdir())
+    want = {}
+    for name, line in rows:
+        want.setdefault(f"file={name or NAMELESS}", []).append(line or "")
+    got = {p.name: p.read_text().split("\n") for p in (tmp_path / "out").iterdir()}
+    assert all(v[:2] == ["#c", "id\tw"] and v[-1] == "" for v in got.values())
+    assert {k: sorted(v[2:-1]) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_files_of_flat_assays_are_one_plain_file_each(spark, tmp_path, monkeypatch):
+    from cohortloom.plans import q_assays
+    from cohortloom.plans.views import Tables
+
+    monkeypatch.setattr(q_assays, "shared_dir", lambda spark, purpose: str(tmp_path / purpose))
+    rows = spark.range(40).select(F.concat(F.lit("a_"), (F.col("id") % 4).cast("string")).alias("file"), F.col("id").cast("string").alias("line"))
+    path = q_assays.write_files(Tables(spark, "none"), rows, "id", "some")
+    found = sorted(Path(path).rglob("*"))
+    assert [p.name for p in found] == [f"file=a_{i}" for i in range(4)] and all(p.is_file() for p in found)
+
+
+@pytest.mark.parametrize("small", [1 << 20, 60, 0])
+def test_small_files_are_cut_together_and_listed_by_all_tasks(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(splits, "SMALL_BYTES", small)
+    want = []
+    for i in range(60):
+        head = "id\tw" if i % 3 else "w\tx\tid"
+        lines = [(f"{i}.{k}", f"w{k % 2}") for k in range(i % 5)]
+        cells = [f"{a}\t{b}" if i % 3 else f"{b}\t\t{a}" for a, b in lines]
+        body = "\n\n".join(cells) + ("\r\n" if i % 2 and lines else "")
+        (tmp_path / f"file=f{i}").write_bytes((f"# {'c' * i}\n{head}\n" + body).encode())
+        at = len(f"# {'c' * i}\n{head}\n")
+        for (a, b), cell in zip(lines, cells, strict=True):
+            want.append((f"f{i}", at, a, b))
+            at += len(cell) + 2
+    names = spark.range(70).select(F.concat(F.lit(f"{tmp_path}/file=f"), F.col("id").cast("string")).alias("path"))
+    how = {"name": r"file=([^/]+)$"}
+    assert sorted(map(tuple, splits.read_delimited(spark, names, ["id", "w"], **how).collect())) == sorted(want)
+    values = splits.read_delimited(spark, names, ["w"], distinct=True, **how)
+    assert {tuple(r) for r in values.collect()} == {(f, w) for f, _, _, w in want} and values.columns == ["file_name", "w"]
+    assert splits._listed(names, 5).select(F.spark_partition_id()).distinct().count() == 5
+    with pytest.raises(Exception, match="no column x"):
+        splits.read_delimited(spark, names, ["x"], **how).collect()

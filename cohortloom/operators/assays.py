@@ -5,7 +5,8 @@ A manifest has one row per file: ``file_name``, ``file_id``, ``case_id``, ``work
 An aliquot table has one row per aliquot: ``case_id``, ``case_submitter_id``, ``sample_id``,
 ``sample_submitter_id``, ``sample_type``, ``aliquot_id``, ``aliquot_submitter_id``. Which aliquot a file measures is
 settled per file, in a table of one row a file, and joined to the measurements once; a file whose
-aliquot cannot be told is left out, never guessed at. With ``under``, the files of a name are those in the folder ``under`` + name below
+aliquot cannot be told is left out, never guessed at. Tables of one row a file or aliquot meet in shuffles too: they grow with the files, and
+Spark takes them to be as small as the Parquet they come from. With ``under``, the files of a name are those in the folder ``under`` + name below
 ``path``, and tasks look them up by the manifest; without, the driver lists ``path``.
 """
 
@@ -77,13 +78,13 @@ def with_normal(files: DataFrame) -> DataFrame:
 def tumor_by_id(manifest: DataFrame, rows: DataFrame, column: str) -> DataFrame:
     """The aliquot id that the file's own rows report."""
     own = only_value(rows, "file_name", column)
-    return aliquot_entities(manifest).join(own, F.col("file_name") == F.col("__file")).withColumnRenamed("value", "tumor").drop("__file")
+    return aliquot_entities(manifest).join(own.hint("shuffle_hash"), F.col("file_name") == F.col("__file")).withColumnRenamed("value", "tumor").drop("__file")
 
 
 def tumor_by_barcode(manifest: DataFrame, rows: DataFrame, column: str) -> DataFrame:
     """The aliquot whose submitter id the file's own rows report; a name that no entity has is no answer."""
     own = only_value(rows, "file_name", column)
-    j = aliquot_entities(manifest).join(own, F.col("file_name") == F.col("__file"))
+    j = aliquot_entities(manifest).join(own.hint("shuffle_hash"), F.col("file_name") == F.col("__file"))
     named = F.get(F.filter("aliquots", lambda e: e["entity_submitter_id"] == F.col("value")), F.lit(0))
     return j.withColumn("tumor", named["entity_id"]).filter(F.col("tumor").isNotNull()).drop("__file", "value")
 
@@ -108,7 +109,7 @@ def tumor_by_pair(manifest: DataFrame, resolved: DataFrame) -> DataFrame:
     both = resolved.filter((F.size("aliquots") == 2) & F.array_contains(_pair(), F.col("tumor")))
     known = both.groupBy(F.coalesce("workflow_type", F.lit("")).alias("__w"), _pair().alias("__p")).agg(F.max_by("tumor", "file_name").alias("tumor"))
     paired = m.filter(F.size("aliquots") > 1).withColumns({"__mw": F.coalesce("workflow_type", F.lit("")), "__mp": _pair()})
-    paired = paired.join(known, (F.col("__mw") == F.col("__w")) & (F.col("__mp") == F.col("__p"))).drop("__w", "__p", "__mw", "__mp")
+    paired = paired.join(known.hint("shuffle_hash"), (F.col("__mw") == F.col("__w")) & (F.col("__mp") == F.col("__p"))).drop("__w", "__p", "__mw", "__mp")
     return single.unionByName(paired)
 
 
@@ -119,7 +120,7 @@ def with_keys(files: DataFrame, aliquots: DataFrame, tumor: str = "tumor") -> Da
     tree = aliquots.filter(F.col("aliquot_id").isNotNull()).select(
         F.col("case_id").alias("__c"), F.col("aliquot_id").alias("__a"), "sample_id", "sample_submitter_id", "sample_type", "aliquot_submitter_id"
     )
-    j = known.join(tree, (F.col("case_id") == F.col("__c")) & (F.col(tumor) == F.col("__a")), "left").drop("__c", "__a")
+    j = known.join(tree.hint("shuffle_hash"), (F.col("case_id") == F.col("__c")) & (F.col(tumor) == F.col("__a")), "left").drop("__c", "__a")
     return j.withColumn("aliquot_id", F.col(tumor)).withColumnRenamed("file_id", "source_file_id")
 
 

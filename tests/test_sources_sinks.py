@@ -395,3 +395,30 @@ def test_small_files_are_cut_together_and_listed_by_all_tasks(spark, tmp_path, m
     assert splits._listed(names, 5).select(F.spark_partition_id()).distinct().count() == 5
     with pytest.raises(Exception, match="no column x"):
         splits.read_delimited(spark, names, ["x"], **how).collect()
+
+
+def test_gene_level_files_meet_their_aliquots_in_shuffles(spark, tmp_path):
+    from cohortloom.operators import assays as ay
+
+    (tmp_path / "gene").mkdir()
+    (tmp_path / "allele").mkdir()
+    for i in (1, 2):
+        (tmp_path / "gene" / f"g{i}").write_text("\t".join(["gene_id", *ay.GENE_LEVEL_VALUES]) + f"\nE{i}\t{i}.0\t1\t\n")
+    # The second file's rows name two aliquots, so its pair stays open.
+    (tmp_path / "allele" / "a1").write_text("# c\nGDC_Aliquot\nt1\nt1\n\n")
+    (tmp_path / "allele" / "a2").write_text("GDC_Aliquot\nt2\nn2")
+    entity = lambda p: F.struct(F.concat(F.lit(p), "id").alias("entity_id"), F.concat(F.lit(p.upper()), "id").alias("entity_submitter_id"), F.lit("aliquot").alias("entity_type"))
+    ids = spark.range(1, 3).select(F.col("id").cast("string").alias("id"))
+    files = [
+        ids.select(F.concat(F.lit(p), "id").alias("file_name"), F.concat(F.lit(f"f-{p}"), "id").alias("file_id"), F.lit("c").alias("case_id"), F.lit("w").alias("workflow_type"),
+                   F.lit("s").alias("experimental_strategy"), F.lit("p").alias("platform"), F.array(entity("n"), entity("t")).alias("entities")) for p in "ga"
+    ]
+    aliquots = ids.select(
+        F.lit("c").alias("case_id"), F.lit("C").alias("case_submitter_id"), F.lit("s").alias("sample_id"), F.lit("S").alias("sample_submitter_id"), F.lit("t").alias("sample_type"),
+        F.concat(F.lit("t"), "id").alias("aliquot_id"), F.concat(F.lit("T"), "id").alias("aliquot_submitter_id"),
+    )
+    out = ay.gene_level(spark, str(tmp_path / "gene"), files[0].unionByName(files[1]), aliquots, str(tmp_path / "allele"), under="")
+    got = [(r.gene_id, r.aliquot_id, r.sample_id, r.matched_normal_aliquot_id, r.source_file_id, r.copy_number, r.max_copy_number) for r in out.collect()]
+    assert got == [("E1", "t1", "s", "n1", "f-g1", 1, None)]
+    # Files with their own values, pairs with their tumors, aliquots, measurements.
+    assert out._jdf.queryExecution().sparkPlan().toString().count("ShuffledHashJoin") == 4
